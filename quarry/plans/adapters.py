@@ -36,3 +36,72 @@ def conversation_docx_files(spark: SparkSession, sf: str) -> DataFrame:
     """Each conversation written as one DOCX file, one paragraph per turn."""
     conv = src.table(spark, sf, "conversations").select("conv_id", "turn", "text")
     return conv.groupBy("conv_id").applyInPandas(_docx_group, "path string, content binary")
+
+
+# --- posts ------------------------------------------------------------------------------------
+def _url(owner, post):
+    from quarry.operators.mentions import post_url
+    return post_url(owner, post)
+
+
+def posts_from_events(spark: SparkSession, sf: str) -> DataFrame:
+    """Flat posts from ``events``: topic = event_type; every seventh event lacks an author."""
+    e = src.table(spark, sf, "events")
+    return e.select(
+        F.col("event_type").alias("university"), F.col("event_id").alias("post_id"),
+        F.col("user_id").alias("owner_id"),
+        F.when(F.col("event_id") % 7 == 0, F.lit(None).cast("long")).otherwise(F.col("user_id")).alias("author_id"),
+        F.col("ts").alias("date"), F.col("props").alias("text"),
+        F.get_json_object("props", "$.k").cast("long").alias("likes"),
+        F.floor("value").cast("long").alias("views"),
+        (F.col("event_id") % 5).alias("reposts"), (F.col("event_id") % 3).alias("comments"),
+        _url(F.col("user_id"), F.col("event_id")).alias("post_url"))
+
+
+def raw_pages_from_events(spark: SparkSession, sf: str) -> DataFrame:
+    """Landed response pages as JSON lines (column ``value``): events of one type in runs
+    of 200 ids form a page; ``from_id`` is absent on every seventh event and ``views`` on
+    every fifth."""
+    from quarry.operators.mentions import ts_to_epoch
+    e = src.table(spark, sf, "events")
+    cnt = lambda c: F.struct(c.alias("count"))
+    item = F.struct(
+        F.col("event_id").alias("id"), F.col("user_id").alias("owner_id"),
+        F.when(F.col("event_id") % 7 != 0, F.col("user_id")).alias("from_id"),
+        ts_to_epoch(F.col("ts")).alias("date"), F.col("props").alias("text"),
+        cnt(F.get_json_object("props", "$.k").cast("long")).alias("likes"),
+        F.when(F.col("event_id") % 5 != 0, cnt(F.floor("value").cast("long"))).alias("views"),
+        cnt(F.col("event_id") % 5).alias("reposts"), cnt(F.col("event_id") % 3).alias("comments"))
+    page_no = F.floor(F.col("event_id") / 200).cast("long")
+    pages = e.groupBy("event_type", page_no.alias("page")).agg(F.collect_list(item).alias("items"))
+    return pages.select(F.to_json(F.struct(
+        F.col("event_type").alias("query"), "items",
+        (F.col("page") + 1).cast("string").alias("next_from"))).alias("value"))
+
+
+def searchable_posts(spark: SparkSession, sf: str) -> DataFrame:
+    """Posts whose text is a document: event ``i`` carries document ``i mod #documents``."""
+    e = src.table(spark, sf, "events")
+    d = src.table(spark, sf, "documents").select("doc_id", "text")
+    n_docs = d.count()
+    ev = e.select(
+        F.col("event_id").alias("post_id"), F.col("user_id").alias("owner_id"),
+        F.col("user_id").alias("author_id"), F.col("ts").alias("date"),
+        F.get_json_object("props", "$.k").cast("long").alias("likes"),
+        F.floor("value").cast("long").alias("views"),
+        (F.col("event_id") % 5).alias("reposts"), (F.col("event_id") % 3).alias("comments"),
+        (F.col("event_id") % F.lit(n_docs)).alias("doc_id"))
+    return ev.join(d, "doc_id").drop("doc_id").withColumn(
+        "post_url", _url(F.col("owner_id"), F.col("post_id")))
+
+
+def posts_from_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders as posts: topic = priority, author = customer, date = order date."""
+    o = src.table(spark, sf, "orders")
+    return o.select(
+        F.col("o_orderpriority").alias("university"), F.col("o_orderkey").alias("post_id"),
+        F.col("o_custkey").alias("owner_id"), F.col("o_custkey").alias("author_id"),
+        F.col("o_orderdate").cast("timestamp_ntz").alias("date"), F.col("o_orderstatus").alias("text"),
+        F.lit(0).cast("long").alias("likes"), F.lit(0).cast("long").alias("views"),
+        F.lit(0).cast("long").alias("reposts"), F.lit(0).cast("long").alias("comments"),
+        _url(F.col("o_custkey"), F.col("o_orderkey")).alias("post_url"))
