@@ -125,11 +125,29 @@ def _frames_for_counts(counts: list[int]) -> int:
     return frames
 
 
-@F.pandas_udf(T.LongType())
-def _frames_udf(c2: pd.Series, c3: pd.Series, c5: pd.Series, c7: pd.Series,
-                c8: pd.Series, c9: pd.Series, c10: pd.Series) -> pd.Series:
-    m = np.column_stack([s.fillna(0).to_numpy(dtype=np.int64) for s in (c2, c3, c5, c7, c8, c9, c10)])
-    return pd.Series([_frames_for_counts(list(r)) for r in m], dtype="int64")
+def _pickled_bytes_np(n: np.ndarray, sw: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """``len(pickle.dumps(ids, protocol=4))`` per term from its id count, summed id widths
+    and ids per width class; frames are walked only for lists that reach the target."""
+    batch = np.where(n == 1, 1, 2 * ((n + 999) // 1000))
+    payload = 2 + sw + batch + 1
+    frames = np.ones(len(n), dtype=np.int64)
+    for i in np.nonzero(payload - 1 >= FRAME_TARGET)[0]:
+        frames[i] = _frames_for_counts(list(counts[i]))
+    return 2 + payload + FRAME_HEADER * frames
+
+
+def _size_partials(batches):
+    for pdf in batches:
+        if pdf.empty:
+            continue
+        n = pdf["n"].to_numpy(dtype=np.int64)
+        sw = pdf["sw"].to_numpy(dtype=np.int64)
+        counts = pdf[[f"c{c}" for c in WIDTH_CLASSES]].to_numpy(dtype=np.int64)
+        yield pd.DataFrame({
+            "pickled": [int(_pickled_bytes_np(n, sw, counts).sum())],
+            "bits": [int(pdf["bits"].sum())],
+            "hits": [int(pdf["hits"].sum())],
+        })
 
 
 def term_size_stats(post: DataFrame) -> DataFrame:
@@ -144,28 +162,22 @@ def term_size_stats(post: DataFrame) -> DataFrame:
         *by_width)
 
 
-def _with_pickled_bytes(stats: DataFrame) -> DataFrame:
-    """Adds ``pickled`` = ``len(pickle.dumps(list_of_ids, protocol=4))`` per term."""
-    batch = F.when(F.col("n") == 1, F.lit(1)).otherwise(2 * F.ceil(F.col("n") / 1000))
-    payload = (F.lit(2) + F.col("sw") + batch + F.lit(1)).cast("long")
-    staged = stats.withColumn("payload", payload)
-    single = staged.filter(F.col("payload") - 1 < FRAME_TARGET).withColumn("frames", F.lit(1).cast("long"))
-    multi = staged.filter(F.col("payload") - 1 >= FRAME_TARGET).withColumn(
-        "frames", _frames_udf(*[F.col(f"c{c}") for c in WIDTH_CLASSES]))
-    both = single.unionByName(multi)
-    return both.withColumn("pickled", F.lit(2) + F.col("payload") + FRAME_HEADER * F.col("frames"))
-
-
 def index_sizes(post: DataFrame, query: str | None = None) -> DataFrame:
     """A3 + A4: one row ``(uncompressed_bytes, compressed_bytes)``; with ``query`` also
-    ``results_count`` (occurrences of that term) from the same pass."""
-    per_term = _with_pickled_bytes(term_size_stats(post))
+    ``results_count`` (occurrences of that term) from the same pass.
+
+    Per-term statistics are aggregated natively; the per-term pickled size is summed in one
+    Arrow-batched pass that returns one partial row per batch."""
+    stats = term_size_stats(post)
+    hit = F.when(F.col("term") == F.lit(query), F.col("n")) if query is not None else F.lit(0)
+    cols = ["n", "sw", "bits", *[f"c{c}" for c in WIDTH_CLASSES]]
+    partials = stats.select(*cols, F.coalesce(hit, F.lit(0)).cast("long").alias("hits")).mapInPandas(
+        _size_partials, "pickled long, bits long, hits long")
     aggs = [F.coalesce(F.sum("pickled"), F.lit(0)).cast("long").alias("uncompressed_bytes"),
             (F.coalesce(F.sum("bits"), F.lit(0)) / F.lit(8.0)).alias("compressed_bytes")]
     if query is not None:
-        aggs.append(F.coalesce(F.sum(F.when(F.col("term") == F.lit(query), F.col("n"))),
-                               F.lit(0)).cast("long").alias("results_count"))
-    return per_term.agg(*aggs)
+        aggs.append(F.coalesce(F.sum("hits"), F.lit(0)).cast("long").alias("results_count"))
+    return partials.agg(*aggs)
 
 
 def evaluate(post: DataFrame, query: str) -> DataFrame:
@@ -211,6 +223,40 @@ def search(spark: SparkSession, post: DataFrame, terms: list[str] | str,
     return found.unionByName(misses)
 
 
+# Up to this many terms a substring prefilter (OR of contains) runs before tokenising.
+PREFILTER_LIMIT = 64
+
+
+def query_postings(spark: SparkSession, corpus: DataFrame, terms: list[str],
+                   text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """Postings of only ``terms``, straight from the corpus: a document whose text does
+    not contain a term as a substring cannot contain it as a token, so those are dropped
+    before tokenising, and tokens are filtered to the terms before anything is grouped."""
+    terms = list(dict.fromkeys(terms))
+    docs = corpus.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    if 0 < len(terms) <= PREFILTER_LIMIT:
+        cond = None
+        for t in terms:
+            c = F.col("text").contains(F.lit(t))
+            cond = c if cond is None else (cond | c)
+        docs = docs.filter(cond)
+    if len(terms) <= ISIN_LIMIT:
+        keep = F.filter(tx.tokenize("text"), lambda t: t.isin(terms))
+        occ = docs.select("doc_id", F.explode(keep).alias("term"))
+    else:
+        q = small_literal_frame(spark, [(t,) for t in terms], "term string")
+        q = F.broadcast(q) if fits_broadcast(terms) else q
+        occ = docs.select("doc_id", F.explode(tx.tokenize("text")).alias("term")).join(q, "term", "left_semi")
+    return occ.groupBy("term", "doc_id").agg(F.count(F.lit(1)).alias("tf"))
+
+
+def search_corpus(spark: SparkSession, corpus: DataFrame, terms: list[str] | str,
+                  compressed: bool = True) -> DataFrame:
+    """A5 without a stored index: same output as :func:`search`."""
+    terms = [terms] if isinstance(terms, str) else list(dict.fromkeys(terms))
+    return search(spark, query_postings(spark, corpus, terms), terms, compressed)
+
+
 # --- M2 over any integer column ----------------------------------------------------------
 def with_codes(df: DataFrame, col: str, prefix: str | None = None) -> DataFrame:
     p = prefix or col

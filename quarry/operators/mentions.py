@@ -97,7 +97,9 @@ def posts_recent(posts: DataFrame, as_of: dt.datetime, date_col: str = "date") -
 
 
 # --- P3 / J1 / L3: topic search -----------------------------------------------------------------
-API_ORDER = [F.col("date").desc(), F.col("post_id").asc()]
+def api_order() -> list[Column]:
+    """Order of a search response: newest first, then by post id."""
+    return [F.col("date").desc(), F.col("post_id").asc()]
 
 
 def search_mentions(spark: SparkSession, posts: DataFrame, topics: list[str],
@@ -119,12 +121,12 @@ def search_mentions(spark: SparkSession, posts: DataFrame, topics: list[str],
     matched = p.join(tdf, cond).withColumnRenamed("topic", "university")
     if cap is None:
         return matched
-    return top_k_per_group(matched, ["university"], API_ORDER, cap, rank_col="_rank").drop("_rank")
+    return top_k_per_group(matched, ["university"], api_order(), cap, rank_col="_rank").drop("_rank")
 
 
 def preview(posts: DataFrame, n: int = 10) -> DataFrame:
     """P10: the first ``n`` posts of each topic in API order with their raw epoch."""
-    top = top_k_per_group(posts, ["university"], API_ORDER, n, rank_col="rank")
+    top = top_k_per_group(posts, ["university"], api_order(), n, rank_col="rank")
     return top.select("university", F.col("rank").cast("long").alias("rank"), "post_id",
                       ts_to_epoch(F.col("date")).alias("raw_timestamp"), "date")
 
