@@ -162,13 +162,8 @@ def term_size_stats(post: DataFrame) -> DataFrame:
         *by_width)
 
 
-def index_sizes(post: DataFrame, query: str | None = None) -> DataFrame:
-    """A3 + A4: one row ``(uncompressed_bytes, compressed_bytes)``; with ``query`` also
-    ``results_count`` (occurrences of that term) from the same pass.
-
-    Per-term statistics are aggregated natively; the per-term pickled size is summed in one
-    Arrow-batched pass that returns one partial row per batch."""
-    stats = term_size_stats(post)
+def sizes_from_stats(stats: DataFrame, query: str | None = None) -> DataFrame:
+    """A3 + A4 from per-term statistics (:func:`term_size_stats`, possibly stored)."""
     hit = F.when(F.col("term") == F.lit(query), F.col("n")) if query is not None else F.lit(0)
     cols = ["n", "sw", "bits", *[f"c{c}" for c in WIDTH_CLASSES]]
     partials = stats.select(*cols, F.coalesce(hit, F.lit(0)).cast("long").alias("hits")).mapInPandas(
@@ -180,10 +175,19 @@ def index_sizes(post: DataFrame, query: str | None = None) -> DataFrame:
     return partials.agg(*aggs)
 
 
-def evaluate(post: DataFrame, query: str) -> DataFrame:
-    """Sizes in KB, ratio compressed/uncompressed (NULL for an empty index) and the
-    result count of ``query`` — one pass, no join."""
-    s = index_sizes(post, query)
+def index_sizes(post: DataFrame, query: str | None = None) -> DataFrame:
+    """A3 + A4: one row ``(uncompressed_bytes, compressed_bytes)``; with ``query`` also
+    ``results_count`` (occurrences of that term) from the same pass.
+
+    Per-term statistics are aggregated natively; the per-term pickled size is summed in one
+    Arrow-batched pass that returns one partial row per batch."""
+    return sizes_from_stats(term_size_stats(post), query)
+
+
+def evaluate_from_stats(stats: DataFrame, query: str) -> DataFrame:
+    """A6 from per-term statistics: sizes in KB, ratio compressed/uncompressed (NULL for
+    an empty index) and the result count of ``query`` -- one pass, no join."""
+    s = sizes_from_stats(stats, query)
     u, c = F.col("uncompressed_bytes"), F.col("compressed_bytes")
     return s.select(
         (u / F.lit(1024.0)).alias("uncompressed_size_kb"),
@@ -192,6 +196,11 @@ def evaluate(post: DataFrame, query: str) -> DataFrame:
         F.col("results_count"))
 
 
+def evaluate(post: DataFrame, query: str) -> DataFrame:
+    """A6 over postings."""
+    return evaluate_from_stats(term_size_stats(post), query)
+
+
 # --- A5 / J3: search -------------------------------------------------------------------
 def _restrict_to_terms(spark: SparkSession, post: DataFrame, terms: list[str]) -> DataFrame:
     if len(terms) <= ISIN_LIMIT:

@@ -111,14 +111,16 @@ def search_mentions(spark: SparkSession, posts: DataFrame, topics: list[str],
     topics = list(dict.fromkeys(topics))
     if not fits_broadcast(topics):
         raise ValueError("topic list too large to broadcast; split it into several searches")
-    tdf = F.broadcast(small_literal_frame(spark, [(t,) for t in topics], "topic string"))
     p = posts.drop("university") if "university" in posts.columns else posts
     if whole_token:
+        # exact token match: each post names the topics among its own distinct tokens,
+        # so no join is needed at all
         from quarry.functions.text import tokenize
-        cond = F.array_contains(tokenize(p["text"]), tdf["topic"])
+        hits = F.array_distinct(F.filter(tokenize(p["text"]), lambda t: t.isin(topics)))
+        matched = p.select("*", F.explode(hits).alias("university"))
     else:
-        cond = p["text"].contains(tdf["topic"])
-    matched = p.join(tdf, cond).withColumnRenamed("topic", "university")
+        tdf = F.broadcast(small_literal_frame(spark, [(t,) for t in topics], "topic string"))
+        matched = p.join(tdf, p["text"].contains(tdf["topic"])).withColumnRenamed("topic", "university")
     if cap is None:
         return matched
     return top_k_per_group(matched, ["university"], api_order(), cap, rank_col="_rank").drop("_rank")
