@@ -100,20 +100,19 @@ def _xml_escape(s: str) -> str:
 
 
 # --- W4: files -> text + links ---------------------------------------------------------------
-def process_files(files: DataFrame, exact_html: bool = False) -> DataFrame:
-    """``(path, content)`` -> ``(filename, ext, status, text, links, error)``.
-
-    ``status`` is ``ok``, ``skipped`` (name without a handled suffix) or ``error``.
-    """
+def _classify(files: DataFrame) -> DataFrame:
     name = tx.basename("path")
-    base = files.select("path", "content", name.alias("filename"),
+    return files.select("path", "content", name.alias("filename"),
                         tx.extension(name).alias("ext"),
                         tx.has_supported_suffix(name).alias("_supported"))
+
+
+def _native_rows(base: DataFrame, exact_html: bool) -> DataFrame:
+    """Every non-DOCX file: HTML decoded and extracted natively, the rest classified."""
     html_text = (hx.html_to_text_exact(tx.decode_utf8("content")) if exact_html
                  else hx.html_to_text(tx.decode_utf8("content")))
     is_html = F.col("ext") == ".html"
-    is_docx = F.col("ext") == ".docx"
-    native = base.filter(~(F.col("_supported") & is_docx)).select(
+    return base.select(
         "filename", "ext",
         F.when(~F.col("_supported"), F.lit("skipped"))
          .when(is_html & tx.is_valid_utf8("content"), F.lit("ok"))
@@ -125,14 +124,46 @@ def process_files(files: DataFrame, exact_html: bool = False) -> DataFrame:
          .when(F.col("ext") == ".djvu", F.lit("djvu: no decoder available"))
          .when(~is_html, F.concat(F.lit("unsupported format: "), F.col("ext")))
          .alias("error"))
-    docx = extract_docx(base.filter(F.col("_supported") & is_docx)).select(
-        tx.basename("path").alias("filename"), F.lit(".docx").alias("ext"),
-        "status", "text", "error")
-    out = native.unionByName(docx)
-    links = F.when(F.col("status") == "ok", tx.find_links("text"))
-    return out.select("filename", "ext", "status",
-                      F.when(F.col("status") == "ok", F.col("text")).alias("text"),
-                      links.alias("links"), "error")
+
+
+def _docx_rows(base: DataFrame) -> DataFrame:
+    return extract_docx(base).select(
+        tx.basename("path").alias("filename"), F.lit(".docx").alias("ext"), "status", "text", "error")
+
+
+def _finish(out: DataFrame) -> DataFrame:
+    ok = F.col("status") == "ok"
+    return out.select("filename", "ext", "status", F.when(ok, F.col("text")).alias("text"),
+                      F.when(ok, tx.find_links("text")).alias("links"), "error")
+
+
+def process_files(files: DataFrame, exact_html: bool = False) -> DataFrame:
+    """``(path, content)`` -> ``(filename, ext, status, text, links, error)``.
+
+    ``status`` is ``ok``, ``skipped`` (name without a handled suffix) or ``error``.
+    """
+    base = _classify(files)
+    is_docx = F.col("_supported") & (F.col("ext") == ".docx")
+    return _finish(_native_rows(base.filter(~is_docx), exact_html)
+                   .unionByName(_docx_rows(base.filter(is_docx))))
+
+
+def ci_glob(ext: str) -> str:
+    """``.html`` -> ``*.[hH][tT][mM][lL]`` (a case-insensitive suffix glob)."""
+    return "*." + "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in ext.lstrip("."))
+
+
+def process_folder(spark, folder: str, exact_html: bool = False) -> DataFrame:
+    """W4 over a folder, reading file bytes only where they are needed: HTML and DOCX come
+    from scans restricted by a case-insensitive glob, every other file only from the
+    listing (its content is never read)."""
+    html = _classify(scan_folder(spark, folder, glob=ci_glob(".html")))
+    docx = _classify(scan_folder(spark, folder, glob=ci_glob(".docx")))
+    listing = scan_folder(spark, folder, content=False)
+    other = _classify(listing).filter(~F.col("ext").isin(".html", ".docx") | ~F.col("_supported"))
+    return _finish(_native_rows(html.filter(F.col("_supported")), exact_html)
+                   .unionByName(_native_rows(other, exact_html))
+                   .unionByName(_docx_rows(docx.filter(F.col("_supported")))))
 
 
 def unsupported_files(processed: DataFrame) -> DataFrame:
@@ -175,12 +206,19 @@ def text_quality(docs: DataFrame, text_col: str = "text", threshold: float = 0.5
 
 
 # --- S6: folder scan --------------------------------------------------------------------------
-def scan_folder(spark, folder: str) -> DataFrame:
-    """Non-recursive listing of ``folder`` as ``(path, modificationTime, length, content)``.
+def scan_folder(spark, folder: str, glob: str | None = None, content: bool = True) -> DataFrame:
+    """Non-recursive listing of ``folder`` as ``(path, modificationTime, length, content)``;
+    ``glob`` restricts file names, and with ``content=False`` no file is read.
 
     Spark's file sources never list names that start with ``.`` or ``_``; such files are
     not seen.
     """
-    df = spark.read.format("binaryFile").load(folder)
+    reader = spark.read.format("binaryFile")
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    df = reader.load(folder)
     parent = F.regexp_replace(F.col("path"), r"/[^/]*$", "")
-    return df.filter(parent.endswith(folder.rstrip("/")))
+    df = df.filter(parent.endswith(folder.rstrip("/")))
+    if not content:
+        df = df.select("path", "modificationTime", "length", F.lit(None).cast("binary").alias("content"))
+    return df

@@ -22,9 +22,19 @@ SALT_MIN_PARTITIONS = 64
 def top_k_per_group(df: DataFrame, keys: list[str], order: list[Column], k: int,
                     rank_col: str = "rank", salt_buckets: int | None = None) -> DataFrame:
     """Rows with ``rank_col`` = 1..k per group in ``order`` (which must be a total order)."""
-    parts = df.rdd.getNumPartitions() if salt_buckets is None else None
-    buckets = salt_buckets if salt_buckets is not None else (
-        int(math.ceil(math.sqrt(parts))) if parts >= SALT_MIN_PARTITIONS else 1)
+    if salt_buckets is None:
+        # The map side of the ranking exchange runs on about as many partitions as the
+        # cluster's shuffle width; planning the child just to count them would execute
+        # its stages early under AQE.
+        spark = df.sparkSession
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        try:
+            parts = max(parts, spark.sparkContext.defaultParallelism)
+        except Exception:  # remote session: the shuffle width is the estimate
+            pass
+        buckets = int(math.ceil(math.sqrt(parts))) if parts >= SALT_MIN_PARTITIONS else 1
+    else:
+        buckets = salt_buckets
     staged = df
     if buckets > 1:
         staged = (df.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(buckets)))

@@ -51,7 +51,7 @@ def index_report(spark: SparkSession, corpus: DataFrame, term: str) -> DataFrame
 # --- W4 / W5 / W9: documents -------------------------------------------------------------------
 def process_documents(spark: SparkSession, folder: str, exact_html: bool = False) -> DataFrame:
     """Every file of ``folder`` -> ``(filename, ext, status, text, links, error)``."""
-    return docs.process_files(docs.scan_folder(spark, folder), exact_html=exact_html)
+    return docs.process_folder(spark, folder, exact_html=exact_html)
 
 
 def extract_text(spark: SparkSession, file_path: str, exact_html: bool = False) -> DataFrame:
@@ -62,8 +62,8 @@ def extract_text(spark: SparkSession, file_path: str, exact_html: bool = False)
 
 def docx_text(spark: SparkSession, folder: str) -> DataFrame:
     """The DOCX files of ``folder`` -> text."""
-    files = docs.scan_folder(spark, folder)
-    return docs.extract_docx(files.filter(tx.extension("path") == ".docx"))
+    files = docs.scan_folder(spark, folder, glob=docs.ci_glob(".docx"))
+    return docs.extract_docx(files)
 
 
 # --- W6 / W7: mentions ----------------------------------------------------------------------

@@ -46,7 +46,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     Taken from ``spark.checkpoint.dir`` (or the one already set on the context).  Only a
     local-mode session without one gets a fresh temporary folder, as in tests.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # remote session: the server owns the checkpoint folder
+        return spark.conf.get("spark.checkpoint.dir", None) or ""
     current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
@@ -62,6 +65,8 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared checkpoint folder for a written intermediate table."""
     root = checkpoint_root(spark).rstrip("/")
+    if not root:
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder for written tables")
     return f"{root}/{name}-{uuid.uuid4().hex}"
 
 

@@ -89,3 +89,12 @@ def test_text_quality_flag(spark):
     df = spark.createDataFrame([(1, "Сайт начинающего"), (2, "plain ascii")], "doc_id long, text string")
     flags = {r["doc_id"]: r["flagged"] for r in docs.text_quality(df).collect()}
     assert flags == {1: True, 2: False}
+
+
+def test_process_folder_job_equals_generic_path(spark):
+    from quarry.plans import jobs
+    d = _folder()
+    a = sorted(tuple(r) for r in jobs.process_documents(spark, d).select("filename", "status", "text").collect())
+    b = sorted(tuple(r) for r in docs.process_files(docs.scan_folder(spark, d)).select(
+        "filename", "status", "text").collect())
+    assert a == b and len(a) == 6
