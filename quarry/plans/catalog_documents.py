@@ -12,7 +12,7 @@ from quarry.plans import adapters
 from quarry.plans.catalog import Query, WSR_SQL
 from quarry.sources import corpus as src
 
-EDGE_SQL = f"^[{tx.WS_CLASS_BODY}]+|[{tx.WS_CLASS_BODY}]+$"
+EDGE_SQL = f"^[{tx.WS_CLASS_BODY_SQL}]+|[{tx.WS_CLASS_BODY_SQL}]+$"
 
 
 def _collapse_sql(x: str) -> str:
@@ -36,7 +36,7 @@ def _html_sql(x: str) -> str:
 
 
 def _links_sql(x: str) -> str:
-    return f"regexp_extract_all({x}, '{tx.LINK_PATTERN}')"
+    return f"regexp_extract_all({x}, '{tx.LINK_PATTERN_SQL}')"
 
 
 def _pages(spark, sf):

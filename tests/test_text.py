@@ -79,3 +79,11 @@ def test_pickled_width(spark):
     for r in df.collect():
         # one int inside a list: list bytes minus the list overhead of [x]
         assert r["w"] == len(pickle.dumps([r["n"]], protocol=4)) - 15
+
+
+def test_whitespace_regex_over_every_bmp_code_point(spark):
+    pts = [c for c in range(0x10000) if not 0xD800 <= c <= 0xDFFF]
+    df = spark.createDataFrame([(c, "a" + chr(c) + "b") for c in pts], "c int, s string").select(
+        "c", (F.size(tx.tokenize("s")) == 2).alias("ws"))
+    got = {r["c"] for r in df.collect() if r["ws"]}
+    assert got == {c for c in pts if chr(c).isspace()}
