@@ -17,6 +17,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarry.functions import html as hx
 from quarry.functions import text as tx
@@ -76,29 +77,58 @@ def extract_docx(files: DataFrame) -> DataFrame:
         _docx_batches, "path string, text string, status string, error string")
 
 
-def docx_bytes_py(paragraphs: list[str]) -> bytes:
-    """A minimal DOCX (zip) whose body has one paragraph per string."""
-    body = "".join(
-        f'<w:p><w:r><w:t xml:space="preserve">{_xml_escape(p)}</w:t></w:r></w:p>' for p in paragraphs)
-    doc = ('<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
-           '<w:document xmlns:w="http://schemas.openxmlformats.org/wordprocessingml/2006/main">'
-           f"<w:body>{body}</w:body></w:document>")
+_DOCX_HEAD = ('<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
+              '<w:document xmlns:w="http://schemas.openxmlformats.org/wordprocessingml/2006/main">'
+              "<w:body>")
+_DOCX_TAIL = "</w:body></w:document>"
+_PARA_HEAD = '<w:p><w:r><w:t xml:space="preserve">'
+_PARA_TAIL = "</w:t></w:r></w:p>"
+_CONTENT_TYPES = ('<?xml version="1.0" encoding="UTF-8"?><Types xmlns="http://schemas.openxml'
+                  'formats.org/package/2006/content-types"><Default Extension="xml" '
+                  'ContentType="application/xml"/></Types>')
+# characters XML 1.0 cannot carry (dropped when writing)
+_XML_FORBIDDEN = r"[\x{00}-\x{08}\x{0B}\x{0C}\x{0E}-\x{1F}]"
+
+
+def docx_zip_py(document_xml: str) -> bytes:
+    """A minimal DOCX package around a ``word/document.xml`` body."""
     buf = io.BytesIO()
     with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
-        z.writestr("[Content_Types].xml",
-                   '<?xml version="1.0" encoding="UTF-8"?><Types xmlns="http://schemas.openxml'
-                   'formats.org/package/2006/content-types"><Default Extension="xml" '
-                   'ContentType="application/xml"/></Types>')
-        z.writestr("word/document.xml", doc)
+        z.writestr("[Content_Types].xml", _CONTENT_TYPES)
+        z.writestr("word/document.xml", document_xml)
     return buf.getvalue()
 
 
+def docx_bytes_py(paragraphs: list[str]) -> bytes:
+    """A minimal DOCX whose body has one paragraph per string."""
+    body = "".join(f"{_PARA_HEAD}{_xml_escape(p)}{_PARA_TAIL}" for p in paragraphs)
+    return docx_zip_py(_DOCX_HEAD + body + _DOCX_TAIL)
+
+
 def _xml_escape(s: str) -> str:
     s = s.replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;")
-    # characters XML 1.0 cannot carry
     return "".join(ch for ch in s if ch in "\t\n\r" or ord(ch) >= 0x20)
 
 
+@F.pandas_udf(T.BinaryType())
+def _docx_zip_udf(xml: pd.Series) -> pd.Series:
+    return xml.map(docx_zip_py)
+
+
+def write_docx_documents(parts: DataFrame, doc_col: str, order_col: str, text_col: str) -> DataFrame:
+    """``(doc, part order, text)`` rows -> one DOCX per document, ``(doc, content)``: the
+    XML body is assembled natively (escaped, in part order); only zipping runs in Python."""
+    t = F.coalesce(F.col(text_col), F.lit(""))
+    esc = F.regexp_replace(F.replace(F.replace(F.replace(t, F.lit("&"), F.lit("&amp;")),
+                                               F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;")),
+                           _XML_FORBIDDEN, "")
+    para = F.concat(F.lit(_PARA_HEAD), esc, F.lit(_PARA_TAIL))
+    ordered = F.array_sort(F.collect_list(F.struct(F.col(order_col).alias("o"), para.alias("p"))))
+    body = F.array_join(F.transform(ordered, lambda x: x["p"]), "")
+    xml = parts.groupBy(doc_col).agg(F.concat(F.lit(_DOCX_HEAD), body, F.lit(_DOCX_TAIL)).alias("xml"))
+    return xml.select(doc_col, _docx_zip_udf("xml").alias("content"))
+
+
 # --- W4: files -> text + links ---------------------------------------------------------------
 def _classify(files: DataFrame) -> DataFrame:
     name = tx.basename("path")

@@ -5,7 +5,6 @@ They only rename, derive and re-encode columns, so their output grows with the t
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,17 +24,12 @@ def folder_files(spark: SparkSession, sf: str) -> DataFrame:
     return src.spread(pages.unionByName(texts), "path")
 
 
-def _docx_group(pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = pdf.sort_values("turn")
-    content = docs.docx_bytes_py([t if t is not None else "" for t in pdf["text"]])
-    conv = int(pdf["conv_id"].iloc[0])
-    return pd.DataFrame({"path": [f"conversations/conv_{conv}.docx"], "content": [content]})
-
-
 def conversation_docx_files(spark: SparkSession, sf: str) -> DataFrame:
     """Each conversation written as one DOCX file, one paragraph per turn."""
     conv = src.table(spark, sf, "conversations").select("conv_id", "turn", "text")
-    return conv.groupBy("conv_id").applyInPandas(_docx_group, "path string, content binary")
+    files = docs.write_docx_documents(conv, "conv_id", "turn", "text")
+    return files.select(F.concat(F.lit("conversations/conv_"), F.col("conv_id").cast("string"),
+                                 F.lit(".docx")).alias("path"), "content")
 
 
 # --- posts ------------------------------------------------------------------------------------

@@ -98,3 +98,11 @@ def test_process_folder_job_equals_generic_path(spark):
     b = sorted(tuple(r) for r in docs.process_files(docs.scan_folder(spark, d)).select(
         "filename", "status", "text").collect())
     assert a == b and len(a) == 6
+
+
+def test_native_docx_writer_matches_python_writer(spark):
+    parts = spark.createDataFrame([(1, 2, "b & <c>"), (1, 1, "a\x01z"), (2, 1, None)], "d long, p long, t string")
+    files = {r["d"]: bytes(r["content"]) for r in docs.write_docx_documents(parts, "d", "p", "t").collect()}
+    assert docs.docx_to_text_py(files[1]) == docs.docx_to_text_py(docs.docx_bytes_py(["a\x01z", "b & <c>"]))
+    assert docs.docx_to_text_py(files[1]) == "az b & <c>"
+    assert docs.docx_to_text_py(files[2]) == ""
