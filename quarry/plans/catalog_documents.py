@@ -135,6 +135,16 @@ WITH files AS (
   UNION ALL
   SELECT 'doc_' || doc_id || '.txt', '.txt', 'skipped', NULL, NULL FROM documents)
 """
+# A text written as ISO-8859-1 (one byte per code point, '?' above U+00FF) is valid UTF-8
+# exactly when its code points, read as bytes, follow the UTF-8 byte grammar (RFC 3629).
+_LATIN1_AS_UTF8 = ("(?:[\\x{00}-\\x{7F}]|[\\x{100}-\\x{10FFFF}]"
+                   "|[\\x{C2}-\\x{DF}][\\x{80}-\\x{BF}]"
+                   "|\\x{E0}[\\x{A0}-\\x{BF}][\\x{80}-\\x{BF}]"
+                   "|[\\x{E1}-\\x{EC}\\x{EE}\\x{EF}][\\x{80}-\\x{BF}]{2}"
+                   "|\\x{ED}[\\x{80}-\\x{9F}][\\x{80}-\\x{BF}]"
+                   "|\\x{F0}[\\x{90}-\\x{BF}][\\x{80}-\\x{BF}]{2}"
+                   "|[\\x{F1}-\\x{F3}][\\x{80}-\\x{BF}]{3}"
+                   "|\\x{F4}[\\x{80}-\\x{8F}][\\x{80}-\\x{BF}]{2})*")
 _XML_DROP = r"[\x{00}-\x{08}\x{0B}\x{0C}\x{0E}-\x{1F}]"
 
 DOCUMENT_ORACLE: dict[str, str] = {
@@ -158,9 +168,9 @@ SELECT filename, ext, status, text,
 FROM files
 """,
     "unsupported_files": _FOLDER_SQL + "SELECT DISTINCT filename FROM files WHERE status = 'skipped'",
-    "utf8_check": """
+    "utf8_check": f"""
 SELECT 'page_' || page_id || '.html' AS filename, true AS valid_utf8 FROM pages
-UNION ALL SELECT 'doc_' || doc_id || '.txt', true FROM documents
+UNION ALL SELECT 'doc_' || doc_id || '.txt', regexp_full_match(text, '{_LATIN1_AS_UTF8}') FROM documents
 """,
     "assemble_pages": f"""
 SELECT conv_id, {_collapse_sql("string_agg(coalesce(text, ''), '' ORDER BY turn)")} AS text
