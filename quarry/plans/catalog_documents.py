@@ -55,6 +55,10 @@ def q_html_text(spark, sf):
     return _pages(spark, sf).select("page_id", hx.html_to_text("html").alias("text"))
 
 
+def q_html_text_exact(spark, sf):
+    return _pages(spark, sf).select("page_id", hx.html_to_text_exact("html").alias("text"))
+
+
 def q_find_links(spark, sf):
     links = tx.find_links(hx.html_to_text("html"))
     return _pages(spark, sf).select("page_id", F.array_join(links, " ").alias("links"),
@@ -113,6 +117,7 @@ def q_docx_text(spark, sf):
 
 DOCUMENT_QUERIES: dict[str, Query] = {
     "html_text": q_html_text,
+    "html_text_exact": q_html_text_exact,
     "find_links": q_find_links,
     "link_presence": q_link_presence,
     "extraction_coverage": q_extraction_coverage,
@@ -149,6 +154,7 @@ _XML_DROP = r"[\x{00}-\x{08}\x{0B}\x{0C}\x{0E}-\x{1F}]"
 
 DOCUMENT_ORACLE: dict[str, str] = {
     "html_text": f"SELECT page_id, {_html_sql('html')} AS text FROM pages",
+    "html_text_exact": f"SELECT page_id, {_html_sql('html')} AS text FROM pages",
     "find_links": f"""
 SELECT page_id, array_to_string(l, ' ') AS links, len(l)::BIGINT AS n_links
 FROM (SELECT page_id, {_links_sql(_html_sql('html'))} AS l FROM pages)

@@ -10,11 +10,12 @@ from quarry.session import scratch_path
 def write_index(spark: SparkSession, post: DataFrame, path: str | None = None,
                 partitions: int | None = None) -> str:
     """Range-partitioned and sorted by ``(term, doc_id)`` with a Parquet bloom filter on
-    ``term``: a lookup ``term = q`` touches one file and row groups whose stats and bloom
-    filter admit ``q``."""
+    ``term``: a lookup ``term = q`` touches only the files and row groups whose min/max
+    stats and bloom filter admit ``q``.  The range key includes ``doc_id`` so that a very
+    frequent term is split over several files instead of one task writing all of it."""
     path = path or scratch_path(spark, "index")
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (post.repartitionByRange(n, "term").sortWithinPartitions("term", "doc_id")
+    (post.repartitionByRange(n, "term", "doc_id").sortWithinPartitions("term", "doc_id")
      .write.mode("overwrite")
      .option("parquet.bloom.filter.enabled#term", "true")
      .parquet(path))
