@@ -151,14 +151,17 @@ def _size_partials(batches):
 
 
 def term_size_stats(post: DataFrame) -> DataFrame:
-    """Per term: occurrences, pickled-id bytes, Elias-delta bits and ids per width."""
-    w = tx.pickled_int_width("doc_id")
-    by_width = [F.sum(F.when(w == c, F.col("tf")).otherwise(0)).cast("long").alias(f"c{c}")
+    """Per term: occurrences, pickled-id bytes, Elias-delta bits and ids per width.  The
+    width and code length are computed once per posting, in a projection below the
+    aggregate."""
+    per_posting = post.select("term", "tf", tx.pickled_int_width("doc_id").alias("_w"),
+                              tx.elias_delta_length("doc_id").alias("_dl"))
+    by_width = [F.sum(F.when(F.col("_w") == c, F.col("tf")).otherwise(0)).cast("long").alias(f"c{c}")
                 for c in WIDTH_CLASSES]
-    return post.groupBy("term").agg(
+    return per_posting.groupBy("term").agg(
         F.sum("tf").cast("long").alias("n"),
-        F.sum(F.col("tf") * w).cast("long").alias("sw"),
-        F.sum(F.col("tf") * tx.elias_delta_length("doc_id")).cast("long").alias("bits"),
+        F.sum(F.col("tf") * F.col("_w")).cast("long").alias("sw"),
+        F.sum(F.col("tf") * F.col("_dl")).cast("long").alias("bits"),
         *by_width)
 
 

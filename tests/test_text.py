@@ -87,3 +87,4 @@ def test_whitespace_regex_over_every_bmp_code_point(spark):
         "c", (F.size(tx.tokenize("s")) == 2).alias("ws"))
     got = {r["c"] for r in df.collect() if r["ws"]}
     assert got == {c for c in pts if chr(c).isspace()}
+
