@@ -10,7 +10,6 @@ entities inside text, and collapse whitespace.
 
 from __future__ import annotations
 
-import html as _html
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -85,6 +84,3 @@ def html_to_text_py(markup: str | None) -> str | None:
 def html_to_text_exact(markup: pd.Series) -> pd.Series:
     return markup.map(html_to_text_py)
 
-
-def unescape_py(s: str) -> str:
-    return _html.unescape(s)

@@ -22,10 +22,6 @@ from pyspark.sql import types as T
 from quarry.functions import html as hx
 from quarry.functions import text as tx
 
-PROCESSED_SCHEMA = ("filename string, ext string, status string, text string, "
-                    "links array<string>, error string")
-
-
 # --- DOCX (W9) ------------------------------------------------------------------------------
 _W = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
 

@@ -267,9 +267,3 @@ def search_corpus(spark: SparkSession, corpus: DataFrame, terms: list[str] | str
     """A5 without a stored index: same output as :func:`search`."""
     terms = [terms] if isinstance(terms, str) else list(dict.fromkeys(terms))
     return search(spark, query_postings(spark, corpus, terms), terms, compressed)
-
-
-# --- M2 over any integer column ----------------------------------------------------------
-def with_codes(df: DataFrame, col: str, prefix: str | None = None) -> DataFrame:
-    p = prefix or col
-    return df.withColumn(f"{p}_gamma", tx.elias_gamma(col)).withColumn(f"{p}_delta", tx.elias_delta(col))
