@@ -224,15 +224,13 @@ def search(spark: SparkSession, post: DataFrame, terms: list[str] | str,
     terms = [terms] if isinstance(terms, str) else list(dict.fromkeys(terms))
     found = posting_blocks(_restrict_to_terms(spark, post, terms), compressed=compressed)
     res_col = "codes" if compressed else "doc_ids"
-    found = found.select("term", "block", F.col(res_col).alias("results"),
-                         F.sum("n").over(Window.partitionBy("term")).cast("long").alias("count"))
     q = small_literal_frame(spark, [(t,) for t in terms], "term string")
-    hit_terms = found.select("term").distinct()           # at most len(terms) rows
+    # one pass over the matches: the query list (small) left-joined to its blocks
+    joined = q.join(found, "term", "left")
     empty = F.array().cast(T.ArrayType(T.StringType() if compressed else T.LongType()))
-    misses = q.join(hit_terms, "term", "left_anti").select(
-        "term", F.lit(None).cast("long").alias("block"), empty.alias("results"),
-        F.lit(0).cast("long").alias("count"))
-    return found.unionByName(misses)
+    return joined.select(
+        "term", "block", F.coalesce(F.col(res_col), empty).alias("results"),
+        F.coalesce(F.sum("n").over(Window.partitionBy("term")), F.lit(0)).cast("long").alias("count"))
 
 
 # Up to this many terms a substring prefilter (OR of contains) runs before tokenising.
