@@ -17,15 +17,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def spread(df: DataFrame, key: str | None = None) -> DataFrame:
     """Spread a scan that yields fewer partitions than the cluster has cores (one small
-    file, one row group) so CPU-heavy per-row work runs in parallel.  A large input
-    already has more splits than cores and is returned unchanged (no shuffle)."""
+    file, one row group) so CPU-heavy per-row work runs in parallel; two partitions per
+    core even out documents of very different lengths.  A large input already has more
+    splits than cores and is returned unchanged (no shuffle)."""
     try:
         cores = df.sparkSession.sparkContext.defaultParallelism
         if df.rdd.getNumPartitions() >= cores:
             return df
     except Exception:  # no RDD view of the plan (remote session): leave the scan as it is
         return df
-    return df.repartition(cores, key) if key else df.repartition(cores)
+    n = 2 * cores
+    return df.repartition(n, key) if key else df.repartition(n)
 
 
 def read_corpus(spark: SparkSession, path: str, fmt: str = "parquet",
