@@ -79,7 +79,8 @@ def recent_bounds(as_of: dt.datetime) -> tuple[dt.datetime, dt.datetime]:
 
 def in_period(date: Column, start: dt.datetime, end: dt.datetime) -> Column:
     """Inclusive on both ends; written as a range on the raw column so Parquet prunes it."""
-    lit = lambda d: F.lit(d).cast("timestamp_ntz")
+    # wall-clock literal from text, independent of the session and Python time zones
+    lit = lambda d: F.lit(d.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
     return (date >= lit(start)) & (date <= lit(end))
 
 

@@ -43,3 +43,22 @@ def test_query_matches_oracle(spark, name):
     idx = [ocols.index(c) for c in order]
     b = sorted((tuple(_norm(r[i]) for i in idx) for r in res.fetchall()), key=repr)
     assert a == b
+
+
+@pytest.mark.parametrize("name", ["posts_recent", "posts_in_year", "monthly_matrix", "flatten_posts"])
+def test_time_queries_ignore_session_zone(spark, name):
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = entry.queries()[name](spark, SF)
+        order = sorted(df.columns)
+        a = sorted(tuple(str(r[c]) for c in order) for r in df.collect())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    res = con.execute(entry.oracle_sql()[name])
+    cols = [d[0] for d in res.description]
+    b = sorted(tuple(str(r[cols.index(c)]) for c in order) for r in res.fetchall())
+    assert a == b
