@@ -32,16 +32,26 @@ PAGE_SCHEMA = T.StructType([
 ])
 
 
-_PARSE_SCHEMA = T.StructType(PAGE_SCHEMA.fields + [T.StructField("_corrupt", T.StringType())])
+# Pages are parsed with the items kept as raw JSON text, and every item is parsed on its
+# own: a malformed post is rejected alone and the rest of its page is kept.
+_RAW_PAGE_SCHEMA = T.StructType([
+    T.StructField("query", T.StringType()),
+    T.StructField("items", T.ArrayType(T.StringType())),
+    T.StructField("next_from", T.StringType()),
+    T.StructField("total_count", T.LongType()),
+    T.StructField("_corrupt", T.StringType()),
+])
+_ITEM_SCHEMA = T.StructType(POST_SCHEMA.fields + [T.StructField("_corrupt", T.StringType())])
+_PERMISSIVE = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
 
 
 def parse_pages(lines: DataFrame, value_col: str = "value") -> tuple[DataFrame, DataFrame]:
-    """``(pages, rejects)``: parsed pages, and the raw lines that are not a valid page."""
-    parsed = lines.select(F.col(value_col).alias("raw"), F.from_json(
-        F.col(value_col), _PARSE_SCHEMA,
-        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}).alias("p"))
+    """``(pages, rejects)``: pages ``(query, items ARRAY<raw JSON>, next_from, total_count)``
+    and the raw lines that are not a valid page."""
+    parsed = lines.select(F.col(value_col).alias("raw"),
+                          F.from_json(F.col(value_col), _RAW_PAGE_SCHEMA, _PERMISSIVE).alias("p"))
     bad_row = F.col("p").isNull() | F.col("p._corrupt").isNotNull()
-    ok = parsed.filter(~bad_row).select(*[F.col(f"p.{f.name}") for f in PAGE_SCHEMA.fields])
+    ok = parsed.filter(~bad_row).select("p.query", "p.items", "p.next_from", "p.total_count")
     return ok, parsed.filter(bad_row).select("raw")
 
 
@@ -50,6 +60,19 @@ def read_landed_pages(spark: SparkSession, path: str) -> tuple[DataFrame, DataFr
     return parse_pages(spark.read.text(path))
 
 
+def _parsed_items(pages: DataFrame) -> DataFrame:
+    raw = pages.select(F.col("query").alias("topic"), F.explode("items").alias("raw"))
+    return raw.select("topic", "raw", F.from_json("raw", _ITEM_SCHEMA, _PERMISSIVE).alias("item"))
+
+
 def page_items(pages: DataFrame) -> DataFrame:
-    """``(topic, item)``, one row per post on any page (pages hold at most a page size)."""
-    return pages.select(F.col("query").alias("topic"), F.explode("items").alias("item"))
+    """``(topic, item)``, one row per well-formed post on any page (pages hold at most a
+    page size of items)."""
+    ok = _parsed_items(pages).filter(F.col("item").isNotNull() & F.col("item._corrupt").isNull())
+    return ok.select("topic", F.struct(*[F.col(f"item.{f.name}") for f in POST_SCHEMA.fields]).alias("item"))
+
+
+def item_rejects(pages: DataFrame) -> DataFrame:
+    """``(topic, raw)`` of posts that do not fit the post schema (P9, per record)."""
+    bad = _parsed_items(pages).filter(F.col("item").isNull() | F.col("item._corrupt").isNotNull())
+    return bad.select("topic", "raw")

@@ -9,13 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from quarry.operators.mentions import flatten_items
-from quarry.sources.landed import page_items, parse_pages
+from quarry.sources.landed import item_rejects, page_items, parse_pages
 
 
 def flat_posts_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int = 1000) -> tuple[DataFrame, DataFrame]:
     lines = (spark.readStream.format("text")
              .option("maxFilesPerTrigger", max_files_per_trigger).load(landing_dir))
-    pages, rejects = parse_pages(lines)
+    pages, line_rejects = parse_pages(lines)
+    rejects = line_rejects.unionByName(item_rejects(pages).select("raw"))
     return flatten_items(page_items(pages)), rejects
 
 

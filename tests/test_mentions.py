@@ -22,12 +22,15 @@ def test_flatten_defaults_and_rejects(spark):
             {"id": 1, "owner_id": -5, "from_id": 7, "date": 86400, "text": "x",
              "likes": {"count": 3}, "views": {"count": 9}, "reposts": {"count": 1}, "comments": {"count": 2}},
             {"id": 2, "owner_id": -5},
+            {"id": 9, "owner_id": 4, "likes": 5},
             {"owner_id": 4}]}),
         "{not json",
         json.dumps({"query": "V", "items": []}),
     ]
     pages, rejects = landed.parse_pages(spark.createDataFrame([(s,) for s in lines], "value string"))
     assert [r["raw"] for r in rejects.collect()] == ["{not json"]
+    bad_items = landed.item_rejects(pages).collect()
+    assert [(r["topic"], json.loads(r["raw"])["id"]) for r in bad_items] == [("U", 9)]
     posts = {r["post_id"]: r for r in mx.flatten_items(landed.page_items(pages)).collect()}
     assert len(posts) == 3
     p1, p2, p3 = posts[1], posts[2], posts[None]
