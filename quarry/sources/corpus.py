@@ -31,11 +31,19 @@ def spread(df: DataFrame, key: str | None = None) -> DataFrame:
 
 
 def read_corpus(spark: SparkSession, path: str, fmt: str = "parquet",
-                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id BIGINT, text STRING)``; only these two columns reach the scan."""
+                id_col: str | None = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(doc_id BIGINT, text STRING)``; only these two columns reach the scan.
+
+    With ``id_col=None`` (Parquet) the ids are the 0-based positions of the records in
+    corpus order: files by path, rows by their index inside the file (S2)."""
     df = spark.read.format(fmt).load(path)
-    return df.select(F.col(id_col).cast("long").alias("doc_id"),
-                     F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    text = F.coalesce(F.col(text_col), F.lit("")).alias("text")
+    if id_col is not None:
+        return df.select(F.col(id_col).cast("long").alias("doc_id"), text)
+    from quarry.operators.ids import dense_ids
+    located = df.select(text, F.col("_metadata.file_path").alias("_file"),
+                        F.col("_metadata.row_index").alias("_row"))
+    return dense_ids(located, ["_file", "_row"], "doc_id").select("doc_id", "text")
 
 
 def replicate_corpus(corpus: DataFrame, threshold: int = REPLICATION_THRESHOLD,

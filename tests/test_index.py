@@ -146,3 +146,13 @@ def test_replicate_corpus(spark, corpus4):
     assert len(rep) == 24
     assert {r["doc_id"]: r["text"] for r in rep}[7] == "декан преподаватель"   # copy 1 of record 1
     assert src.replicate_corpus(corpus4, threshold=4).count() == 4
+
+
+def test_corpus_without_ids_gets_positions(spark, tmp_path):
+    import pandas as pd
+    d = tmp_path / "corpus"
+    d.mkdir()
+    pd.DataFrame({"text": [f"a{i}" for i in range(0, 700)]}).to_parquet(d / "part-0.parquet", row_group_size=100)
+    pd.DataFrame({"text": [f"b{i}" for i in range(0, 300)]}).to_parquet(d / "part-1.parquet", row_group_size=70)
+    got = {r["doc_id"]: r["text"] for r in src.read_corpus(spark, str(d), id_col=None).collect()}
+    assert got == {i: (f"a{i}" if i < 700 else f"b{i - 700}") for i in range(1000)}
