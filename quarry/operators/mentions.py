@@ -12,6 +12,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarry.operators.topk import top_k_per_group
 from quarry.session import fits_broadcast, small_literal_frame
@@ -103,8 +104,45 @@ def api_order() -> list[Column]:
     return [F.col("date").desc(), F.col("post_id").asc()]
 
 
+# Above this many topics a substring search scans each text once with an Aho-Corasick
+# automaton instead of testing every (post, topic) pair.
+AUTOMATON_MIN_TOPICS = 256
+
+
+def _automaton_matcher(topics: list[str], text_col: str):
+    def run(batches):
+        import ahocorasick
+
+        auto = ahocorasick.Automaton()
+        for t in topics:
+            if t:
+                auto.add_word(t, t)
+        auto.make_automaton()
+        for pdf in batches:
+            idx, names = [], []
+            for i, text in enumerate(pdf[text_col]):
+                if text is None:
+                    continue
+                hit = {v for _, v in auto.iter(text)}
+                idx.extend([i] * len(hit))
+                names.extend(sorted(hit))
+            out = pdf.iloc[idx].reset_index(drop=True)
+            out["university"] = names
+            yield out
+    return run
+
+
+def _has_automaton() -> bool:
+    try:
+        import ahocorasick  # noqa: F401
+        return True
+    except ImportError:
+        return False
+
+
 def search_mentions(spark: SparkSession, posts: DataFrame, topics: list[str],
-                    cap: int | None = PER_TOPIC_CAP, whole_token: bool = False) -> DataFrame:
+                    cap: int | None = PER_TOPIC_CAP, whole_token: bool = False,
+                    automaton_min_topics: int = AUTOMATON_MIN_TOPICS) -> DataFrame:
     """Posts whose text contains the topic (case-sensitive substring, or a whole
     whitespace-separated token), labelled with the topic, at most ``cap`` per topic in
     API order (newest first).  The topic list is a parameter whose size is checked
@@ -119,6 +157,12 @@ def search_mentions(spark: SparkSession, posts: DataFrame, topics: list[str],
         from quarry.functions.text import tokenize
         hits = F.array_distinct(F.filter(tokenize(p["text"]), lambda t: t.isin(topics)))
         matched = p.select("*", F.explode(hits).alias("university"))
+    elif len(topics) >= automaton_min_topics and _has_automaton():
+        # the empty topic matches every text (as contains('') does)
+        schema = T.StructType(p.schema.fields + [T.StructField("university", T.StringType())])
+        matched = p.mapInPandas(_automaton_matcher(topics, "text"), schema)
+        if "" in topics:
+            matched = matched.unionByName(p.withColumn("university", F.lit("")))
     else:
         tdf = F.broadcast(small_literal_frame(spark, [(t,) for t in topics], "topic string"))
         matched = p.join(tdf, p["text"].contains(tdf["topic"])).withColumnRenamed("topic", "university")

@@ -104,3 +104,16 @@ def test_report_empty_writes_nothing(spark, tmp_path):
     paths = report.write_report(spark.createDataFrame(rows, POST_COLS), str(tmp_path / "r2"), 2024)
     topics = spark.read.parquet(paths[report.SHEET_TOPICS])
     assert topics.columns == report.TOPIC_HEADERS
+
+
+def test_automaton_search_equals_join(spark):
+    docs_df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select(
+        F.col("doc_id").alias("post_id"), F.lit(1).cast("long").alias("owner_id"),
+        F.lit(1).cast("long").alias("author_id"), F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz").alias("date"),
+        "text")
+    topics = ["the", "de", "and", "zzzz-none", "é", "ing", "x", "Die", "qu"]
+    a = mx.search_mentions(spark, docs_df, topics, cap=None, automaton_min_topics=1)
+    b = mx.search_mentions(spark, docs_df, topics, cap=None, automaton_min_topics=10 ** 9)
+    key = lambda df: sorted((r["university"], r["post_id"]) for r in df.select("university", "post_id").collect())
+    ka = key(a)
+    assert ka == key(b) and len(ka) > 100
