@@ -12,17 +12,21 @@ from quarry.operators import documents as docs
 from quarry.sources import corpus as src
 
 
-def folder_files(spark: SparkSession, sf: str) -> DataFrame:
+def folder_files(spark: SparkSession, sf: str, with_docx: bool = True) -> DataFrame:
     """A document folder as ``binaryFile`` rows: every page as ``page_<id>.html`` (UTF-8)
     and every document as ``doc_<id>.txt`` (an unsupported suffix) in a legacy single-byte
-    encoding (ISO-8859-1, characters it lacks written as ``?``), so many are not UTF-8."""
+    encoding (ISO-8859-1, characters it lacks written as ``?``), so many are not UTF-8;
+    with ``with_docx`` also every conversation as ``conv_<id>.docx``."""
     pages = src.table(spark, sf, "pages").select(
         F.concat(F.lit("corpus/page_"), F.col("page_id").cast("string"), F.lit(".html")).alias("path"),
         F.encode("html", "UTF-8").alias("content"))
     texts = src.table(spark, sf, "documents").select(
         F.concat(F.lit("corpus/doc_"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("path"),
         F.encode(F.regexp_replace("text", r"[^\x{00}-\x{FF}]", "?"), "ISO-8859-1").alias("content"))
-    return src.spread(pages.unionByName(texts), "path")
+    files = pages.unionByName(texts)
+    if with_docx:
+        files = files.unionByName(conversation_docx_files(spark, sf))
+    return src.spread(files, "path")
 
 
 def conversation_docx_files(spark: SparkSession, sf: str) -> DataFrame:

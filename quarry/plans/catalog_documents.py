@@ -83,7 +83,7 @@ def q_unsupported_files(spark, sf):
 
 
 def q_utf8_check(spark, sf):
-    f = adapters.folder_files(spark, sf)
+    f = adapters.folder_files(spark, sf, with_docx=False)
     return f.select(tx.basename("path").alias("filename"), tx.is_valid_utf8("content").alias("valid_utf8"))
 
 
@@ -132,14 +132,6 @@ DOCUMENT_QUERIES: dict[str, Query] = {
     "docx_text": q_docx_text,
 }
 
-_FOLDER_SQL = f"""
-WITH files AS (
-  SELECT 'page_' || page_id || '.html' AS filename, '.html' AS ext, 'ok' AS status,
-         {_html_sql('html')} AS text, NULL AS error
-  FROM pages
-  UNION ALL
-  SELECT 'doc_' || doc_id || '.txt', '.txt', 'skipped', NULL, NULL FROM documents)
-"""
 # A text written as ISO-8859-1 (one byte per code point, '?' above U+00FF) is valid UTF-8
 # exactly when its code points, read as bytes, follow the UTF-8 byte grammar (RFC 3629).
 _LATIN1_AS_UTF8 = ("(?:[\\x{00}-\\x{7F}]|[\\x{100}-\\x{10FFFF}]"
@@ -150,7 +142,24 @@ _LATIN1_AS_UTF8 = ("(?:[\\x{00}-\\x{7F}]|[\\x{100}-\\x{10FFFF}]"
                    "|\\x{F0}[\\x{90}-\\x{BF}][\\x{80}-\\x{BF}]{2}"
                    "|[\\x{F1}-\\x{F3}][\\x{80}-\\x{BF}]{3}"
                    "|\\x{F4}[\\x{80}-\\x{8F}][\\x{80}-\\x{BF}]{2})*")
+# characters XML 1.0 cannot carry: the DOCX writer drops them
 _XML_DROP = r"[\x{00}-\x{08}\x{0B}\x{0C}\x{0E}-\x{1F}]"
+_DOCX_TEXT_SQL = _collapse_sql(
+    f"string_agg(regexp_replace(coalesce(text, ''), '{_XML_DROP}', '', 'g'), ' ' ORDER BY turn)")
+
+_FOLDER_SQL = f"""
+WITH files AS (
+  SELECT 'page_' || page_id || '.html' AS filename, '.html' AS ext, 'ok' AS status,
+         {_html_sql('html')} AS text, NULL AS error
+  FROM pages
+  UNION ALL
+  SELECT 'doc_' || doc_id || '.txt', '.txt', 'skipped', NULL, NULL FROM documents
+  UNION ALL
+  SELECT 'conv_' || conv_id || '.docx', '.docx', 'ok',
+         {_DOCX_TEXT_SQL},
+         NULL
+  FROM conversations GROUP BY conv_id)
+"""
 
 DOCUMENT_ORACLE: dict[str, str] = {
     "html_text": f"SELECT page_id, {_html_sql('html')} AS text FROM pages",
@@ -195,7 +204,7 @@ FROM (SELECT doc_id, length(regexp_replace(text, '{tx.ASCII}', '', 'g')) / great
 """,
     "docx_text": f"""
 SELECT 'conv_' || conv_id || '.docx' AS filename, 'ok' AS status,
-       {_collapse_sql(f"string_agg(regexp_replace(coalesce(text, ''), '{_XML_DROP}', '', 'g'), ' ' ORDER BY turn)")} AS text
+       {_DOCX_TEXT_SQL} AS text
 FROM conversations GROUP BY conv_id
 """,
 }
