@@ -156,3 +156,15 @@ def test_corpus_without_ids_gets_positions(spark, tmp_path):
     pd.DataFrame({"text": [f"b{i}" for i in range(0, 300)]}).to_parquet(d / "part-1.parquet", row_group_size=70)
     got = {r["doc_id"]: r["text"] for r in src.read_corpus(spark, str(d), id_col=None).collect()}
     assert got == {i: (f"a{i}" if i < 700 else f"b{i - 700}") for i in range(1000)}
+
+
+def test_search_many_terms_uses_join_path(spark):
+    docs = spark.createDataFrame([(0, "alpha beta beta"), (1, "gamma alpha"), (2, "")], "doc_id long, text string")
+    terms = ["alpha", "beta", "nope"] + [f"filler{i}" for i in range(1100)]
+    assert len(terms) > ix.ISIN_LIMIT
+    got = {r["term"]: (list(r["results"]), r["count"])
+           for r in ix.search_corpus(spark, docs, terms, compressed=False).collect()
+           if r["term"] in ("alpha", "beta", "nope")}
+    assert got == {"alpha": ([0, 1], 2), "beta": ([0, 0], 2), "nope": ([], 0)}
+    via_index = {r["term"]: r["count"] for r in ix.search(spark, ix.postings(docs), terms, compressed=False).collect()}
+    assert via_index["alpha"] == 2 and via_index["filler7"] == 0 and len(via_index) == len(terms)
