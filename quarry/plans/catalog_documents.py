@@ -150,7 +150,7 @@ _DOCX_TEXT_SQL = _collapse_sql(
 _FOLDER_SQL = f"""
 WITH files AS (
   SELECT 'page_' || page_id || '.html' AS filename, '.html' AS ext, 'ok' AS status,
-         {_html_sql('html')} AS text, NULL AS error
+         {_html_sql('html')} AS text, CAST(NULL AS VARCHAR) AS error
   FROM pages
   UNION ALL
   SELECT 'doc_' || doc_id || '.txt', '.txt', 'skipped', NULL, NULL FROM documents

@@ -62,3 +62,22 @@ def test_time_queries_ignore_session_zone(spark, name):
     cols = [d[0] for d in res.description]
     b = sorted(tuple(str(r[cols.index(c)]) for c in order) for r in res.fetchall())
     assert a == b
+
+
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
+                 "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "date": "DATE"}
+
+
+def test_column_types_match_oracle(spark):
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    bad = {}
+    for name, q in entry.queries().items():
+        s = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+             for f in q(spark, SF).schema.fields}
+        rel = con.sql(entry.oracle_sql()[name])
+        d = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+        if s != d:
+            bad[name] = (s, d)
+    assert not bad
