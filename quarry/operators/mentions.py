@@ -132,6 +132,19 @@ def _automaton_matcher(topics: list[str], text_col: str):
     return run
 
 
+def _chunks_fitting_broadcast(topics: list[str]) -> list[list[str]]:
+    from quarry.session import BROADCAST_LIMIT_BYTES
+    chunks, cur, size = [], [], 0
+    for t in topics:
+        w = len(repr((t,)))
+        if cur and size + w > BROADCAST_LIMIT_BYTES // 2:
+            chunks.append(cur)
+            cur, size = [], 0
+        cur.append(t)
+        size += w
+    return chunks + ([cur] if cur else [])
+
+
 def _has_automaton() -> bool:
     try:
         import ahocorasick  # noqa: F401
@@ -148,9 +161,17 @@ def search_mentions(spark: SparkSession, posts: DataFrame, topics: list[str],
     API order (newest first).  The topic list is a parameter whose size is checked
     before it is broadcast."""
     topics = list(dict.fromkeys(topics))
-    if not fits_broadcast(topics):
-        raise ValueError("topic list too large to broadcast; split it into several searches")
     p = posts.drop("university") if "university" in posts.columns else posts
+    if not fits_broadcast(topics):
+        # exact for any list size: search broadcast-sized chunks and union the matches
+        matched = None
+        for chunk in _chunks_fitting_broadcast(topics):
+            part = search_mentions(spark, p, chunk, cap=None, whole_token=whole_token,
+                                   automaton_min_topics=automaton_min_topics)
+            matched = part if matched is None else matched.unionByName(part)
+        if cap is None:
+            return matched
+        return top_k_per_group(matched, ["university"], api_order(), cap, rank_col="_rank").drop("_rank")
     if whole_token:
         # exact token match: each post names the topics among its own distinct tokens,
         # so no join is needed at all
@@ -227,18 +248,38 @@ def _quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def daily_counts(posts: DataFrame, topics: list[str] | None = None, spark: SparkSession | None = None) -> DataFrame:
+def _daily_counts_grid(posts: DataFrame, topics_df: DataFrame | None = None) -> DataFrame:
+    """Many topics: the day set is a scalar subquery (one row, bounded by the calendar),
+    every topic is crossed with it by ``explode``, and the counts are left-joined on
+    ``(topic, day)``; nothing is collected to the driver."""
+    day = F.date_format("date", "yyyy-MM-dd").alias("day")
+    src = posts if topics_df is None else posts.join(topics_df, "university", "left_semi")
+    per = src.groupBy("university", day).agg(F.count(F.lit(1)).cast("long").alias("n"))
+    days = per.select(F.sort_array(F.collect_set("day"))).scalar()
+    tps = per.select("university").distinct() if topics_df is None else topics_df
+    grid = tps.select("university", F.explode(days).alias("day"))
+    return (grid.join(per, ["university", "day"], "left")
+            .select("university", "day", F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n"))
+            .orderBy("university", "day"))
+
+
+def daily_counts(posts: DataFrame, topics: list[str] | None = None, spark: SparkSession | None = None,
+                 max_pivot_topics: int = MAX_TOPICS) -> DataFrame:
     """``(university, day 'yyyy-MM-dd', n)``: every topic gets every day on which any topic
     has a post (days nobody posted on stay absent), sorted by topic and day.
 
-    One aggregation by day pivoted on the topic list (a parameter; without it the distinct
-    topics present, checked against ``MAX_TOPICS``), then unpivoted with zeros: no grid
-    join, and each day row holds one count per topic."""
+    Up to ``max_pivot_topics`` topics: one aggregation by day pivoted on the topic list
+    (a parameter; without it the distinct topics present), then unpivoted with zeros, so
+    each day row holds one count per topic.  More topics: :func:`_daily_counts_grid`."""
     if topics is None:
-        found = [r[0] for r in posts.select("university").distinct().limit(MAX_TOPICS + 1).collect()]
-        if len(found) > MAX_TOPICS:
-            raise ValueError("too many topics for a zero-filled daily series")
+        found = [r[0] for r in posts.select("university").distinct().limit(max_pivot_topics + 1).collect()]
+        if len(found) > max_pivot_topics:
+            return _daily_counts_grid(posts)
         topics = sorted(t for t in found if t is not None)
+    elif len(topics) > max_pivot_topics:
+        spark = spark or posts.sparkSession
+        return _daily_counts_grid(posts, small_literal_frame(spark, [(t,) for t in dict.fromkeys(topics)],
+                                                             "university string"))
     topics = list(dict.fromkeys(topics))
     day = F.date_format("date", "yyyy-MM-dd").alias("_day")
     wide = (posts.filter(F.col("university").isin(topics))

@@ -117,3 +117,26 @@ def test_automaton_search_equals_join(spark):
     key = lambda df: sorted((r["university"], r["post_id"]) for r in df.select("university", "post_id").collect())
     ka = key(a)
     assert ka == key(b) and len(ka) > 100
+
+
+def test_daily_grid_path_equals_pivot(spark):
+    rows = [_post("A", 1, 5, 1), _post("A", 2, 5, 1), _post("B", 3, 6, 3), _post("C", 4, 7, 5)]
+    posts = spark.createDataFrame(rows, POST_COLS)
+    pivot = [tuple(r) for r in mx.daily_counts(posts).collect()]
+    grid = [tuple(r) for r in mx.daily_counts(posts, max_pivot_topics=1).collect()]
+    listed = [tuple(r) for r in mx.daily_counts(posts, ["A", "B", "C", "D"], max_pivot_topics=1).collect()]
+    assert pivot == grid and len(pivot) == 9
+    assert listed == [tuple(r) for r in mx.daily_counts(posts, ["A", "B", "C", "D"]).collect()]
+    assert len(listed) == 12
+
+
+def test_search_chunks_when_topics_exceed_broadcast(spark, monkeypatch):
+    import quarry.session as sess
+    rows = [("A", i, 1, 1, dt.datetime(2024, 1, 1), f"w{i} w{i + 1}", 0, 0, 0, 0, "") for i in range(20)]
+    posts = spark.createDataFrame(rows, POST_COLS)
+    topics = [f"w{i}" for i in range(0, 25, 2)]
+    whole = sorted((r["university"], r["post_id"]) for r in mx.search_mentions(spark, posts, topics, cap=None).collect())
+    monkeypatch.setattr(sess, "BROADCAST_LIMIT_BYTES", 40)
+    monkeypatch.setattr(mx, "fits_broadcast", lambda xs: sum(len(repr(x)) for x in xs) <= 40)
+    chunked = sorted((r["university"], r["post_id"]) for r in mx.search_mentions(spark, posts, topics, cap=None).collect())
+    assert chunked == whole and len(whole) > 10
