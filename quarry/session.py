@@ -71,10 +71,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def small_literal_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
-    """A DataFrame from a short driver-side list (query terms, topics), size-checked."""
-    approx = sum(len(repr(r)) for r in rows)
-    if approx > BROADCAST_LIMIT_BYTES:
-        raise ValueError(f"parameter list of ~{approx} bytes is too large to ship from the driver")
+    """A DataFrame from a driver-side parameter list (query terms, topics).  The rows are
+    parallelised into tasks; whoever broadcasts it checks its size first
+    (:func:`fits_broadcast`)."""
     return spark.createDataFrame(rows, schema)
 
 
