@@ -5,6 +5,8 @@ They only rename, derive and re-encode columns, so their output grows with the t
 
 from __future__ import annotations
 
+import pandas as pd
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,6 +39,40 @@ def conversation_docx_files(spark: SparkSession, sf: str) -> DataFrame:
                                  F.lit(".docx")).alias("path"), "content")
 
 
+def _file_writer(root: str):
+    def run(batches):
+        from pyarrow import fs as pafs
+
+        filesystem, base = pafs.FileSystem.from_uri(root)
+        for pdf in batches:
+            sizes = []
+            for path, content in zip(pdf["path"], pdf["content"]):
+                name = path.rsplit("/", 1)[-1]
+                with filesystem.open_output_stream(f"{base}/{name}") as out:   # idempotent on retry
+                    out.write(bytes(content))
+                sizes.append(len(content))
+            yield pd.DataFrame({"path": pdf["path"], "length": sizes})
+    return run
+
+
+def folder_on_disk(spark: SparkSession, sf: str) -> str:
+    """The derived folder written as real files under the shared scratch folder (each task
+    writes its own rows; a retried task rewrites the same names)."""
+    from quarry.session import scratch_path
+    import os
+    root = scratch_path(spark, "folder")
+    if root.startswith("file:") or "://" not in root:
+        # local file system (local mode): "file:/x", "file:///x" or a plain path
+        local = "/" + root.split(":", 1)[1].lstrip("/") if root.startswith("file:") else os.path.abspath(root)
+        os.makedirs(local, exist_ok=True)
+        uri = "file://" + local
+    else:
+        uri = root
+    written = folder_files(spark, sf).mapInPandas(_file_writer(uri), "path string, length long")
+    written.write.format("noop").mode("overwrite").save()
+    return root
+
+
 # --- posts ------------------------------------------------------------------------------------
 def _url(owner, post):
     from quarry.operators.mentions import post_url

@@ -78,6 +78,13 @@ def q_process_folder(spark, sf):
     return p.withColumn("links", F.array_join("links", " "))
 
 
+def q_process_documents(spark, sf):
+    """W4 as a user runs it: a folder on disk, scanned by S6 (glob-restricted scans)."""
+    from quarry.plans import jobs
+    out = jobs.process_documents(spark, adapters.folder_on_disk(spark, sf))
+    return out.withColumn("links", F.array_join("links", " "))
+
+
 def q_unsupported_files(spark, sf):
     return docs.unsupported_files(_processed(spark, sf))
 
@@ -122,6 +129,7 @@ DOCUMENT_QUERIES: dict[str, Query] = {
     "link_presence": q_link_presence,
     "extraction_coverage": q_extraction_coverage,
     "process_folder": q_process_folder,
+    "process_documents": q_process_documents,
     "unsupported_files": q_unsupported_files,
     "utf8_check": q_utf8_check,
     "assemble_pages": q_assemble_pages,
@@ -181,6 +189,11 @@ FROM files WHERE status <> 'skipped' GROUP BY ext
 SELECT filename, ext, status, text,
        CASE WHEN status = 'ok' THEN array_to_string({_links_sql('text')}, ' ') END AS links, error
 FROM files
+""",
+    "process_documents": _FOLDER_SQL + f"""
+SELECT filename, ext, status, text,
+       CASE WHEN status = 'ok' THEN array_to_string({_links_sql('text')}, ' ') END AS links, error
+FROM files
 """,
     "unsupported_files": _FOLDER_SQL + "SELECT DISTINCT filename FROM files WHERE status = 'skipped'",
     "utf8_check": f"""
