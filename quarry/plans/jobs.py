@@ -55,9 +55,17 @@ def process_documents(spark: SparkSession, folder: str, exact_html: bool = False
 
 
 def extract_text(spark: SparkSession, file_path: str, exact_html: bool = False) -> DataFrame:
-    """One file -> one row with its text (or the error)."""
+    """One file -> one row with its text (or the error).  Unlike the folder job, which
+    skips a name without a handled suffix, asking for such a file is an error."""
     files = spark.read.format("binaryFile").load(file_path)
-    return docs.process_files(files, exact_html=exact_html).select("filename", "status", "text", "error")
+    out = docs.process_files(files, exact_html=exact_html)
+    unsupported = F.col("status") == "skipped"
+    return out.select(
+        "filename",
+        F.when(unsupported, F.lit("error")).otherwise(F.col("status")).alias("status"),
+        "text",
+        F.when(unsupported, F.concat(F.lit("unsupported format: "), F.col("ext"))).otherwise(F.col("error"))
+        .alias("error"))
 
 
 def docx_text(spark: SparkSession, folder: str) -> DataFrame:

@@ -59,3 +59,7 @@ def test_text_quality_and_extract_text(spark):
     one = jobs.extract_text(spark, os.path.join(d, "en.docx")).first()
     assert one["status"] == "ok" and one["text"] == "see www.a.b"
     assert [r["text"] for r in jobs.docx_text(spark, d).collect()] == ["see www.a.b"]
+    with open(os.path.join(d, "notes.txt"), "w") as f:
+        f.write("plain")
+    bad = jobs.extract_text(spark, os.path.join(d, "notes.txt")).first()
+    assert bad["status"] == "error" and bad["error"] == "unsupported format: .txt"
