@@ -22,7 +22,8 @@ def test_stream_ingest_matches_batch(spark):
                       os.path.join(root, "ckpt"))
     for q in qs:
         q.awaitTermination(120)
-    _land(landing, "p2.json", [page("B", [3])])
+    _land(landing, "p2.json", [page("B", [3]),
+                               json.dumps({"query": "C", "items": [{"id": 4, "owner_id": 1}, {"id": 5, "likes": 7}]})])
     qs = start_ingest(spark, landing, os.path.join(root, "posts"), os.path.join(root, "rejects"),
                       os.path.join(root, "ckpt"))
     for q in qs:
@@ -30,5 +31,6 @@ def test_stream_ingest_matches_batch(spark):
     got = sorted((r["university"], r["post_id"]) for r in spark.read.parquet(os.path.join(root, "posts")).collect())
     pages, _ = read_landed_pages(spark, landing)
     want = sorted((r["university"], r["post_id"]) for r in flatten_items(page_items(pages)).collect())
-    assert got == want == [("A", 1), ("A", 2), ("B", 3)]
-    assert [r["raw"] for r in spark.read.parquet(os.path.join(root, "rejects")).collect()] == ["oops"]
+    assert got == want == [("A", 1), ("A", 2), ("B", 3), ("C", 4)]
+    rejects = [r["raw"] for r in spark.read.parquet(os.path.join(root, "rejects")).collect()]
+    assert sorted(rejects, key=len) == ["oops", '{"id":5,"likes":7}']
