@@ -82,5 +82,7 @@ def html_to_text_py(markup: str | None) -> str | None:
 
 @F.pandas_udf(T.StringType())
 def html_to_text_exact(markup: pd.Series) -> pd.Series:
+    """Exact path as an Arrow-batched UDF (workers need ``quarry``: see
+    :func:`quarry.session.ship_package`)."""
     return markup.map(html_to_text_py)
 

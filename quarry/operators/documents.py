@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from quarry.functions import html as hx
 from quarry.functions import text as tx
+from quarry.session import ship_package
 
 # --- DOCX (W9) ------------------------------------------------------------------------------
 _W = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
@@ -69,6 +70,7 @@ def _docx_batches(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def extract_docx(files: DataFrame) -> DataFrame:
     """``(path, content)`` of DOCX files -> ``(path, text, status, error)``."""
+    ship_package(files.sparkSession)
     return files.select("path", "content").mapInPandas(
         _docx_batches, "path string, text string, status string, error string")
 
@@ -121,6 +123,7 @@ def write_docx_documents(parts: DataFrame, doc_col: str, order_col: str, text_co
     para = F.concat(F.lit(_PARA_HEAD), esc, F.lit(_PARA_TAIL))
     ordered = F.array_sort(F.collect_list(F.struct(F.col(order_col).alias("o"), para.alias("p"))))
     body = F.array_join(F.transform(ordered, lambda x: x["p"]), "")
+    ship_package(parts.sparkSession)
     xml = parts.groupBy(doc_col).agg(F.concat(F.lit(_DOCX_HEAD), body, F.lit(_DOCX_TAIL)).alias("xml"))
     return xml.select(doc_col, _docx_zip_udf("xml").alias("content"))
 
@@ -168,6 +171,7 @@ def process_files(files: DataFrame, exact_html: bool = False) -> DataFrame:
 
     ``status`` is ``ok``, ``skipped`` (name without a handled suffix) or ``error``.
     """
+    ship_package(files.sparkSession)
     base = _classify(files)
     is_docx = F.col("_supported") & (F.col("ext") == ".docx")
     return _finish(_native_rows(base.filter(~is_docx), exact_html)
@@ -183,6 +187,7 @@ def process_folder(spark, folder: str, exact_html: bool = False) -> DataFrame:
     """W4 over a folder, reading file bytes only where they are needed: HTML and DOCX come
     from scans restricted by a case-insensitive glob, every other file only from the
     listing (its content is never read)."""
+    ship_package(spark)
     html = _classify(scan_folder(spark, folder, glob=ci_glob(".html")))
     docx = _classify(scan_folder(spark, folder, glob=ci_glob(".docx")))
     listing = scan_folder(spark, folder, content=False)

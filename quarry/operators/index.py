@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.functions import text as tx
-from quarry.session import fits_broadcast, small_literal_frame
+from quarry.session import fits_broadcast, ship_package, small_literal_frame
 
 # Ids per posting block (block = doc_id div BLOCK).
 BLOCK = 65536
@@ -169,6 +169,7 @@ def sizes_from_stats(stats: DataFrame, query: str | None = None) -> DataFrame:
     """A3 + A4 from per-term statistics (:func:`term_size_stats`, possibly stored)."""
     hit = F.when(F.col("term") == F.lit(query), F.col("n")) if query is not None else F.lit(0)
     cols = ["n", "sw", "bits", *[f"c{c}" for c in WIDTH_CLASSES]]
+    ship_package(stats.sparkSession)
     partials = stats.select(*cols, F.coalesce(hit, F.lit(0)).cast("long").alias("hits")).mapInPandas(
         _size_partials, "pickled long, bits long, hits long")
     aggs = [F.coalesce(F.sum("pickled"), F.lit(0)).cast("long").alias("uncompressed_bytes"),

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.operators.topk import top_k_per_group
-from quarry.session import fits_broadcast, small_literal_frame
+from quarry.session import fits_broadcast, ship_package, small_literal_frame
 
 # --- fixed values ---------------------------------------------------------------------------
 POST_URL_PREFIX = "https://vk.com/wall"     # post_url = prefix + owner_id + "_" + post_id
@@ -180,6 +180,7 @@ def search_mentions(spark: SparkSession, posts: DataFrame, topics: list[str],
         matched = p.select("*", F.explode(hits).alias("university"))
     elif len(topics) >= automaton_min_topics and _has_automaton():
         # the empty topic matches every text (as contains('') does)
+        ship_package(spark)
         schema = T.StructType(p.schema.fields + [T.StructField("university", T.StringType())])
         matched = p.mapInPandas(_automaton_matcher(topics, "text"), schema)
         if "" in topics:

@@ -68,6 +68,8 @@ def folder_on_disk(spark: SparkSession, sf: str) -> str:
         uri = "file://" + local
     else:
         uri = root
+    from quarry.session import ship_package
+    ship_package(spark)
     written = folder_files(spark, sf).mapInPandas(_file_writer(uri), "path string, length long")
     written.write.format("noop").mode("overwrite").save()
     return root

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,9 +38,38 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         builder = builder.config("spark.driver.memory", "16g")
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("WARN")
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: dict[int, str] = {}
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``quarry`` importable in the Python workers (the ``--py-files`` mechanism):
+    the package is zipped once per SparkContext and registered with ``addPyFile``, so
+    Arrow-batched steps work whatever the driver's working directory is."""
+    try:
+        sc = spark.sparkContext
+    except Exception:  # remote session: the server side must provide the package
+        return
+    key = id(sc._jsc)
+    if key in _SHIPPED:
+        return
+    import quarry
+
+    pkg_dir = os.path.dirname(os.path.abspath(quarry.__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="quarry-pyfiles-"), "quarry.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _dirs, files in os.walk(pkg_dir):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(root, name)
+                    z.write(full, os.path.join("quarry", os.path.relpath(full, pkg_dir)))
+    sc.addPyFile(target)
+    _SHIPPED[key] = target
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediate tables.
 

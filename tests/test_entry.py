@@ -81,3 +81,22 @@ def test_column_types_match_oracle(spark):
         if s != d:
             bad[name] = (s, d)
     assert not bad
+
+
+def test_python_steps_work_from_another_directory(tmp_path):
+    """The driver may import the entry module from anywhere: Python workers must still
+    import the package (it is shipped with addPyFile)."""
+    import os
+    import subprocess
+    import sys
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = (
+        "import sys; sys.path.insert(0, %r)\n"
+        "from pyspark.sql import SparkSession\n"
+        "s = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+        "import __spark_entry__ as e\n"
+        "print('ROWS', e.entry(s).count(), e.queries()['docx_text'](s, %r).count())\n" % (repo, SF))
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=str(tmp_path), env=env,
+                         capture_output=True, text=True, timeout=600)
+    assert "ROWS 1 20" in out.stdout, out.stderr[-2000:]
