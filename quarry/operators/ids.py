@@ -3,13 +3,13 @@
 The rows are range-partitioned and sorted on the key, tagged with
 ``monotonically_increasing_id`` (partition index in the high bits, position in the low
 bits) and checkpointed to the shared checkpoint folder, so a lost executor cannot re-tag
-them differently.  Per-partition counts (one row per partition) give the offsets, which
-are broadcast; the id is offset + position.  Every step is per partition.
+them differently.  Per-partition counts (one row per partition, collected) give the running
+offsets, which are broadcast; the id is offset + position.  Every step is per partition.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.session import checkpoint_root
@@ -28,11 +28,13 @@ def dense_ids(df: DataFrame, keys: list[str], out_col: str = "row_id",
     pid = F.shiftright(F.col("_mid"), _LOW_BITS)
     pos = F.col("_mid").bitwiseAND(F.lit((1 << _LOW_BITS) - 1))
     tagged = staged.select("*", pid.alias("_pid"), pos.alias("_pos"))
-    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
-    # One row per partition: ordering them in one task is bounded by the partition count.
-    offsets = counts.select(
-        "_pid",
-        (F.sum("_cnt").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, 0))
-         - F.col("_cnt")).alias("_off"))
+    # one count per partition (bounded by ``n``): running offsets are summed on the driver
+    counts = sorted((r["_pid"], r["_cnt"]) for r in
+                    tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt")).collect())
+    rows, running = [], 0
+    for pid_value, cnt in counts:
+        rows.append((pid_value, running))
+        running += cnt
+    offsets = spark.createDataFrame(rows, "_pid long, _off long")
     out = tagged.join(F.broadcast(offsets), "_pid").withColumn(out_col, F.col("_off") + F.col("_pos"))
     return out.drop("_mid", "_pid", "_pos", "_off")
