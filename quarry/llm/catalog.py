@@ -91,10 +91,10 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 _OP1 = """
 WITH v AS (
-  SELECT vec_id, min(list_transform(embedding, x -> CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT))) AS v
+  SELECT vec_id, min(list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT))) AS v
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
   GROUP BY vec_id),
 s AS (
   SELECT q.vec_id AS query_id, c.vec_id,
