@@ -1,0 +1,91 @@
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+
+from quarry.llm import catalog, packing
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    t.encode_special_tokens = True
+    return t
+
+
+def check(rows, texts, tokenizer, capacity=1024):
+    """rows: pieces of the result; texts: {doc_id: text}."""
+    pieces = defaultdict(list)
+    for r in rows:
+        pieces[r["doc_id"]].append(r)
+    assert set(pieces) == set(texts)
+    for doc, ps in pieces.items():
+        ids = np.array([*tokenizer.encode(texts[doc] or "", add_special_tokens=False).ids, 2], "<u4")
+        ps.sort(key=lambda r: r["piece"])
+        assert [p["piece"] for p in ps] == list(range(len(ps))) and len(ps) == -(-len(ids) // capacity)
+        at = 0
+        for p in ps:
+            part = ids[at:at + p["length"]]
+            assert p["start"] == at and p["ids_crc32"] == zlib.crc32(part.tobytes())
+            at += p["length"]
+        assert at == len(ids) and all(p["length"] == capacity for p in ps[1:])
+    sequences = defaultdict(list)
+    for r in rows:
+        sequences[r["sequence_id"]].append((r["offset"], r["length"]))
+    for s in sequences.values():
+        at = 0
+        for offset, length in sorted(s):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    return len(sequences)
+
+
+def test_whole_table_round_trip(spark, tokenizer):
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    rows = catalog.op3_best_fit_packing(spark, SF).collect()
+    used = check(rows, docs, tokenizer)
+    assert used <= 1.06 * sum(r["length"] for r in rows) / 1024 + 1
+
+
+def test_shards_islands_and_defined_cases(spark, tokenizer):
+    texts = {i: "the and of " * (i % 40) for i in range(300)} | {900: None, 901: "", 902: "word " * 5000}
+    docs = spark.createDataFrame([(k, t, 1) for k, t in texts.items()], "doc_id long, text string, pid int")
+    rows = packing.pack(docs, shard_pieces=50).collect()
+    used = check(rows, texts, tokenizer)
+    assert used <= 1.1 * sum(r["length"] for r in rows) / 1024 + 1
+    assert packing.pack(docs.limit(0)).count() == 0
+
+
+def test_repeated_rows_are_packed_each(spark):
+    docs = spark.createDataFrame([(1, "a b c"), (1, "a b c"), (None, "d")], "doc_id long, text string")
+    rows = packing.pack(docs).collect()
+    assert len(rows) == 3 and len({r["sequence_id"] for r in rows}) == 1
+    assert sorted(r["offset"] for r in rows)[0] == 0 and len({r["offset"] for r in rows}) == 3
+
+
+def test_encoder_equals_the_tokenizer(tokenizer):
+    encode = packing.Encoder(packing.vocabulary())
+    texts = ["", " ", "a  b\n\n c\t", "<|endoftext|> x", "don't we'll 'S", "été çß Ωδ жук 漢字 かな 한글 🙂👍🏽 é", "x" * 5000,
+             " " * 3000 + "a", "  　 \x1c\x85 1234567890 !!!??? ½²"]
+    texts += ["".join(chr(c) for c in range(a, a + 64) if not 0xD800 <= c < 0xE000) for a in range(0, 0x30000, 1999)]
+    for t in texts:
+        assert encode(t).tolist() == tokenizer.encode(t, add_special_tokens=False).ids
+
+
+def test_crossover_keeps_every_piece_and_the_capacity():
+    rng = np.random.default_rng(2)
+    lengths = rng.integers(1, 1023, 400)
+    a, b = (packing.first_packing(lengths, np.random.default_rng(s), 1024) for s in (1, 2))
+    for _ in range(20):
+        child = packing.crossover(lengths, a, b, rng, 1024)
+        assert np.bincount(child, lengths).max() <= 1024 and len(child) == len(lengths)
+        a, b = b, child
+    best = packing.evolve(lengths, [], 1, 10, 4, 1024)
+    assert packing.fitness(lengths, best[0], 1024) >= packing.fitness(lengths, packing.first_packing(lengths, None, 1024), 1024)
