@@ -1,88 +1,95 @@
-"""M4: HTML to visible text.
-
-``html_to_text`` is the native path: a fixed chain of ``regexp_replace`` calls that stays
-in the JVM.  ``html_to_text_exact`` runs the standard library's ``html.parser`` inside an
-Arrow-batched pandas UDF, for pages with numeric or unusual entities, ``>`` inside
-attribute values or unclosed comments.  Both put a space at every tag or comment boundary,
-drop comments, doctype and script/style/template contents, keep ``<title>``, decode
-entities inside text, and collapse whitespace.
+"""M4: HTML to visible text, as a chain of native expressions that stays in the JVM.
+
+A space is put at every tag or comment boundary; comments, doctype and script/style/template
+contents are dropped, ``<title>`` is kept, character references are decoded once (so
+``&amp;lt;`` becomes ``&lt;``), and whitespace is collapsed.
 """
 
 from __future__ import annotations
 
-from html.parser import HTMLParser
+import json
+from html.entities import html5
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from quarry.functions.text import collapse_ws
 
 # --- fixed values ---------------------------------------------------------------------------
 # Elements whose text is not visible text.
 HIDDEN_ELEMENTS = ("script", "style", "template")
-# Named entities decoded by the native chain, in this order; "&amp;" must come last so that
-# "&amp;lt;" becomes "&lt;" and not "<".
-NATIVE_ENTITIES = (
-    ("&copy;", "©"),
-    ("&middot;", "·"),
-    ("&quot;", '"'),
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&apos;", "'"),
-    ("&nbsp;", "\u00a0"),
-    ("&amp;", "&"),
-)
+# Numeric references to these code points give no character (controls, noncharacters) ...
+_NO_CHARACTER = ((0x1, 0x8), (0xB, 0xB), (0xE, 0x1F), (0x7F, 0x7F), (0xFDD0, 0xFDEF))
+# ... and to these the replacement character.
+_REPLACED = ((0x0, 0x0), (0xD800, 0xDFFF))
 # ---------------------------------------------------------------------------------------------
 
 HIDDEN_PATTERNS = tuple(rf"(?is)<{t}\b.*?</{t}[^>]*>" for t in HIDDEN_ELEMENTS)
 COMMENT_PATTERN = r"(?s)<!--.*?-->"
-TAG_PATTERN = r"(?s)<[!/?a-zA-Z][^>]*>"
+# a quoted attribute value may hold '>'; a tag with an unbalanced quote ends at its first '>'
+TAG_PATTERN = r"""(?s)<[!/?a-zA-Z](?:[^>"']++|"[^"]*+"|'[^']*+')*+>|<[!/?a-zA-Z][^>]*>"""
 
 
-def html_to_text(html: Column | str) -> Column:
-    """Native chain: hidden elements, comments, tags -> space; entities; collapse."""
-    c = F.col(html) if isinstance(html, str) else html
-    for pat in (*HIDDEN_PATTERNS, COMMENT_PATTERN, TAG_PATTERN):
-        c = F.regexp_replace(c, pat, " ")
-    for ent, ch in NATIVE_ENTITIES:
-        c = F.replace(c, F.lit(ent), F.lit(ch))
-    return collapse_ws(c)
+def _names() -> Column:
+    """The standard's named references (from the Python library's table) as a constant map."""
+    return F.from_json(F.lit(json.dumps(html5)), "map<string,string>")
+
+
+def _legacy_pattern() -> str:
+    """Names that need no semicolon, longest first."""
+    return "^(" + "|".join(sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n))) + ")"
 
 
-class _TextCollector(HTMLParser):
-    def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
-        self.parts: list[str] = []
-        self.hidden = 0
+def _windows_1252() -> Column:
+    """Numeric references 128-159 mean that code page; the few it lacks stay as they are."""
+    byte = {str(b): bytes([b]).decode("cp1252", "ignore") for b in range(128, 160)}
+    return F.from_json(F.lit(json.dumps({k: v for k, v in byte.items() if v})), "map<string,string>")
 
-    def handle_starttag(self, tag, attrs):
-        if tag in HIDDEN_ELEMENTS:
-            self.hidden += 1
 
-    def handle_endtag(self, tag):
-        if tag in HIDDEN_ELEMENTS and self.hidden:
-            self.hidden -= 1
+def _within(n: Column, ranges: tuple[tuple[int, int], ...]) -> Column:
+    cond = F.lit(False)
+    for a, b in ranges:
+        cond = cond | n.between(a, b)
+    return cond
 
-    def handle_data(self, data):
-        if not self.hidden:
-            self.parts.append(data)
 
+def _character(n: Column) -> Column:
+    """The character of a numeric reference (NULL: more digits than any code point has)."""
+    wide = F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
+    plane_end = (n.bitwiseAND(F.lit(0xFFFE)) == 0xFFFE)
+    return (F.when(n.isNull() | (n > 0x10FFFF) | _within(n, _REPLACED), F.lit("�"))
+            .when(n.between(128, 159), F.coalesce(F.element_at(_windows_1252(), n.cast("string")), wide))
+            .when(_within(n, _NO_CHARACTER) | plane_end, F.lit(""))
+            .otherwise(wide))
 
-def html_to_text_py(markup: str | None) -> str | None:
-    """Per-document helper: text nodes joined by a space, then whitespace collapsed."""
-    if markup is None:
-        return None
-    p = _TextCollector()
-    p.feed(markup)
-    p.close()
-    return " ".join(" ".join(p.parts).split())
 
+def _decode_part(part: Column) -> Column:
+    """What stands behind one ``&``, with its reference decoded."""
+    number = F.regexp_extract(part, r"^#0*([0-9]{0,8})[0-9]*;?", 1)
+    hexed = F.regexp_extract(part, r"^#[xX]0*([0-9a-fA-F]{0,7})[0-9a-fA-F]*;?", 1)
+    digits = F.regexp_extract(part, r"^(#[0-9]+;?|#[xX][0-9a-fA-F]+;?)", 1)
+    value = F.when(part.rlike("^#[xX]"), F.conv(F.concat(F.lit("0"), hexed), 16, 10).cast("long")).otherwise(
+        F.concat(F.lit("0"), number).cast("long"))
+    name = F.regexp_extract(part, r"^([a-zA-Z][a-zA-Z0-9]*;)", 1)
+    legacy = F.regexp_extract(part, _legacy_pattern(), 1)
+    rest = lambda found: part.substr(F.length(found) + 1, F.length(part))
+    named = F.element_at(_names(), name)
+    return (F.when(digits != "", F.concat(_character(value), rest(digits)))
+            .when((name != "") & named.isNotNull(), F.concat(named, rest(name)))
+            .when(legacy != "", F.concat(F.element_at(_names(), legacy), rest(legacy)))
+            .otherwise(F.concat(F.lit("&"), part)))
 
-@F.pandas_udf(T.StringType())
-def html_to_text_exact(markup: pd.Series) -> pd.Series:
-    """Exact path as an Arrow-batched UDF (workers need ``quarry``: see
-    :func:`quarry.session.ship_package`)."""
-    return markup.map(html_to_text_py)
 
+def decode_references(text: Column) -> Column:
+    """Every character reference decoded, in one pass."""
+    parts = F.split(text, "&", -1)
+    decoded = F.transform(F.slice(parts, 2, F.size(parts)), _decode_part)
+    return F.when(F.contains(text, F.lit("&")), F.concat(F.get(parts, F.lit(0)), F.array_join(decoded, ""))).otherwise(text)
+
+
+def html_to_text(html: Column | str) -> Column:
+    """Hidden elements, comments, tags -> space; references; collapse."""
+    c = F.col(html) if isinstance(html, str) else html
+    for pat in (*HIDDEN_PATTERNS, COMMENT_PATTERN, TAG_PATTERN):
+        c = F.regexp_replace(c, pat, " ")
+    return collapse_ws(decode_references(c))

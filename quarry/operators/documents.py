@@ -2,7 +2,7 @@
 
 A "files" frame has the ``binaryFile`` schema ``(path, content)`` (plus optional
 ``modificationTime``/``length``).  HTML is decoded and extracted natively; DOCX goes
-through ``mapInPandas`` (zip + XML in the standard library, one file per row); PDF and
+through one Arrow-batched column (zip + XML in the standard library); PDF and
 DJVU decoders are not available here and yield ``status = 'error'`` rows.  A failing file
 never stops the job: it becomes an ``error`` row (P9).
 """
@@ -12,7 +12,6 @@ from __future__ import annotations
 import io
 import zipfile
 import xml.etree.ElementTree as ET
-from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -42,6 +41,9 @@ def _docx_part_text(xml_bytes: bytes) -> str:
     return "".join(out)
 
 
+_DOCX_RESULT = T.StructType([T.StructField("text", T.StringType()), T.StructField("error", T.StringType())])
+
+
 def docx_to_text_py(content: bytes) -> str:
     """Headers, main document, footers; whitespace collapsed."""
     with zipfile.ZipFile(io.BytesIO(content)) as z:
@@ -53,153 +55,84 @@ def docx_to_text_py(content: bytes) -> str:
     return " ".join(text.split())
 
 
-def _docx_batches(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in it:
-        texts, status, errors = [], [], []
-        for b in pdf["content"]:
+@F.pandas_udf(_DOCX_RESULT)
+def _docx_column(content: pd.Series) -> pd.DataFrame:
+    texts, errors = [], []
+    for b in content:
+        text = error = None
+        if b is not None:
             try:
-                texts.append(docx_to_text_py(bytes(b)))
-                status.append("ok")
-                errors.append(None)
+                text = docx_to_text_py(bytes(b))
             except Exception as e:  # a corrupt file is reported, the rest continue
-                texts.append(None)
-                status.append("error")
-                errors.append(f"docx: {type(e).__name__}: {e}")
-        yield pd.DataFrame({"path": pdf["path"], "text": texts, "status": status, "error": errors})
+                error = f"docx: {type(e).__name__}: {e}"
+        texts.append(text)
+        errors.append(error)
+    return pd.DataFrame({"text": texts, "error": errors})
 
 
 def extract_docx(files: DataFrame) -> DataFrame:
     """``(path, content)`` of DOCX files -> ``(path, text, status, error)``."""
     ship_package(files.sparkSession)
-    return files.select("path", "content").mapInPandas(
-        _docx_batches, "path string, text string, status string, error string")
-
-
-_DOCX_HEAD = ('<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
-              '<w:document xmlns:w="http://schemas.openxmlformats.org/wordprocessingml/2006/main">'
-              "<w:body>")
-_DOCX_TAIL = "</w:body></w:document>"
-_PARA_HEAD = '<w:p><w:r><w:t xml:space="preserve">'
-_PARA_TAIL = "</w:t></w:r></w:p>"
-_CONTENT_TYPES = ('<?xml version="1.0" encoding="UTF-8"?><Types xmlns="http://schemas.openxml'
-                  'formats.org/package/2006/content-types"><Default Extension="xml" '
-                  'ContentType="application/xml"/></Types>')
-# characters XML 1.0 cannot carry (dropped when writing)
-_XML_FORBIDDEN = r"[\x{00}-\x{08}\x{0B}\x{0C}\x{0E}-\x{1F}]"
-
-
-def docx_zip_py(document_xml: str) -> bytes:
-    """A minimal DOCX package around a ``word/document.xml`` body."""
-    buf = io.BytesIO()
-    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
-        z.writestr("[Content_Types].xml", _CONTENT_TYPES)
-        z.writestr("word/document.xml", document_xml)
-    return buf.getvalue()
-
-
-def docx_bytes_py(paragraphs: list[str]) -> bytes:
-    """A minimal DOCX whose body has one paragraph per string."""
-    body = "".join(f"{_PARA_HEAD}{_xml_escape(p)}{_PARA_TAIL}" for p in paragraphs)
-    return docx_zip_py(_DOCX_HEAD + body + _DOCX_TAIL)
-
-
-def _xml_escape(s: str) -> str:
-    s = s.replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;")
-    return "".join(ch for ch in s if ch in "\t\n\r" or ord(ch) >= 0x20)
-
-
-@F.pandas_udf(T.BinaryType())
-def _docx_zip_udf(xml: pd.Series) -> pd.Series:
-    return xml.map(docx_zip_py)
-
-
-def write_docx_documents(parts: DataFrame, doc_col: str, order_col: str, text_col: str) -> DataFrame:
-    """``(doc, part order, text)`` rows -> one DOCX per document, ``(doc, content)``: the
-    XML body is assembled natively (escaped, in part order); only zipping runs in Python."""
-    t = F.coalesce(F.col(text_col), F.lit(""))
-    esc = F.regexp_replace(F.replace(F.replace(F.replace(t, F.lit("&"), F.lit("&amp;")),
-                                               F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;")),
-                           _XML_FORBIDDEN, "")
-    para = F.concat(F.lit(_PARA_HEAD), esc, F.lit(_PARA_TAIL))
-    ordered = F.array_sort(F.collect_list(F.struct(F.col(order_col).alias("o"), para.alias("p"))))
-    body = F.array_join(F.transform(ordered, lambda x: x["p"]), "")
-    ship_package(parts.sparkSession)
-    xml = parts.groupBy(doc_col).agg(F.concat(F.lit(_DOCX_HEAD), body, F.lit(_DOCX_TAIL)).alias("xml"))
-    return xml.select(doc_col, _docx_zip_udf("xml").alias("content"))
+    read = files.select("path", _docx_column("content").alias("d"))
+    return read.select("path", "d.text", F.when(F.col("d.error").isNull(), "ok").otherwise("error").alias("status"),
+                       "d.error")
 
 
 # --- W4: files -> text + links ---------------------------------------------------------------
-def _classify(files: DataFrame) -> DataFrame:
+def _classify(files: DataFrame, *columns: str) -> DataFrame:
     name = tx.basename("path")
-    return files.select("path", "content", name.alias("filename"),
-                        tx.extension(name).alias("ext"),
-                        tx.has_supported_suffix(name).alias("_supported"))
-
-
-def _native_rows(base: DataFrame, exact_html: bool) -> DataFrame:
-    """Every non-DOCX file: HTML decoded and extracted natively, the rest classified."""
-    html_text = (hx.html_to_text_exact(tx.decode_utf8("content")) if exact_html
-                 else hx.html_to_text(tx.decode_utf8("content")))
-    is_html = F.col("ext") == ".html"
-    return base.select(
-        "filename", "ext",
-        F.when(~F.col("_supported"), F.lit("skipped"))
-         .when(is_html & tx.is_valid_utf8("content"), F.lit("ok"))
-         .otherwise(F.lit("error")).alias("status"),
-        F.when(F.col("_supported") & is_html, html_text).alias("text"),
-        F.when(~F.col("_supported"), F.lit(None))
-         .when(is_html & ~tx.is_valid_utf8("content"), F.lit("html: content is not valid UTF-8"))
-         .when(F.col("ext") == ".pdf", F.lit("pdf: no decoder available"))
-         .when(F.col("ext") == ".djvu", F.lit("djvu: no decoder available"))
-         .when(~is_html, F.concat(F.lit("unsupported format: "), F.col("ext")))
-         .alias("error"))
-
-
-def _docx_rows(base: DataFrame) -> DataFrame:
-    return extract_docx(base).select(
-        tx.basename("path").alias("filename"), F.lit(".docx").alias("ext"), "status", "text", "error")
-
-
-def _finish(out: DataFrame) -> DataFrame:
-    ok = F.col("status") == "ok"
-    return out.select("filename", "ext", "status", F.when(ok, F.col("text")).alias("text"),
-                      F.when(ok, tx.find_links("text")).alias("links"), "error")
+    return files.select(name.alias("filename"), tx.extension(name).alias("ext"),
+                        tx.has_supported_suffix(name).alias("_supported"), *columns)
 
 
-def process_files(files: DataFrame, exact_html: bool = False) -> DataFrame:
+def process_files(files: DataFrame) -> DataFrame:
     """``(path, content)`` -> ``(filename, ext, status, text, links, error)``.
 
-    ``status`` is ``ok``, ``skipped`` (name without a handled suffix) or ``error``.
+    ``status`` is ``ok``, ``skipped`` (name without a handled suffix) or ``error``.  One plan
+    over all rows: HTML is decoded natively; only the bytes of DOCX rows go to the Python step.
     """
     ship_package(files.sparkSession)
-    base = _classify(files)
-    is_docx = F.col("_supported") & (F.col("ext") == ".docx")
-    return _finish(_native_rows(base.filter(~is_docx), exact_html)
-                   .unionByName(_docx_rows(base.filter(is_docx))))
+    supported, ext = F.col("_supported"), F.col("ext")
+    is_docx, is_html = supported & (ext == ".docx"), supported & (ext == ".html")
+    read = _classify(files, "content").withColumn("_docx", _docx_column(F.when(is_docx, F.col("content"))))
+    valid = tx.is_valid_utf8("content")
+    error = (F.when(~supported, F.lit(None))
+             .when(is_docx, F.col("_docx.error"))
+             .when(is_html & ~valid, F.lit("html: content is not valid UTF-8"))
+             .when(ext.isin(".pdf", ".djvu"), F.concat(F.expr("substr(ext, 2)"), F.lit(": no decoder available")))
+             .when(~is_html, F.concat(F.lit("unsupported format: "), ext)))
+    text = F.when(is_docx, F.col("_docx.text")).when(is_html, hx.html_to_text(tx.decode_utf8("content")))
+    out = read.select("filename", "ext", F.when(~supported, F.lit("skipped")).when(error.isNull(), F.lit("ok"))
+                      .otherwise(F.lit("error")).alias("status"), text.alias("text"), error.alias("error"))
+    ok = F.col("status") == "ok"
+    return out.select("filename", "ext", "status", F.when(ok, F.col("text")).alias("text"),
+                      F.when(ok, tx.find_links("text")).alias("links"), "error")
 
 
-def ci_glob(ext: str) -> str:
-    """``.html`` -> ``*.[hH][tT][mM][lL]`` (a case-insensitive suffix glob)."""
-    return "*." + "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in ext.lstrip("."))
+def ci_glob(*extensions: str) -> str:
+    """``.html`` -> ``*.[hH][tT][mM][lL]`` (a case-insensitive suffix glob; ``{a,b}`` for several)."""
+    each = ["".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in e.lstrip(".")) for e in extensions]
+    return "*." + (each[0] if len(each) == 1 else "{" + ",".join(each) + "}")
 
 
-def process_folder(spark, folder: str, exact_html: bool = False) -> DataFrame:
+def process_folder(spark, folder: str) -> DataFrame:
     """W4 over a folder, reading file bytes only where they are needed: HTML and DOCX come
-    from scans restricted by a case-insensitive glob, every other file only from the
+    from one scan restricted by a case-insensitive glob, every other file only from the
     listing (its content is never read)."""
     ship_package(spark)
-    html = _classify(scan_folder(spark, folder, glob=ci_glob(".html")))
-    docx = _classify(scan_folder(spark, folder, glob=ci_glob(".docx")))
-    listing = scan_folder(spark, folder, content=False)
-    other = _classify(listing).filter(~F.col("ext").isin(".html", ".docx") | ~F.col("_supported"))
-    return _finish(_native_rows(html.filter(F.col("_supported")), exact_html)
-                   .unionByName(_native_rows(other, exact_html))
-                   .unionByName(_docx_rows(docx.filter(F.col("_supported")))))
+    read = process_files(scan_folder(spark, folder, glob=ci_glob(".html", ".docx")))
+    listed = _classify(scan_folder(spark, folder, content=False))
+    ext = F.col("ext")
+    unread = listed.where(~ext.isin(".html", ".docx")).select(
+        "filename", "ext", F.when(F.col("_supported"), "error").otherwise("skipped").alias("status"),
+        F.lit(None).cast("string").alias("text"), F.lit(None).cast("array<string>").alias("links"),
+        F.when(F.col("_supported"), F.concat(F.expr("substr(ext, 2)"), F.lit(": no decoder available"))).alias("error"))
+    return read.unionByName(unread)
 
 
-def unsupported_files(processed: DataFrame) -> DataFrame:
-    """Distinct names that were skipped for their suffix."""
-    return processed.filter(F.col("status") == "skipped").select("filename").distinct()
+def unsupported_files(files: DataFrame) -> DataFrame:
+    """Distinct names that are skipped for their suffix, from the listing alone."""
+    return _classify(files).where(~F.col("_supported")).select("filename").distinct()
 
 
 def link_presence(processed: DataFrame) -> DataFrame:
@@ -223,7 +156,7 @@ def assemble_parts(parts: DataFrame, doc_col: str, order_col: str, text_col: str
                    separator: str = "") -> DataFrame:
     """Concatenate part texts in part order with ``separator`` (A12: ``''``, pages; A13:
     ``' '``, paragraphs), then collapse whitespace.  One output row per document."""
-    ordered = F.array_sort(F.collect_list(F.struct(F.col(order_col).alias("o"),
+    ordered = F.sort_array(F.collect_list(F.struct(F.col(order_col).alias("o"),
                                                    F.coalesce(F.col(text_col), F.lit("")).alias("t"))))
     joined = F.array_join(F.transform(ordered, lambda x: x["t"]), separator)
     return parts.groupBy(doc_col).agg(tx.collapse_ws(joined).alias("text"))
@@ -247,9 +180,7 @@ def scan_folder(spark, folder: str, glob: str | None = None, content: bool = Tru
     reader = spark.read.format("binaryFile")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    df = reader.load(folder)
-    parent = F.regexp_replace(F.col("path"), r"/[^/]*$", "")
-    df = df.filter(parent.endswith(folder.rstrip("/")))
+    df = reader.load(folder)      # without recursiveFileLookup only direct children are listed
     if not content:
         df = df.select("path", "modificationTime", "length", F.lit(None).cast("binary").alias("content"))
     return df

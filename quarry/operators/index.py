@@ -12,15 +12,14 @@ reference's list exactly, duplicates included.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.functions import text as tx
-from quarry.session import fits_broadcast, ship_package, small_literal_frame
+from quarry.session import BROADCAST_LIMIT_BYTES, fits_broadcast, ship_package, small_literal_frame
 
-# Ids per posting block (block = doc_id div BLOCK).
+# Ids per posting block (block = doc_id div BLOCK); a power of two.
 BLOCK = 65536
 # Up to this many query terms go into a pushed-down IN filter; more use a join.
 ISIN_LIMIT = 1000
@@ -33,7 +32,7 @@ def doc_term_freqs(corpus: DataFrame, text_col: str = "text", id_col: str = "doc
     run starts are materialised as columns so the lambdas index them instead of
     re-deriving them per element."""
     sorted_toks = corpus.select(F.col(id_col).cast("long").alias("doc_id"),
-                                F.array_sort(tx.tokenize(text_col)).alias("_s"))
+                                F.sort_array(tx.tokenize(text_col)).alias("_s"))
     s, n = F.col("_s"), F.size(F.col("_s"))
     with_starts = sorted_toks.select(
         "doc_id", "_s",
@@ -53,7 +52,7 @@ def postings(corpus: DataFrame, text_col: str = "text", id_col: str = "doc_id")
 
 
 def _block_col(doc_id: Column) -> Column:
-    return F.floor(doc_id / F.lit(BLOCK)).cast("long")
+    return F.shiftright(doc_id.cast("long"), BLOCK.bit_length() - 1)
 
 
 def posting_blocks(post: DataFrame, compressed: bool = False) -> DataFrame:
@@ -136,18 +135,12 @@ def _pickled_bytes_np(n: np.ndarray, sw: np.ndarray, counts: np.ndarray) -> np.n
     return 2 + payload + FRAME_HEADER * frames
 
 
-def _size_partials(batches):
+def _sized(batches):
     for pdf in batches:
-        if pdf.empty:
-            continue
         n = pdf["n"].to_numpy(dtype=np.int64)
-        sw = pdf["sw"].to_numpy(dtype=np.int64)
         counts = pdf[[f"c{c}" for c in WIDTH_CLASSES]].to_numpy(dtype=np.int64)
-        yield pd.DataFrame({
-            "pickled": [int(_pickled_bytes_np(n, sw, counts).sum())],
-            "bits": [int(pdf["bits"].sum())],
-            "hits": [int(pdf["hits"].sum())],
-        })
+        size = _pickled_bytes_np(n, pdf["sw"].to_numpy(dtype=np.int64), counts)
+        yield pdf[["term", "n", "bits"]].assign(pickled=size)
 
 
 def term_size_stats(post: DataFrame) -> DataFrame:
@@ -165,44 +158,50 @@ def term_size_stats(post: DataFrame) -> DataFrame:
         *by_width)
 
 
-def sizes_from_stats(stats: DataFrame, query: str | None = None) -> DataFrame:
-    """A3 + A4 from per-term statistics (:func:`term_size_stats`, possibly stored)."""
-    hit = F.when(F.col("term") == F.lit(query), F.col("n")) if query is not None else F.lit(0)
-    cols = ["n", "sw", "bits", *[f"c{c}" for c in WIDTH_CLASSES]]
+def term_sizes(stats: DataFrame) -> DataFrame:
+    """``(term, n, bits, pickled)``: occurrences, code bits and pickled-list bytes per term."""
     ship_package(stats.sparkSession)
-    partials = stats.select(*cols, F.coalesce(hit, F.lit(0)).cast("long").alias("hits")).mapInPandas(
-        _size_partials, "pickled long, bits long, hits long")
+    return stats.mapInPandas(_sized, "term string, n long, bits long, pickled long")
+
+
+def size_totals(sizes: DataFrame, query: str | None = None) -> DataFrame:
+    """A3 + A4: one row ``(uncompressed_bytes, compressed_bytes)`` of :func:`term_sizes`; with
+    ``query`` also ``results_count`` (occurrences of that term) from the same pass."""
     aggs = [F.coalesce(F.sum("pickled"), F.lit(0)).cast("long").alias("uncompressed_bytes"),
             (F.coalesce(F.sum("bits"), F.lit(0)) / F.lit(8.0)).alias("compressed_bytes")]
     if query is not None:
-        aggs.append(F.coalesce(F.sum("hits"), F.lit(0)).cast("long").alias("results_count"))
-    return partials.agg(*aggs)
+        hits = F.sum(F.when(F.col("term") == F.lit(query), F.col("n")))
+        aggs.append(F.coalesce(hits, F.lit(0)).cast("long").alias("results_count"))
+    return sizes.agg(*aggs)
 
 
 def index_sizes(post: DataFrame, query: str | None = None) -> DataFrame:
-    """A3 + A4: one row ``(uncompressed_bytes, compressed_bytes)``; with ``query`` also
-    ``results_count`` (occurrences of that term) from the same pass.
-
-    Per-term statistics are aggregated natively; the per-term pickled size is summed in one
-    Arrow-batched pass that returns one partial row per batch."""
-    return sizes_from_stats(term_size_stats(post), query)
+    """A3 + A4 over postings.  Per-term statistics are aggregated natively; the pickled size of
+    a term's list is one Arrow-batched step over the terms."""
+    return size_totals(term_sizes(term_size_stats(post)), query)
 
 
-def evaluate_from_stats(stats: DataFrame, query: str) -> DataFrame:
-    """A6 from per-term statistics: sizes in KB, ratio compressed/uncompressed (NULL for
-    an empty index) and the result count of ``query`` -- one pass, no join."""
-    s = sizes_from_stats(stats, query)
-    u, c = F.col("uncompressed_bytes"), F.col("compressed_bytes")
-    return s.select(
-        (u / F.lit(1024.0)).alias("uncompressed_size_kb"),
-        (c / F.lit(1024.0)).alias("compressed_size_kb"),
-        F.when(u > 0, c / u).alias("compression_ratio"),
-        F.col("results_count"))
+def _report_columns(uncompressed: Column, compressed: Column) -> list[Column]:
+    return [(uncompressed / F.lit(1024.0)).alias("uncompressed_size_kb"),
+            (compressed / F.lit(1024.0)).alias("compressed_size_kb"),
+            F.when(uncompressed > 0, compressed / uncompressed).alias("compression_ratio")]
 
 
 def evaluate(post: DataFrame, query: str) -> DataFrame:
-    """A6 over postings."""
-    return evaluate_from_stats(term_size_stats(post), query)
+    """A6 over postings: sizes in KB, ratio compressed/uncompressed (NULL for an empty index)
+    and the result count of ``query`` -- one pass, no join."""
+    sizes = index_sizes(post, query)
+    return sizes.select(*_report_columns(F.col("uncompressed_bytes"), F.col("compressed_bytes")), "results_count")
+
+
+def evaluate_terms(spark: SparkSession, sizes: DataFrame, totals: Row, terms: list[str]) -> DataFrame:
+    """A6 from stored tables, one row per term: the totals of the index and a lookup of the
+    terms in their sizes (``term IN`` pushed to the scan)."""
+    hits = _restrict_to_terms(spark, sizes, terms).select("term", "n")
+    asked = small_literal_frame(spark, [(t,) for t in terms], "term string")
+    report = _report_columns(F.lit(totals["uncompressed_bytes"]), F.lit(totals["compressed_bytes"]))
+    return asked.join(hits, "term", "left").select(
+        "term", *report, F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("results_count"))
 
 
 # --- A5 / J3: search -------------------------------------------------------------------
@@ -214,6 +213,19 @@ def _restrict_to_terms(spark: SparkSession, post: DataFrame, terms: list[str]) -
     return post.join(q, "term", "left_semi")
 
 
+def _term_chunks(terms: list[str]) -> list[list[str]]:
+    """The terms in lists that may be broadcast (with a count each)."""
+    chunks: list[list[str]] = [[]]
+    size = 0
+    for t in terms:
+        size += len(repr(t)) + 16
+        if chunks[-1] and size > BROADCAST_LIMIT_BYTES:
+            chunks.append([])
+            size = len(repr(t)) + 16
+        chunks[-1].append(t)
+    return chunks
+
+
 def search(spark: SparkSession, post: DataFrame, terms: list[str] | str,
            compressed: bool = True) -> DataFrame:
     """Exact whole-token lookup of each term.
@@ -221,17 +233,27 @@ def search(spark: SparkSession, post: DataFrame, terms: list[str] | str,
     Returns ``(term, block, results, count)``: ``results`` holds the ids (or their codes)
     of one block, ``count`` the occurrences of the term over all blocks.  A term that is
     absent gets one row with an empty list, NULL block and count 0.
+
+    The counts (at most one row per asked term) are aggregated on their own and broadcast to
+    the blocks, so the id lists of a frequent term are never brought together.  A list of
+    terms beyond the broadcast limit is looked up in parts.
     """
     terms = [terms] if isinstance(terms, str) else list(dict.fromkeys(terms))
-    found = posting_blocks(_restrict_to_terms(spark, post, terms), compressed=compressed)
-    res_col = "codes" if compressed else "doc_ids"
-    q = small_literal_frame(spark, [(t,) for t in terms], "term string")
-    # one pass over the matches: the query list (small) left-joined to its blocks
-    joined = q.join(found, "term", "left")
-    empty = F.array().cast(T.ArrayType(T.StringType() if compressed else T.LongType()))
-    return joined.select(
-        "term", "block", F.coalesce(F.col(res_col), empty).alias("results"),
-        F.coalesce(F.sum("n").over(Window.partitionBy("term")), F.lit(0)).cast("long").alias("count"))
+    out = None
+    for part in _term_chunks(terms):
+        hits = _restrict_to_terms(spark, post, part)
+        found = posting_blocks(hits, compressed=compressed)
+        counts = hits.groupBy("term").agg(F.sum("tf").cast("long").alias("count"))
+        results = F.col("codes" if compressed else "doc_ids").alias("results")
+        there = found.join(F.broadcast(counts), "term").select("term", "block", results, "count")
+        asked = small_literal_frame(spark, [(t,) for t in part], "term string")
+        empty = F.array().cast(T.ArrayType(T.StringType() if compressed else T.LongType()))
+        absent = asked.join(F.broadcast(counts), "term", "left_anti").select(
+            "term", F.lit(None).cast("long").alias("block"), empty.alias("results"),
+            F.lit(0).cast("long").alias("count"))
+        both = there.unionByName(absent)
+        out = both if out is None else out.unionByName(both)
+    return out
 
 
 # Up to this many terms a substring prefilter (OR of contains) runs before tokenising.

@@ -9,17 +9,17 @@ date TIMESTAMP_NTZ, text STRING, likes, views, reposts, comments BIGINT, post_ur
 from __future__ import annotations
 
 import datetime as dt
+import json
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from quarry.functions.text import tokenize
 from quarry.operators.topk import top_k_per_group
-from quarry.session import fits_broadcast, ship_package, small_literal_frame
+from quarry.session import small_literal_frame
 
 # --- fixed values ---------------------------------------------------------------------------
 POST_URL_PREFIX = "https://vk.com/wall"     # post_url = prefix + owner_id + "_" + post_id
-PER_TOPIC_CAP = 1000                        # offset paging never returns more per topic
 RECENT_DAYS = 5                             # trailing period length ...
 RECENT_END_LAG_DAYS = 1                     # ... ending this many days before "now"
 MONTH_NAMES = ("January", "February", "March", "April", "May", "June", "July", "August",
@@ -100,97 +100,32 @@ def posts_recent(posts: DataFrame, as_of: dt.datetime, date_col: str = "date") -
 
 # --- P3 / J1 / L3: topic search -----------------------------------------------------------------
 def api_order() -> list[Column]:
-    """Order of a search response: newest first, then by post id."""
-    return [F.col("date").desc(), F.col("post_id").asc()]
-
-
-# Above this many topics a substring search scans each text once with an Aho-Corasick
-# automaton instead of testing every (post, topic) pair.
-AUTOMATON_MIN_TOPICS = 256
-
-
-def _automaton_matcher(topics: list[str], text_col: str):
-    def run(batches):
-        import ahocorasick
-
-        auto = ahocorasick.Automaton()
-        for t in topics:
-            if t:
-                auto.add_word(t, t)
-        auto.make_automaton()
-        for pdf in batches:
-            idx, names = [], []
-            for i, text in enumerate(pdf[text_col]):
-                if text is None:
-                    continue
-                hit = {v for _, v in auto.iter(text)}
-                idx.extend([i] * len(hit))
-                names.extend(sorted(hit))
-            out = pdf.iloc[idx].reset_index(drop=True)
-            out["university"] = names
-            yield out
-    return run
-
-
-def _chunks_fitting_broadcast(topics: list[str]) -> list[list[str]]:
-    from quarry.session import BROADCAST_LIMIT_BYTES
-    chunks, cur, size = [], [], 0
-    for t in topics:
-        w = len(repr((t,)))
-        if cur and size + w > BROADCAST_LIMIT_BYTES // 2:
-            chunks.append(cur)
-            cur, size = [], 0
-        cur.append(t)
-        size += w
-    return chunks + ([cur] if cur else [])
-
-
-def _has_automaton() -> bool:
-    try:
-        import ahocorasick  # noqa: F401
-        return True
-    except ImportError:
-        return False
-
-
-def search_mentions(spark: SparkSession, posts: DataFrame, topics: list[str],
-                    cap: int | None = PER_TOPIC_CAP, whole_token: bool = False,
-                    automaton_min_topics: int = AUTOMATON_MIN_TOPICS) -> DataFrame:
+    """Order of a search response: newest first, then by post (a post is its id and owner)."""
+    return [F.col("date").desc(), F.col("post_id").asc(), F.col("owner_id").asc()]
+
+
+def _topic_array(topics: list[str]) -> Column:
+    """The topic list as one constant array of the plan."""
+    return F.from_json(F.lit(json.dumps(topics)), "array<string>")
+
+
+def search_mentions(posts: DataFrame, topics: list[str], cap: int | None = None,
+                    whole_token: bool = False) -> DataFrame:
     """Posts whose text contains the topic (case-sensitive substring, or a whole
-    whitespace-separated token), labelled with the topic, at most ``cap`` per topic in
-    API order (newest first).  The topic list is a parameter whose size is checked
-    before it is broadcast."""
-    topics = list(dict.fromkeys(topics))
-    p = posts.drop("university") if "university" in posts.columns else posts
-    if not fits_broadcast(topics):
-        # exact for any list size: search broadcast-sized chunks and union the matches
-        matched = None
-        for chunk in _chunks_fitting_broadcast(topics):
-            part = search_mentions(spark, p, chunk, cap=None, whole_token=whole_token,
-                                   automaton_min_topics=automaton_min_topics)
-            matched = part if matched is None else matched.unionByName(part)
-        if cap is None:
-            return matched
-        return top_k_per_group(matched, ["university"], api_order(), cap, rank_col="_rank").drop("_rank")
-    if whole_token:
-        # exact token match: each post names the topics among its own distinct tokens,
-        # so no join is needed at all
-        from quarry.functions.text import tokenize
-        hits = F.array_distinct(F.filter(tokenize(p["text"]), lambda t: t.isin(topics)))
-        matched = p.select("*", F.explode(hits).alias("university"))
-    elif len(topics) >= automaton_min_topics and _has_automaton():
-        # the empty topic matches every text (as contains('') does)
-        ship_package(spark)
-        schema = T.StructType(p.schema.fields + [T.StructField("university", T.StringType())])
-        matched = p.mapInPandas(_automaton_matcher(topics, "text"), schema)
-        if "" in topics:
-            matched = matched.unionByName(p.withColumn("university", F.lit("")))
-    else:
-        tdf = F.broadcast(small_literal_frame(spark, [(t,) for t in topics], "topic string"))
-        matched = p.join(tdf, p["text"].contains(tdf["topic"])).withColumnRenamed("topic", "university")
+    whitespace-separated token), labelled with the topic.  Every post names its own topics, so
+    there is no join and no shuffle.  A NULL text matches nothing.
+
+    With ``cap`` only the first ``cap`` posts of each topic in API order (an explicit top-k)."""
+    found = _topic_array(list(dict.fromkeys(topics)))
+    text = F.col("text")
+    hits = (F.array_intersect(tokenize(text), found) if whole_token
+            else F.filter(found, lambda t: F.contains(text, t)))
+    kept = [c for c in posts.columns if c != "university"]
+    matched = posts.select(F.explode(hits).alias("university"), *kept)
     if cap is None:
         return matched
-    return top_k_per_group(matched, ["university"], api_order(), cap, rank_col="_rank").drop("_rank")
+    tie = F.xxhash64(*[c for c in kept if c != "text"], "text").asc()
+    return top_k_per_group(matched, ["university"], [*api_order(), tie], cap, rank_col="_rank").drop("_rank")
 
 
 def preview(posts: DataFrame, n: int = 10) -> DataFrame:
@@ -210,7 +145,7 @@ _SUMS = [("likes", "likes_count"), ("views", "views_count"), ("reposts", "repost
          ("comments", "comments_count")]
 
 
-def topic_stats(posts: DataFrame, topics: list[str] | None = None, spark: SparkSession | None = None) -> DataFrame:
+def topic_stats(posts: DataFrame, topics: list[str] | None = None) -> DataFrame:
     """A7 (accumulator variant): rows, distinct authors with a missing author counted as
     one value, sums.  With ``topics`` every searched topic gets a row, zeros if empty (P11)."""
     stats = posts.groupBy("university").agg(
@@ -219,7 +154,7 @@ def topic_stats(posts: DataFrame, topics: list[str] | None = None, spark: SparkS
         *[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(a) for c, a in _SUMS])
     if topics is None:
         return stats
-    tdf = small_literal_frame(spark or posts.sparkSession, [(t,) for t in dict.fromkeys(topics)],
+    tdf = small_literal_frame(posts.sparkSession, [(t,) for t in dict.fromkeys(topics)],
                               "university string")
     filled = tdf.join(stats, "university", "left")
     return filled.na.fill(0, [c for c in filled.columns if c != "university"])
@@ -242,54 +177,27 @@ def overall_stats(posts: DataFrame) -> DataFrame:
 
 
 # --- A10: daily series, zero-filled on the union of dates ---------------------------------------
-MAX_TOPICS = 10000
-
-
-def _quoted(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
-
-def _daily_counts_grid(posts: DataFrame, topics_df: DataFrame | None = None) -> DataFrame:
-    """Many topics: the day set is a scalar subquery (one row, bounded by the calendar),
-    every topic is crossed with it by ``explode``, and the counts are left-joined on
-    ``(topic, day)``; nothing is collected to the driver."""
-    day = F.date_format("date", "yyyy-MM-dd").alias("day")
-    src = posts if topics_df is None else posts.join(topics_df, "university", "left_semi")
-    per = src.groupBy("university", day).agg(F.count(F.lit(1)).cast("long").alias("n"))
-    days = per.select(F.sort_array(F.collect_set("day"))).scalar()
-    tps = per.select("university").distinct() if topics_df is None else topics_df
-    grid = tps.select("university", F.explode(days).alias("day"))
-    return (grid.join(per, ["university", "day"], "left")
-            .select("university", "day", F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n"))
-            .orderBy("university", "day"))
-
-
-def daily_counts(posts: DataFrame, topics: list[str] | None = None, spark: SparkSession | None = None,
-                 max_pivot_topics: int = MAX_TOPICS) -> DataFrame:
+def daily_counts(posts: DataFrame, topics: list[str] | None = None) -> DataFrame:
     """``(university, day 'yyyy-MM-dd', n)``: every topic gets every day on which any topic
     has a post (days nobody posted on stay absent), sorted by topic and day.
 
-    Up to ``max_pivot_topics`` topics: one aggregation by day pivoted on the topic list
-    (a parameter; without it the distinct topics present), then unpivoted with zeros, so
-    each day row holds one count per topic.  More topics: :func:`_daily_counts_grid`."""
-    if topics is None:
-        found = [r[0] for r in posts.select("university").distinct().limit(max_pivot_topics + 1).collect()]
-        if len(found) > max_pivot_topics:
-            return _daily_counts_grid(posts)
-        topics = sorted(t for t in found if t is not None)
-    elif len(topics) > max_pivot_topics:
-        spark = spark or posts.sparkSession
-        return _daily_counts_grid(posts, small_literal_frame(spark, [(t,) for t in dict.fromkeys(topics)],
-                                                             "university string"))
-    topics = list(dict.fromkeys(topics))
-    day = F.date_format("date", "yyyy-MM-dd").alias("_day")
-    wide = (posts.filter(F.col("university").isin(topics))
-            .groupBy(day).pivot("university", topics).agg(F.count(F.lit(1))))
-    cells = F.array(*[F.struct(F.lit(t).alias("university"),
-                               F.coalesce(F.col(_quoted(t)), F.lit(0)).cast("long").alias("n"))
-                      for t in topics])
-    return (wide.select(F.col("_day").alias("day"), F.inline(cells))
-            .select("university", "day", "n").orderBy("university", "day"))
+    Counts are aggregated first; the set of days is a one-row subquery (bounded by the
+    calendar) that every topic is spread over.  A post without a date is on no day.  Without a
+    topic list a NULL topic is a topic like any other; a topic list names the topics kept."""
+    dated = posts.where(F.col("date").isNotNull())
+    if topics is not None:
+        dated = dated.where(F.array_contains(_topic_array(topics), F.col("university")))
+    per = dated.groupBy("university", F.date_format("date", "yyyy-MM-dd").alias("day")).agg(
+        F.count(F.lit(1)).alias("n"))
+    days = per.select(F.sort_array(F.collect_set("day"))).scalar()
+    names = (per.select("university").distinct() if topics is None else
+             small_literal_frame(posts.sparkSession, [(t,) for t in dict.fromkeys(topics)], "university string"))
+    grid = names.select(F.col("university").alias("_topic"), F.explode(days).alias("_day"))
+    same = F.col("university").eqNullSafe(F.col("_topic")) & (F.col("day") == F.col("_day"))
+    return (grid.join(per, same, "left")
+            .select(F.col("_topic").alias("university"), F.col("_day").alias("day"),
+                    F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n"))
+            .orderBy("university", "day"))
 
 
 # --- A11: monthly matrix ---------------------------------------------------------------------------

@@ -5,20 +5,69 @@ They only rename, derive and re-encode columns, so their output grows with the t
 
 from __future__ import annotations
 
-import pandas as pd
+import io
+import zipfile
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from quarry.operators import documents as docs
+from quarry.session import scratch_path, ship_package
 from quarry.sources import corpus as src
 
 
+# --- DOCX files to read back --------------------------------------------------------------------
+_DOCX_HEAD = ('<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
+              '<w:document xmlns:w="http://schemas.openxmlformats.org/wordprocessingml/2006/main">'
+              "<w:body>")
+_DOCX_TAIL = "</w:body></w:document>"
+_PARA_HEAD = '<w:p><w:r><w:t xml:space="preserve">'
+_PARA_TAIL = "</w:t></w:r></w:p>"
+_CONTENT_TYPES = ('<?xml version="1.0" encoding="UTF-8"?><Types xmlns="http://schemas.openxml'
+                  'formats.org/package/2006/content-types"><Default Extension="xml" '
+                  'ContentType="application/xml"/></Types>')
+# characters XML 1.0 cannot carry (dropped when writing)
+_XML_FORBIDDEN = r"[\x{00}-\x{08}\x{0B}\x{0C}\x{0E}-\x{1F}]"
+
+
+def docx_zip_py(document_xml: str) -> bytes:
+    """A minimal DOCX package around a ``word/document.xml`` body."""
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("[Content_Types].xml", _CONTENT_TYPES)
+        z.writestr("word/document.xml", document_xml)
+    return buf.getvalue()
+
+
+@F.pandas_udf(T.BinaryType())
+def _docx_zip_udf(xml: pd.Series) -> pd.Series:
+    return xml.map(docx_zip_py)
+
+
+def write_docx_documents(parts: DataFrame, doc_col: str, order_col: str, text_col: str) -> DataFrame:
+    """``(doc, part order, text)`` rows -> one DOCX per document, ``(doc, content)``: the
+    XML body is assembled natively (escaped, in part order); only zipping runs in Python."""
+    t = F.coalesce(F.col(text_col), F.lit(""))
+    esc = F.regexp_replace(F.replace(F.replace(F.replace(t, F.lit("&"), F.lit("&amp;")),
+                                               F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;")),
+                           _XML_FORBIDDEN, "")
+    para = F.concat(F.lit(_PARA_HEAD), esc, F.lit(_PARA_TAIL))
+    ordered = F.sort_array(F.collect_list(F.struct(F.col(order_col).alias("o"), para.alias("p"))))
+    body = F.array_join(F.transform(ordered, lambda x: x["p"]), "")
+    ship_package(parts.sparkSession)
+    xml = parts.groupBy(doc_col).agg(F.concat(F.lit(_DOCX_HEAD), body, F.lit(_DOCX_TAIL)).alias("xml"))
+    return xml.select(doc_col, _docx_zip_udf("xml").alias("content"))
+
+
+# --- a folder of files --------------------------------------------------------------------------
 def folder_files(spark: SparkSession, sf: str, with_docx: bool = True) -> DataFrame:
     """A document folder as ``binaryFile`` rows: every page as ``page_<id>.html`` (UTF-8)
     and every document as ``doc_<id>.txt`` (an unsupported suffix) in a legacy single-byte
     encoding (ISO-8859-1, characters it lacks written as ``?``), so many are not UTF-8;
-    with ``with_docx`` also every conversation as ``conv_<id>.docx``."""
+    with ``with_docx`` also every conversation as ``conv_<id>.docx``, and every benchmark item
+    as three files that fail: ``bad_<id>.html`` (a byte that is not UTF-8), ``broken_<id>.docx``
+    (no zip) and ``scan_<id>.pdf``."""
     pages = src.table(spark, sf, "pages").select(
         F.concat(F.lit("corpus/page_"), F.col("page_id").cast("string"), F.lit(".html")).alias("path"),
         F.encode("html", "UTF-8").alias("content"))
@@ -27,14 +76,22 @@ def folder_files(spark: SparkSession, sf: str, with_docx: bool = True) -> DataFr
         F.encode(F.regexp_replace("text", r"[^\x{00}-\x{FF}]", "?"), "ISO-8859-1").alias("content"))
     files = pages.unionByName(texts)
     if with_docx:
-        files = files.unionByName(conversation_docx_files(spark, sf))
+        raw = F.encode("text", "UTF-8")
+        kind = F.explode(F.array(
+            F.struct(F.lit("bad_").alias("a"), F.lit(".html").alias("b"), F.concat(raw, F.lit(b"\xff")).alias("c")),
+            F.struct(F.lit("broken_").alias("a"), F.lit(".docx").alias("b"), raw.alias("c")),
+            F.struct(F.lit("scan_").alias("a"), F.lit(".pdf").alias("b"), raw.alias("c")))).alias("k")
+        failing = src.table(spark, sf, "benchmark").select("item_id", kind).select(
+            F.concat(F.lit("corpus/"), "k.a", F.col("item_id").cast("string"), "k.b").alias("path"),
+            F.col("k.c").alias("content"))
+        files = files.unionByName(conversation_docx_files(spark, sf)).unionByName(failing)
     return src.spread(files, "path")
 
 
 def conversation_docx_files(spark: SparkSession, sf: str) -> DataFrame:
     """Each conversation written as one DOCX file, one paragraph per turn."""
     conv = src.table(spark, sf, "conversations").select("conv_id", "turn", "text")
-    files = docs.write_docx_documents(conv, "conv_id", "turn", "text")
+    files = write_docx_documents(conv, "conv_id", "turn", "text")
     return files.select(F.concat(F.lit("conversations/conv_"), F.col("conv_id").cast("string"),
                                  F.lit(".docx")).alias("path"), "content")
 
@@ -58,7 +115,6 @@ def _file_writer(root: str):
 def folder_on_disk(spark: SparkSession, sf: str) -> str:
     """The derived folder written as real files under the shared scratch folder (each task
     writes its own rows; a retried task rewrites the same names)."""
-    from quarry.session import scratch_path
     import os
     root = scratch_path(spark, "folder")
     if root.startswith("file:") or "://" not in root:
@@ -68,7 +124,6 @@ def folder_on_disk(spark: SparkSession, sf: str) -> str:
         uri = "file://" + local
     else:
         uri = root
-    from quarry.session import ship_package
     ship_package(spark)
     written = folder_files(spark, sf).mapInPandas(_file_writer(uri), "path string, length long")
     written.write.format("noop").mode("overwrite").save()
@@ -116,6 +171,18 @@ def raw_pages_from_events(spark: SparkSession, sf: str) -> DataFrame:
         (F.col("page") + 1).cast("string").alias("next_from"))).alias("value"))
 
 
+def damaged_pages_from_events(spark: SparkSession, sf: str) -> DataFrame:
+    """Landed lines of one event each: every 97th line is cut off, every 13th other one holds,
+    beside a good post, a post whose ``likes`` is no object."""
+    e = src.table(spark, sf, "events")
+    number = F.col("event_id").cast("string")
+    head = F.concat(F.lit('{"query":"'), F.col("event_type"), F.lit('",'))
+    good = F.concat(F.lit('{"id":'), number, F.lit('}'))
+    bad = F.when(F.col("event_id") % 13 == 0, F.concat(F.lit(',{"id":'), number, F.lit(',"likes":"many"}'))).otherwise("")
+    return e.select(F.when(F.col("event_id") % 97 == 0, F.concat(head, number)).otherwise(
+        F.concat(head, F.lit('"items":['), good, bad, F.lit("]}"))).alias("value"))
+
+
 def searchable_posts(spark: SparkSession, sf: str) -> DataFrame:
     """Posts whose text is a document: event ``i`` carries document ``i mod #documents``."""
     e = src.table(spark, sf, "events")

@@ -27,11 +27,19 @@ def _q(s: str) -> str:
     return s.replace("'", "''")
 
 
+# Visible text in the oracle's own words: what stands between tags, outside the elements that
+# show nothing; the references that occur in the given pages.
+_HTML_REFERENCES = {"&copy;": "©", "&middot;": "·", "&quot;": '"', "&lt;": "<", "&gt;": ">", "&amp;": "&"}
+
+
 def _html_sql(x: str) -> str:
-    for pat in (*hx.HIDDEN_PATTERNS, hx.COMMENT_PATTERN, hx.TAG_PATTERN):
-        x = f"regexp_replace({x}, '{pat}', ' ', 'g')"
-    for ent, ch in hx.NATIVE_ENTITIES:
-        x = f"replace({x}, '{_q(ent)}', '{_q(ch)}')"
+    x = f"regexp_replace({x}, '<(script|style)>.*?</(script|style)>', chr(10), 'gs')"
+    x = f"regexp_replace({x}, '<!--.*?-->', chr(10), 'gs')"
+    x = f"array_to_string(regexp_split_to_array({x}, '</?[!a-zA-Z][^<>]*>'), chr(10))"
+    # a reference without its semicolon counts where the standard allows it
+    x = f"regexp_replace({x}, '&(amp|quot|copy|middot)([^;a-zA-Z]|$)', '&\\1;\\2', 'g')"
+    for reference, character in _HTML_REFERENCES.items():
+        x = f"replace({x}, '{_q(reference)}', '{_q(character)}')"
     return _collapse_sql(x)
 
 
@@ -55,10 +63,6 @@ def q_html_text(spark, sf):
     return _pages(spark, sf).select("page_id", hx.html_to_text("html").alias("text"))
 
 
-def q_html_text_exact(spark, sf):
-    return _pages(spark, sf).select("page_id", hx.html_to_text_exact("html").alias("text"))
-
-
 def q_find_links(spark, sf):
     links = tx.find_links(hx.html_to_text("html"))
     return _pages(spark, sf).select("page_id", F.array_join(links, " ").alias("links"),
@@ -86,7 +90,20 @@ def q_process_documents(spark, sf):
 
 
 def q_unsupported_files(spark, sf):
-    return docs.unsupported_files(_processed(spark, sf))
+    return docs.unsupported_files(adapters.folder_files(spark, sf))
+
+
+def q_extract_text(spark, sf):
+    """W5 for every file of the derived folder."""
+    from quarry.plans import jobs
+    return jobs.extract_text(spark, adapters.folder_on_disk(spark, sf))
+
+
+def _quality_table(name):
+    def query(spark, sf):
+        from quarry.plans import jobs
+        return jobs.text_quality(_processed(spark, sf))[name]
+    return query
 
 
 def q_utf8_check(spark, sf):
@@ -124,13 +141,16 @@ def q_docx_text(spark, sf):
 
 DOCUMENT_QUERIES: dict[str, Query] = {
     "html_text": q_html_text,
-    "html_text_exact": q_html_text_exact,
     "find_links": q_find_links,
     "link_presence": q_link_presence,
     "extraction_coverage": q_extraction_coverage,
     "process_folder": q_process_folder,
     "process_documents": q_process_documents,
     "unsupported_files": q_unsupported_files,
+    "extract_text": q_extract_text,
+    "text_quality_ratio": _quality_table("ratio"),
+    "text_quality_links": _quality_table("links"),
+    "text_quality_coverage": _quality_table("coverage"),
     "utf8_check": q_utf8_check,
     "assemble_pages": q_assemble_pages,
     "join_parts": q_join_parts,
@@ -166,24 +186,44 @@ WITH files AS (
   SELECT 'conv_' || conv_id || '.docx', '.docx', 'ok',
          {_DOCX_TEXT_SQL},
          NULL
-  FROM conversations GROUP BY conv_id)
+  FROM conversations GROUP BY conv_id
+  UNION ALL
+  SELECT 'bad_' || item_id || '.html', '.html', 'error', NULL, 'html: content is not valid UTF-8' FROM benchmark
+  UNION ALL
+  SELECT 'broken_' || item_id || '.docx', '.docx', 'error', NULL, 'docx: BadZipFile: File is not a zip file'
+  FROM benchmark
+  UNION ALL
+  SELECT 'scan_' || item_id || '.pdf', '.pdf', 'error', NULL, 'pdf: no decoder available' FROM benchmark)
+"""
+_LINKS_BY_PRESENCE_SQL = f"""
+SELECT len({_links_sql('text')}) > 0 AS has_links, count(*)::BIGINT AS files
+FROM files WHERE status = 'ok' GROUP BY has_links
+"""
+_COVERAGE_SQL = """
+SELECT ext, count(*)::BIGINT AS files, count(*) FILTER (WHERE length(text) > 0)::BIGINT AS files_with_text,
+       coalesce(sum(length(text)), 0)::BIGINT AS total_chars
+FROM files WHERE status <> 'skipped' GROUP BY ext
 """
 
 DOCUMENT_ORACLE: dict[str, str] = {
     "html_text": f"SELECT page_id, {_html_sql('html')} AS text FROM pages",
-    "html_text_exact": f"SELECT page_id, {_html_sql('html')} AS text FROM pages",
     "find_links": f"""
 SELECT page_id, array_to_string(l, ' ') AS links, len(l)::BIGINT AS n_links
 FROM (SELECT page_id, {_links_sql(_html_sql('html'))} AS l FROM pages)
 """,
-    "link_presence": _FOLDER_SQL + f"""
-SELECT len({_links_sql('text')}) > 0 AS has_links, count(*)::BIGINT AS files
-FROM files WHERE status = 'ok' GROUP BY has_links
+    "link_presence": _FOLDER_SQL + _LINKS_BY_PRESENCE_SQL,
+    "extraction_coverage": _FOLDER_SQL + _COVERAGE_SQL,
+    "text_quality_links": _FOLDER_SQL + _LINKS_BY_PRESENCE_SQL,
+    "text_quality_coverage": _FOLDER_SQL + _COVERAGE_SQL,
+    "text_quality_ratio": _FOLDER_SQL + f"""
+SELECT filename, r AS non_ascii_ratio, r > 0.5 AS flagged
+FROM (SELECT filename, length(regexp_replace(text, '{tx.ASCII}', '', 'g')) / greatest(1, length(text)) AS r
+      FROM files WHERE status = 'ok')
 """,
-    "extraction_coverage": _FOLDER_SQL + """
-SELECT ext, count(*)::BIGINT AS files, count(*) FILTER (WHERE length(text) > 0)::BIGINT AS files_with_text,
-       coalesce(sum(length(text)), 0)::BIGINT AS total_chars
-FROM files WHERE status <> 'skipped' GROUP BY ext
+    "extract_text": _FOLDER_SQL + """
+SELECT filename, CASE WHEN status = 'skipped' THEN 'error' ELSE status END AS status, text,
+       CASE WHEN status = 'skipped' THEN 'unsupported format: ' || ext ELSE error END AS error
+FROM files
 """,
     "process_folder": _FOLDER_SQL + f"""
 SELECT filename, ext, status, text,

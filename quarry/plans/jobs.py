@@ -8,39 +8,39 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.functions import text as tx
 from quarry.operators import documents as docs
 from quarry.operators import index as ix
 from quarry.operators import mentions as mx
+from quarry.session import written
 from quarry.sources import corpus as src
 from quarry.sources import index_store, report
 
 
 # --- W1 / W2 / W3: index --------------------------------------------------------------------
-def build_index(spark: SparkSession, corpus: DataFrame, path: str, replicate: bool = False,
+def build_index(spark: SparkSession, corpus: DataFrame, path: str, replicate: int = 1,
                 partitions: int | None = None) -> dict[str, str]:
-    """Corpus -> ``path/postings`` (term, doc_id, tf, code: ids and their Elias-delta
-    codes stored together, clustered by term) and ``path/terms`` (per-term statistics, so
-    reports never rescan the postings)."""
-    if replicate:
-        corpus = src.replicate_corpus(corpus)
-    post = ix.postings(corpus).withColumn("code", tx.elias_delta("doc_id"))
-    p_path = index_store.write_index(spark, post, f"{path.rstrip('/')}/postings", partitions)
-    stored = index_store.read_index(spark, p_path)
-    t_path = f"{path.rstrip('/')}/terms"
-    ix.term_size_stats(stored).write.mode("overwrite").parquet(t_path)
-    return {"postings": p_path, "terms": t_path}
+    """Corpus -> ``path/postings`` (term, doc_id, tf; clustered by term and id),
+    ``path/terms`` (per-term statistics and sizes) and ``path/totals`` (one row), so reports
+    never rescan the postings.  ``replicate`` repeats every record that many times (S3)."""
+    root = path.rstrip("/")
+    if replicate > 1:
+        corpus = src.replicate_corpus(corpus, replicate)
+    p_path = index_store.write_index(spark, ix.postings(corpus), f"{root}/postings", partitions)
+    stats = ix.term_size_stats(index_store.read_index(spark, p_path))
+    ix.term_sizes(stats).write.mode("overwrite").parquet(f"{root}/terms")
+    ix.size_totals(spark.read.parquet(f"{root}/terms")).write.mode("overwrite").parquet(f"{root}/totals")
+    return {"postings": p_path, "terms": f"{root}/terms", "totals": f"{root}/totals"}
 
 
 def search_index(spark: SparkSession, path: str, term: str | list[str],
                  compressed: bool = True) -> tuple[DataFrame, DataFrame]:
-    """Lookup on the stored index (``term = q`` pushed to the scan) and the evaluation
-    row from the stored per-term statistics."""
-    post = index_store.read_index(spark, f"{path.rstrip('/')}/postings").select("term", "doc_id", "tf")
-    terms = [term] if isinstance(term, str) else term
-    found = ix.search(spark, post, terms, compressed=compressed)
-    stats = spark.read.parquet(f"{path.rstrip('/')}/terms")
-    return found, ix.evaluate_from_stats(stats, terms[0])
+    """Lookup on the stored index (``term = q`` pushed to the scan) and one evaluation row
+    per term from the stored statistics (also pushed)."""
+    root = path.rstrip("/")
+    terms = [term] if isinstance(term, str) else list(dict.fromkeys(term))
+    found = ix.search(spark, index_store.read_index(spark, f"{root}/postings"), terms, compressed=compressed)
+    totals = spark.read.parquet(f"{root}/totals").first()      # the one row of the index
+    return found, ix.evaluate_terms(spark, spark.read.parquet(f"{root}/terms"), totals, terms)
 
 
 def index_report(spark: SparkSession, corpus: DataFrame, term: str) -> DataFrame:
@@ -49,16 +49,16 @@ def index_report(spark: SparkSession, corpus: DataFrame, term: str) -> DataFrame
 
 
 # --- W4 / W5 / W9: documents -------------------------------------------------------------------
-def process_documents(spark: SparkSession, folder: str, exact_html: bool = False) -> DataFrame:
+def process_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Every file of ``folder`` -> ``(filename, ext, status, text, links, error)``."""
-    return docs.process_folder(spark, folder, exact_html=exact_html)
+    return docs.process_folder(spark, folder)
 
 
-def extract_text(spark: SparkSession, file_path: str, exact_html: bool = False) -> DataFrame:
-    """One file -> one row with its text (or the error).  Unlike the folder job, which
+def extract_text(spark: SparkSession, file_path: str | list[str]) -> DataFrame:
+    """One file (or several) -> one row each with its text (or the error).  Unlike the folder job, which
     skips a name without a handled suffix, asking for such a file is an error."""
     files = spark.read.format("binaryFile").load(file_path)
-    out = docs.process_files(files, exact_html=exact_html)
+    out = docs.process_files(files)
     unsupported = F.col("status") == "skipped"
     return out.select(
         "filename",
@@ -77,21 +77,20 @@ def docx_text(spark: SparkSession, folder: str) -> DataFrame:
 # --- W6 / W7: mentions ----------------------------------------------------------------------
 def mentions_recent(spark: SparkSession, posts: DataFrame, topics: list[str],
                     as_of: dt.datetime) -> dict[str, DataFrame]:
-    """W6 (cursor variant): trailing five days, no cap, every topic kept (zeros if empty),
-    daily series zero-filled."""
-    found = mx.search_mentions(spark, mx.posts_recent(posts, as_of), topics, cap=None)
-    return {"stats": mx.topic_stats(found, topics, spark),
-            "daily": mx.daily_counts(found, topics, spark)}
+    """W6 (cursor variant): trailing five days, every topic kept (zeros if empty), daily
+    series zero-filled.  The found posts are written once and read by both tables."""
+    found = written(spark, mx.search_mentions(mx.posts_recent(posts, as_of), topics), "mentions")
+    return {"stats": mx.topic_stats(found, topics), "daily": mx.daily_counts(found, topics)}
 
 
 def mentions_year(spark: SparkSession, posts: DataFrame, topics: list[str], year: int,
                   now: dt.datetime | None = None, out_dir: str | None = None) -> dict:
-    """W7 (offset variant): calendar year, at most 1000 posts per topic, year re-filter,
-    topics without posts absent; optionally writes the four report tables."""
+    """W7 (offset variant): calendar year, year re-filter, topics without posts absent;
+    optionally writes the four report tables.  All found posts count: the page limit of a
+    remote search has no meaning over landed posts."""
     s, e = mx.year_bounds(year, now)
-    found = mx.search_mentions(spark, posts.filter(mx.in_period(F.col("date"), s, e)), topics,
-                               cap=mx.PER_TOPIC_CAP)
-    kept = found.filter(F.year("date") == year)
+    found = mx.search_mentions(posts.filter(mx.in_period(F.col("date"), s, e)), topics)
+    kept = written(spark, found.filter(F.year("date") == year), "mentions")
     out = {"stats": mx.topic_stats(kept), "overall": mx.overall_stats(kept),
            "monthly": mx.monthly_matrix(kept, year, now)}
     if out_dir:

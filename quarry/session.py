@@ -8,7 +8,6 @@ import uuid
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Largest side we hand to broadcast() when its size is known on the driver (bytes).
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
@@ -23,7 +22,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    cpus = os.cpu_count() or 8
+    local = bool(master and master.startswith("local"))
     builder = (
         builder.config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
@@ -32,9 +31,10 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus))
     )
-    if master and master.startswith("local"):
+    if shuffle_partitions or local:      # else what the cluster configures
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions or os.cpu_count() or 8))
+    if local:
         builder = builder.config("spark.driver.memory", "16g")
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("WARN")
@@ -42,7 +42,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
-_SHIPPED: dict[int, str] = {}
+_SHIPPED: dict[str, str] = {}
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -53,7 +53,7 @@ def ship_package(spark: SparkSession) -> None:
         sc = spark.sparkContext
     except Exception:  # remote session: the server side must provide the package
         return
-    key = id(sc._jsc)
+    key = sc.applicationId
     if key in _SHIPPED:
         return
     import quarry
@@ -73,8 +73,9 @@ def ship_package(spark: SparkSession) -> None:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediate tables.
 
-    Taken from ``spark.checkpoint.dir`` (or the one already set on the context).  Only a
-    local-mode session without one gets a fresh temporary folder, as in tests.
+    Taken from ``spark.checkpoint.dir`` (or the one already set on the context).  Where it is
+    unset, a folder below the warehouse, which is shared too; that one is removed when the
+    application ends.
     """
     try:
         sc = spark.sparkContext
@@ -85,9 +86,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current.get()
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder on the cluster")
-        configured = tempfile.mkdtemp(prefix="quarry-ckpt-")
+        configured = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch-{sc.applicationId}"
+        path = sc._jvm.org.apache.hadoop.fs.Path(configured)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).deleteOnExit(path)
     sc.setCheckpointDir(configured)
     return sc._jsc.sc().getCheckpointDir().get()
 
@@ -100,6 +101,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}-{uuid.uuid4().hex}"
 
 
+def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared scratch folder and read back: computed once, and safe
+    from the loss of an executor."""
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of the files below ``path`` on any Hadoop file system."""
+    sc = spark.sparkContext
+    where = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(sc._jsc.hadoopConfiguration()).getContentSummary(where).getLength()
+
+
 def small_literal_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     """A DataFrame from a driver-side parameter list (query terms, topics).  The rows are
     parallelised into tasks; whoever broadcasts it checks its size first
@@ -109,9 +125,3 @@ def small_literal_frame(spark: SparkSession, rows: list[tuple], schema: str) ->
 
 def fits_broadcast(rows: list, limit: int = BROADCAST_LIMIT_BYTES) -> bool:
     return sum(len(repr(r)) for r in rows) <= limit
-
-
-def maybe_broadcast(df: DataFrame, known_bytes: int) -> DataFrame:
-    """Broadcast hint only when the caller proved the side's size; otherwise leave it to
-    the planner (sort-merge or shuffled hash join)."""
-    return F.broadcast(df) if known_bytes <= BROADCAST_LIMIT_BYTES else df

@@ -3,26 +3,26 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from quarry.operators.index import BLOCK
+from quarry.session import scratch_path, stored_bytes
 
-from quarry.session import scratch_path
+# Bytes of postings per file of a stored index, about.
+FILE_BYTES = 128 << 20
 
 
 def write_index(spark: SparkSession, post: DataFrame, path: str | None = None,
                 partitions: int | None = None) -> str:
-    """Hash-partitioned on ``(term, doc_id div BLOCK)`` and sorted by ``(term, doc_id)``
-    inside every file, with a Parquet bloom filter on ``term``.
+    """Range-partitioned and sorted by ``(term, doc_id)``, with a Parquet bloom filter on
+    ``term``: a lookup ``term = q`` opens the file or few files whose range holds ``q``, and a
+    very frequent term spans several files.
 
-    A lookup ``term = q`` skips row groups whose (narrow, sorted) min/max range or bloom
-    filter rules ``q`` out.  The block in the key splits a very frequent term over several
-    files instead of one task writing all of it, and hash partitioning needs no sampling
-    pass (a range partitioner would compute the whole tokenisation twice)."""
+    The postings are written once as they come, so the range bounds are sampled from stored
+    rows (the texts are tokenised once) and the number of files follows their size."""
     path = path or scratch_path(spark, "index")
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    block = F.floor(F.col("doc_id") / F.lit(BLOCK)).cast("long")
-    (post.repartition(n, F.col("term"), block).sortWithinPartitions("term", "doc_id")
+    staged = scratch_path(spark, "postings")
+    post.select("term", "doc_id", "tf").write.parquet(staged)
+    n = partitions or max(spark.sparkContext.defaultParallelism, -(-stored_bytes(spark, staged) // FILE_BYTES))
+    (spark.read.parquet(staged).repartitionByRange(n, "term", "doc_id").sortWithinPartitions("term", "doc_id")
      .write.mode("overwrite")
      .option("parquet.bloom.filter.enabled#term", "true")
      .parquet(path))

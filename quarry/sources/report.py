@@ -34,11 +34,15 @@ def report_tables(posts: DataFrame, year: int) -> dict[str, DataFrame]:
 
 def write_report(posts: DataFrame, out_dir: str, year: int, fmt: str = "parquet") -> dict[str, str]:
     """Write every table under ``out_dir/<sheet dir>``; returns the paths ({} if empty)."""
-    if posts.isEmpty():
-        return {}
-    paths = {}
-    for sheet, df in report_tables(posts, year).items():
-        path = f"{out_dir.rstrip('/')}/{SHEET_DIRS[sheet]}"
-        df.write.mode("overwrite").format(fmt).save(path)
-        paths[sheet] = path
-    return paths
+    held = posts.persist()      # read by every table
+    try:
+        if held.isEmpty():
+            return {}
+        paths = {}
+        for sheet, df in report_tables(held, year).items():
+            path = f"{out_dir.rstrip('/')}/{SHEET_DIRS[sheet]}"
+            df.write.mode("overwrite").format(fmt).save(path)
+            paths[sheet] = path
+        return paths
+    finally:
+        held.unpersist()

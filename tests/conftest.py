@@ -21,7 +21,7 @@ def spark():
 
 @pytest.fixture()
 def corpus4(spark):
-    # the reference's four-document test corpus (position = id)
+    # fixed values: the four-document corpus of the golden sizes (position = id)
     rows = [(0, "декан студент факультет"), (1, "декан преподаватель"),
             (2, "преподаватель экзамен"), (3, "")]
     return spark.createDataFrame(rows, "doc_id long, text string")

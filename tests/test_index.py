@@ -10,18 +10,20 @@ from quarry.sources import corpus as src
 from quarry.sources import index_store
 
 
-def py_gamma(n):
-    if n == 0:
-        return "0"
-    b = bin(n)[2:]
-    return "0" * (len(b) - 1) + b
+def read_gamma(bits):
+    """(value, rest): as many zeros as digits follow the first one; a lone 0 is 0."""
+    if bits == "0":
+        return 0, ""
+    zeros = bits.index("1")
+    return int(bits[zeros:2 * zeros + 1], 2), bits[2 * zeros + 1:]
 
 
-def py_delta(n):
-    if n == 0:
-        return "0"
-    b = bin(n)[2:]
-    return py_gamma(len(b)) + b[1:]
+def read_delta(bits):
+    if bits == "0":
+        return 0
+    length, rest = read_gamma(bits)
+    assert len(rest) == length - 1
+    return int("1" + rest, 2)
 
 
 def lists(df, col="doc_ids"):
@@ -66,15 +68,14 @@ def test_delta_codes_golden(spark):
     assert [r["c"] for r in df.collect()] == ["0", "1", "0100", "0101", "01100", "01101"]
 
 
-def test_codes_match_python_model(spark):
+def test_codes_decode_to_their_numbers(spark):
     vals = list(range(0, 5000)) + [2 ** k + d for k in range(1, 62) for d in (-1, 0, 1)]
     df = spark.createDataFrame([(v,) for v in vals], "n long").select(
         "n", tx.elias_gamma("n").alias("g"), tx.elias_delta("n").alias("d"),
         tx.elias_delta_length("n").alias("bits"))
     for r in df.collect():
-        assert r["g"] == py_gamma(r["n"])
-        assert r["d"] == py_delta(r["n"])
-        assert r["bits"] == len(py_delta(r["n"]))
+        assert read_gamma(r["g"]) == (r["n"], "")
+        assert read_delta(r["d"]) == r["n"] and r["bits"] == len(r["d"])
 
 
 def test_sizes_golden(spark, corpus4):
@@ -145,7 +146,7 @@ def test_replicate_corpus(spark, corpus4):
     rep = src.replicate_corpus(corpus4).collect()
     assert len(rep) == 24
     assert {r["doc_id"]: r["text"] for r in rep}[7] == "декан преподаватель"   # copy 1 of record 1
-    assert src.replicate_corpus(corpus4, threshold=4).count() == 4
+    assert src.replicate_corpus(corpus4, 1).count() == 4
 
 
 def test_corpus_without_ids_gets_positions(spark, tmp_path):
@@ -158,6 +159,47 @@ def test_corpus_without_ids_gets_positions(spark, tmp_path):
     assert got == {i: (f"a{i}" if i < 700 else f"b{i - 700}") for i in range(1000)}
 
 
+def test_text_corpus_without_ids_gets_positions(spark, tmp_path):
+    d = tmp_path / "lines"
+    d.mkdir()
+    for k in range(3):
+        (d / f"p{k}.txt").write_text("".join(f"f{k} line {i}\n" for i in range(400)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1500")
+    try:
+        df = src.read_corpus(spark, str(d), fmt="text", id_col=None, text_col="value")
+        got = {r["doc_id"]: r["text"] for r in df.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == {k * 400 + i: f"f{k} line {i}" for k in range(3) for i in range(400)}
+
+
+def test_positions_move_no_text(spark):
+    df = src.read_corpus(spark, "/root/testdata/sf0.001/documents.parquet", id_col=None)
+    assert "Exchange hashpartitioning" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_search_plan_keeps_id_lists_apart(spark, corpus4):
+    """No window, and nothing that holds id lists is shuffled on the term alone."""
+    plan = ix.search(spark, ix.postings(corpus4), ["декан", "нет"])._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "SortMergeJoin" not in plan
+
+
+def test_large_ids_stay_in_their_block(spark):
+    ids = [2 ** 53 + 1, 2 ** 53 - 1, 2 ** 60 + 65535, 65536, 65535]
+    post = spark.createDataFrame([("t", i, 1) for i in ids], "term string, doc_id long, tf long")
+    assert {r["block"]: list(r["doc_ids"]) for r in ix.posting_blocks(post).collect()} == {i // 65536: [i] for i in ids}
+
+
+def test_terms_beyond_the_broadcast_limit_are_looked_up_in_parts(spark, corpus4, monkeypatch):
+    terms = ["декан", "нет", "экзамен", "студент"]
+    norm = lambda df: sorted((r["term"], tuple(r["results"]), r["count"]) for r in df.collect())
+    whole = norm(ix.search(spark, ix.postings(corpus4), terms))
+    monkeypatch.setattr(ix, "BROADCAST_LIMIT_BYTES", 40)
+    assert len(ix._term_chunks(terms)) > 1
+    assert norm(ix.search(spark, ix.postings(corpus4), terms)) == whole
+
+
 def test_search_many_terms_uses_join_path(spark):
     docs = spark.createDataFrame([(0, "alpha beta beta"), (1, "gamma alpha"), (2, "")], "doc_id long, text string")
     terms = ["alpha", "beta", "nope"] + [f"filler{i}" for i in range(1100)]

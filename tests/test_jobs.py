@@ -2,9 +2,9 @@ import datetime as dt
 import os
 import tempfile
 
-from quarry.operators import documents as docs
 from quarry.plans import jobs
 from quarry.sources import report
+from tests.docx_fixture import docx
 
 POST_COLS = ("university string, post_id long, owner_id long, author_id long, date timestamp_ntz, "
              "text string, likes long, views long, reposts long, comments long, post_url string")
@@ -19,7 +19,15 @@ def test_build_and_search_stored_index(spark, corpus4):
     r = rep.first()
     assert r["results_count"] == 2 and abs(r["compression_ratio"] - 1.625 / 91) < 1e-15
     stored = spark.read.parquet(os.path.join(path, "postings"))
-    assert {(x["term"], x["doc_id"], x["code"]) for x in stored.collect()} >= {("декан", 1, "1")}
+    assert stored.columns == ["term", "doc_id", "tf"]
+    found, rep = jobs.search_index(spark, path, ["декан", "нет", "экзамен"], compressed=False)
+    assert {r["term"]: (list(r["results"]), r["count"]) for r in found.collect()} == {
+        "декан": ([0, 1], 2), "нет": ([], 0), "экзамен": ([2], 1)}
+    assert {r["term"]: r["results_count"] for r in rep.collect()} == {"декан": 2, "нет": 0, "экзамен": 1}
+    plan = rep._jdf.queryExecution().executedPlan().toString()
+    assert "MapInPandas" not in plan and "PushedFilters: [In(term" in plan
+    jobs.build_index(spark, corpus4, path + "6", replicate=6)
+    assert jobs.search_index(spark, path + "6", "декан")[1].first()["results_count"] == 12
 
 
 def _posts(spark):
@@ -51,7 +59,7 @@ def test_text_quality_and_extract_text(spark):
     with open(os.path.join(d, "ru.html"), "w", encoding="utf-8") as f:
         f.write("<p>Сайт начинающего верстальщика</p>")
     with open(os.path.join(d, "en.docx"), "wb") as f:
-        f.write(docs.docx_bytes_py(["see www.a.b"]))
+        f.write(docx("<w:p><w:r><w:t>see www.a.b</w:t></w:r></w:p>"))
     q = jobs.text_quality(jobs.process_documents(spark, d))
     flags = {r["filename"]: r["flagged"] for r in q["ratio"].collect()}
     assert flags == {"ru.html": True, "en.docx": False}

@@ -77,15 +77,16 @@ def test_search_and_cap(spark):
     rows = [("A", i, 1, 1, dt.datetime(2024, 1, 1) + dt.timedelta(hours=i), "the cat" if i % 2 else "a dog",
              0, 0, 0, 0, "") for i in range(40)]
     posts = spark.createDataFrame(rows, POST_COLS)
-    found = mx.search_mentions(spark, posts, ["cat", "dog", "zzz"], cap=5).collect()
+    found = mx.search_mentions(posts, ["cat", "dog", "zzz"], cap=5).collect()
     by = {}
     for r in found:
         by.setdefault(r["university"], []).append(r["post_id"])
     assert sorted(by["cat"], reverse=True) == [39, 37, 35, 33, 31]
     assert sorted(by["dog"], reverse=True) == [38, 36, 34, 32, 30]
     assert "zzz" not in by
-    tok = mx.search_mentions(spark, posts, ["ca"], cap=None, whole_token=True).count()
-    assert tok == 0
+    assert mx.search_mentions(posts, ["ca"], whole_token=True).count() == 0
+    assert mx.search_mentions(posts, ["cat", "the", "x"], whole_token=True).count() == 40
+    assert mx.search_mentions(posts, ["cat", "dog"]).count() == 40      # no cap unless asked for
 
 
 def test_salted_top_k_equals_plain(spark):
@@ -106,37 +107,35 @@ def test_report_empty_writes_nothing(spark, tmp_path):
     assert topics.columns == report.TOPIC_HEADERS
 
 
-def test_automaton_search_equals_join(spark):
-    docs_df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select(
-        F.col("doc_id").alias("post_id"), F.lit(1).cast("long").alias("owner_id"),
-        F.lit(1).cast("long").alias("author_id"), F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz").alias("date"),
-        "text")
-    topics = ["the", "de", "and", "zzzz-none", "é", "ing", "x", "Die", "qu"]
-    a = mx.search_mentions(spark, docs_df, topics, cap=None, automaton_min_topics=1)
-    b = mx.search_mentions(spark, docs_df, topics, cap=None, automaton_min_topics=10 ** 9)
-    key = lambda df: sorted((r["university"], r["post_id"]) for r in df.select("university", "post_id").collect())
-    ka = key(a)
-    assert ka == key(b) and len(ka) > 100
+def test_search_of_long_topic_lists_and_odd_posts(spark):
+    rows = [("A", 2 ** 53 + 1, 1, None, dt.datetime(2500, 1, 1), "w7 w8", 0, 0, 0, 0, ""),
+            ("A", 2, 1, 1, dt.datetime(2024, 1, 1), None, 0, 0, 0, 0, "")]
+    posts = spark.createDataFrame(rows, POST_COLS).withColumn("topic", F.lit("mine"))
+    few = mx.search_mentions(posts, ["w7", "w9", ""]).collect()
+    many = mx.search_mentions(posts, [f"w{i}" for i in range(5000)] + ["", "w7"]).collect()
+    assert sorted((r["university"], r["post_id"]) for r in few) == [("", 2 ** 53 + 1), ("w7", 2 ** 53 + 1)]
+    assert sorted((r["university"], r["post_id"], r["topic"]) for r in many) == [
+        ("", 2 ** 53 + 1, "mine"), ("w7", 2 ** 53 + 1, "mine"), ("w8", 2 ** 53 + 1, "mine")]
 
 
-def test_daily_grid_path_equals_pivot(spark):
-    rows = [_post("A", 1, 5, 1), _post("A", 2, 5, 1), _post("B", 3, 6, 3), _post("C", 4, 7, 5)]
+def test_top_k_of_ties_is_the_same_for_any_partitioning(spark):
+    day = dt.datetime(2024, 1, 1)
+    rows = [("-", 7, i % 50, i, day, "cat", i % 3, 0, 0, 0, "") for i in range(4000)]
     posts = spark.createDataFrame(rows, POST_COLS)
-    pivot = [tuple(r) for r in mx.daily_counts(posts).collect()]
-    grid = [tuple(r) for r in mx.daily_counts(posts, max_pivot_topics=1).collect()]
-    listed = [tuple(r) for r in mx.daily_counts(posts, ["A", "B", "C", "D"], max_pivot_topics=1).collect()]
-    assert pivot == grid and len(pivot) == 9
-    assert listed == [tuple(r) for r in mx.daily_counts(posts, ["A", "B", "C", "D"]).collect()]
-    assert len(listed) == 12
+    got = [sorted((r["owner_id"], r["author_id"]) for r in mx.search_mentions(posts.repartition(n), ["cat"], cap=5).collect())
+           for n in (1, 3, 9)]
+    assert got[0] == got[1] == got[2] and len(got[0]) == 5
 
 
-def test_search_chunks_when_topics_exceed_broadcast(spark, monkeypatch):
-    import quarry.session as sess
-    rows = [("A", i, 1, 1, dt.datetime(2024, 1, 1), f"w{i} w{i + 1}", 0, 0, 0, 0, "") for i in range(20)]
+def test_daily_counts_of_awkward_topics(spark):
+    rows = [_post("the", 1, 5, 1), _post("The", 2, 5, 1), _post("_day", 3, 6, 3), _post(None, 4, 7, 5), _post("a`b", 6, 1, 3)]
+    rows.append(("the", 9, 10, 5, None, "t", 1, 2, 3, 4, ""))
     posts = spark.createDataFrame(rows, POST_COLS)
-    topics = [f"w{i}" for i in range(0, 25, 2)]
-    whole = sorted((r["university"], r["post_id"]) for r in mx.search_mentions(spark, posts, topics, cap=None).collect())
-    monkeypatch.setattr(sess, "BROADCAST_LIMIT_BYTES", 40)
-    monkeypatch.setattr(mx, "fits_broadcast", lambda xs: sum(len(repr(x)) for x in xs) <= 40)
-    chunked = sorted((r["university"], r["post_id"]) for r in mx.search_mentions(spark, posts, topics, cap=None).collect())
-    assert chunked == whole and len(whole) > 10
+    days = ["2024-01-01", "2024-01-03", "2024-01-05"]
+    want = {"the": [1, 0, 0], "The": [1, 0, 0], "_day": [0, 1, 0], None: [0, 0, 1], "a`b": [0, 1, 0]}
+    got = sorted((tuple(r) for r in mx.daily_counts(posts).collect()), key=repr)
+    assert got == sorted(((u, d, n) for u, ns in want.items() for d, n in zip(days, ns)), key=repr)
+    listed = [tuple(r) for r in mx.daily_counts(posts, ["the", "none"]).collect()]
+    assert listed == [("none", days[0], 0), ("the", days[0], 1)]
+    many = mx.daily_counts(posts, [f"t{i}" for i in range(12000)] + ["the"])
+    assert many.count() == 12001
