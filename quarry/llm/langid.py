@@ -31,6 +31,8 @@ from quarry.llm.common import schema_of, slices
 #: Labelled documents per language that the n-gram table is fitted on, about.
 SAMPLE = 1500
 BUCKETS = 1 << 16
+#: Languages that a model holds at most: the most frequent labels (the table has a column for each).
+LANGUAGES = 256
 ORDERS = 3
 #: Price of changing the language between two words, in nats.
 PENALTY = 8.0
@@ -150,7 +152,7 @@ def viterbi(scores: np.ndarray, doc: np.ndarray, n_docs: int, penalty: float) ->
     laid = np.empty((len(doc), scores.shape[1]))
     laid[place] = scores
     stays = np.empty(laid.shape, bool)          # whether a state is reached from itself
-    tops = np.empty(len(doc), np.int8)          # the state that the others are reached from
+    tops = np.empty(len(doc), np.int16)          # the state that the others are reached from
     best = np.zeros((n_docs, scores.shape[1]))
     for t in range(steps):
         a, b = begin[t], begin[t + 1]
@@ -161,8 +163,8 @@ def viterbi(scores: np.ndarray, doc: np.ndarray, n_docs: int, penalty: float) ->
             np.greater_equal(now, jump, out=stays[a:b])
             np.maximum(now, jump, out=now)
         now += laid[a:b]
-    state = best.argmax(axis=1).astype(np.int8)
-    found, row = np.empty(len(doc), np.int8), np.arange(n_docs)
+    state = best.argmax(axis=1).astype(np.int16)
+    found, row = np.empty(len(doc), np.int16), np.arange(n_docs)
     for t in range(steps - 1, -1, -1):
         a, b = begin[t], begin[t + 1]
         now = state[: b - a]
@@ -203,7 +205,8 @@ def train(labelled: DataFrame, sample: int = SAMPLE) -> Model:
     """Fit on ``labelled`` (``doc_id``, ``text``, ``lang``; rows with a null language or text are
     passed over)."""
     rows = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", "lang")
-    count = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    most = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES)
+    count = {r["lang"]: r["n"] for r in most.collect()}
     langs = sorted(count)
     if not langs:
         return Model([], 0, np.zeros((BUCKETS, 0), np.float32), np.zeros((N_SCRIPTS, 0), bool))
