@@ -11,8 +11,8 @@ language, by a hash of the id); everything else covers whole texts and all rows.
 
 Defined cases: null text, and a text without a letter, is ``und`` with score 0 and no span; letters
 of a script that no language uses give no evidence; a text of only such letters gets the most
-frequent language with score 0; without any labelled text all rows are ``und``; ties go to the
-language that sorts first; repeated rows and null ids are predicted like any other; extra
+frequent language with score 0; without any labelled text all rows are ``und``; of more than
+``LANGUAGES`` labels the most frequent are learned; ties go to the language that sorts first; repeated rows and null ids are predicted like any other; extra
 columns are ignored by :func:`predict` and kept by :func:`keep_identified`.
 """
 
