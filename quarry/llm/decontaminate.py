@@ -47,15 +47,18 @@ class Benchmark:
     def __init__(self, items: list[tuple], width: int) -> None:
         self.width = width
         self.number: dict[bytes, int] = {}
-        owners: dict[tuple, set] = {}
-        for item, text in items:
+        self.items = [None if item is None else str(item) for item, _ in items]
+        places: dict[tuple, list] = {}           # window -> (row of the item, place in it)
+        for k, (_, text) in enumerate(items):
             ws = [self.number.setdefault(w, len(self.number) + 1) for w in words((text or "").encode())]
             n = min(width, len(ws))
             for i in range(len(ws) - n + 1 if n else 0):
-                owners.setdefault(tuple(ws[i:i + n]), set()).add(None if item is None else str(item))
-        self.windows = sorted(owners)
-        self.owners = [sorted(x for x in owners[w] if x is not None) for w in self.windows]
+                places.setdefault(tuple(ws[i:i + n]), []).append((k, i))
+        self.windows = sorted(places)
         self.length = np.array([len(w) for w in self.windows], np.int64)
+        self.n_places = np.array([len(places[w]) for w in self.windows], np.int64)
+        flat = np.array([x for w in self.windows for x in places[w]], np.int64).reshape(-1, 2)
+        self.item, self.place = flat[:, 0], flat[:, 1]
         self.low, self.high = self._keys(0), self._keys(0xFFFFFFFF)
         self.short = sorted({(w[0], len(w)) for w in self.windows if len(w) < width})
 
@@ -99,8 +102,27 @@ class SuffixArray:
         return window, self.places[at]
 
 
-def _matches(texts: list[bytes], bench: Benchmark) -> tuple[np.ndarray, list[list], list[set]]:
-    """Per text: number of words, hit spans (start, end) in words, item ids."""
+def longest_matches(window: np.ndarray, place: np.ndarray, doc: np.ndarray, bench: Benchmark) -> list[np.ndarray]:
+    """Per text and item with a match, the longest verbatim one (the first of equals): text, item
+    row, place in the joined words, place in the item, words.  Occurrences at consecutive places
+    of both the text and the item are one match."""
+    n = bench.n_places[window]
+    at = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat((np.cumsum(bench.n_places) - bench.n_places)[window], n)
+    item, inside = bench.item[at], bench.place[at]
+    p, d, size = np.repeat(place, n), np.repeat(doc, n), np.repeat(bench.length[window], n)
+    order = np.lexsort((p, p - inside, item))
+    item, inside, p, d, size = (x[order] for x in (item, inside, p, d, size))
+    first = np.flatnonzero(np.r_[True, (item[1:] != item[:-1]) | (inside[1:] != inside[:-1] + 1) | (p[1:] != p[:-1] + 1)])
+    words_ = np.diff(np.r_[first, len(p)]) - 1 + size[first]
+    found = np.stack([d[first], item[first], p[first], inside[first], words_])
+    found = found[:, np.lexsort((found[3], found[2], -found[4], found[1], found[0]))]
+    best = np.r_[True, (found[0, 1:] != found[0, :-1]) | (found[1, 1:] != found[1, :-1])]
+    return list(found[:, best])
+
+
+def _matches(texts: list[bytes], bench: Benchmark) -> tuple[np.ndarray, list[list], list[list]]:
+    """Per text: number of words, hit spans (start, end) in words, longest match per item
+    (item id, start in the text, start in the item, words)."""
     number, parts, sizes = bench.number.get, [], []
     for t in texts:
         ws = words(t)
@@ -109,9 +131,9 @@ def _matches(texts: list[bytes], bench: Benchmark) -> tuple[np.ndarray, list[lis
         parts.append(np.zeros(1, np.uint32))
     n_words = np.array(sizes, np.int64)
     spans: list[list] = [[] for _ in texts]
-    items: list[set] = [set() for _ in texts]
+    matches: list[list] = [[] for _ in texts]
     if not bench.windows or not texts:
-        return n_words, spans, items
+        return n_words, spans, matches
     begin = np.r_[0, np.cumsum(n_words + 1)[:-1]]
     window, place = SuffixArray(np.concatenate(parts), bench).search(bench)
     if len(place):
@@ -122,9 +144,18 @@ def _matches(texts: list[bytes], bench: Benchmark) -> tuple[np.ndarray, list[lis
         first = np.flatnonzero(np.r_[True, p[1:] > reach[:-1]])
         for a, b, k in zip(p[first], reach[np.r_[first[1:] - 1, len(p) - 1]], d[first]):
             spans[k].append((int(a - begin[k]), int(b - begin[k])))
-        for k, w in np.unique(np.stack([doc, window]), axis=1).T:
-            items[k].update(bench.owners[w])
-    return n_words, spans, items
+        for k, i, p, inside, n in zip(*longest_matches(window, place, doc, bench)):
+            if bench.items[i] is not None:
+                matches[k].append((bench.items[i], int(p - begin[k]), int(inside), int(n)))
+    return n_words, spans, matches
+
+
+def _best_per_item(found: list[tuple]) -> list[tuple]:
+    """One longest match per item id, by id."""
+    best: dict[str, tuple] = {}
+    for m in sorted(found, key=lambda m: (m[0], -m[3], m[1], m[2])):
+        best.setdefault(m[0], m)
+    return list(best.values())
 
 
 def _merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -148,50 +179,57 @@ def benchmark_shards(benchmark: DataFrame, shard_bytes: int = SHARD_BYTES) -> It
         yield [tuple(r) for r in part.collect()]
 
 
+_SPAN = pa.struct([("start", pa.int64()), ("end", pa.int64())])
+_MATCH = pa.struct([("item", pa.string()), ("start", pa.int64()), ("item_start", pa.int64()), ("words", pa.int64())])
+
+
 def matched(docs: DataFrame, benchmark: DataFrame, keep: list[str], width: int = WIDTH,
             shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """Columns ``keep`` of ``docs`` with ``__words`` long, ``__spans`` (hit spans, in words) and
-    ``__items`` (sorted ids of items with occurring windows).  No shuffle."""
+    ``__matches`` (per item id, in their order as strings, its longest match).  No shuffle."""
     spark = docs.sparkSession
-    found = "__words long, __spans array<struct<start: long, end: long>>, __items array<string>"
-    now = docs.select(*dict.fromkeys([*keep, "text"]))
+    found = ("__words long, __spans array<struct<start: long, end: long>>, "
+             "__matches array<struct<item: string, start: long, item_start: long, words: long>>")
+    carried = list(dict.fromkeys([*keep, "text"]))
+    now = docs.select(*carried)
     for k, items in enumerate(benchmark_shards(benchmark, shard_bytes)):
         if k:
             now = written(spark, now, "decontaminate-pass")
         bench = spark.sparkContext.broadcast(Benchmark(items, width))
-        carried = list(dict.fromkeys([*keep, "text"]))
-        schema = schema_of(now, carried, found)
 
-        def run(batches: Iterator[pa.RecordBatch], bench=bench, carried=carried, later=bool(k)) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], bench=bench, later=bool(k)) -> Iterator[pa.RecordBatch]:
             for batch in (s for b in batches for s in slices(b)):
-                n_words, spans, ids = _matches(utf8(batch.column("text")), bench.value)
+                n_words, spans, matches = _matches(utf8(batch.column("text")), bench.value)
                 if later:
-                    spans = [_merge(a + [(x["start"], x["end"]) for x in b])
+                    spans = [_merge(a + [tuple(x.values()) for x in b])
                              for a, b in zip(spans, batch.column("__spans").to_pylist())]
-                    ids = [a | set(b) for a, b in zip(ids, batch.column("__items").to_pylist())]
-                kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+                    matches = [a + [tuple(x.values()) for x in b]
+                               for a, b in zip(matches, batch.column("__matches").to_pylist())]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(c) for c in carried]
                     + [pa.array(n_words),
-                       pa.array([[{"start": a, "end": b} for a, b in x] for x in spans], kind),
-                       pa.array([sorted(x) for x in ids], pa.list_(pa.string()))],
-                    [*carried, "__words", "__spans", "__items"])
+                       pa.array([[{"start": a, "end": b} for a, b in x] for x in spans], pa.list_(_SPAN)),
+                       pa.array([[dict(zip(("item", "start", "item_start", "words"), m)) for m in _best_per_item(x)]
+                                 for x in matches], pa.list_(_MATCH))],
+                    [*carried, "__words", "__spans", "__matches"])
 
-        now = now.mapInArrow(run, schema)
+        now = now.mapInArrow(run, schema_of(now, carried, found))
     return now.drop("text") if "text" not in keep else now
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH,
                   shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """One row per document row: ``doc_id``, ``n_words``, ``n_hit``, ``spans``, ``items``,
-    ``longest`` (words of the longest hit span)."""
+    """One row per document row: ``doc_id``, ``n_words``, ``n_hit``, ``spans`` (hit words), ``items``
+    (sorted ids), ``matches`` (per item its longest verbatim match and where it is in both)
+    and ``longest`` (words of the longest of them)."""
     found = matched(docs, benchmark, ["doc_id"], width, shard_bytes)
     size = F.transform("__spans", lambda s: s["end"] - s["start"])
     return found.select(
         "doc_id", F.col("__words").alias("n_words"),
         F.aggregate(size, F.lit(0).cast("long"), lambda a, x: a + x).alias("n_hit"),
-        F.col("__spans").alias("spans"), F.col("__items").alias("items"),
-        F.coalesce(F.array_max(size), F.lit(0).cast("long")).alias("longest"))
+        F.col("__spans").alias("spans"), F.col("__matches.item").alias("items"),
+        F.col("__matches").alias("matches"),
+        F.coalesce(F.array_max("__matches.words"), F.lit(0).cast("long")).alias("longest"))
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH,

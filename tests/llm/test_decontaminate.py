@@ -28,13 +28,31 @@ def brute(docs, items, width=10):
     return sorted(out, key=repr)
 
 
+def longest_common(a, b, cache={}):
+    """Length of the longest run of words that both have."""
+    key = (tuple(a), tuple(b))
+    if key not in cache:
+        best, row = 0, [0] * (len(b) + 1)
+        for x in a:
+            row = [0] + [row[j] + 1 if x == y else 0 for j, y in enumerate(b)]
+            best = max(best, max(row))
+        cache[key] = best
+    return cache[key]
+
+
 def found(spark, docs, items, **kw):
     d = spark.createDataFrame(docs, "doc_id long, text string")
     b = spark.createDataFrame(items, "item_id long, text string")
     rows = decontaminate.contamination(d, b, **kw).collect()
     for r in rows:
         assert sum(s["end"] - s["start"] for s in r["spans"]) == r["n_hit"]
-        assert r["longest"] == max([0, *(s["end"] - s["start"] for s in r["spans"])])
+        texts = [split(t) for i, t in docs if i == r["doc_id"]]
+        for m in r["matches"]:
+            own = [split(t) for i, t in items if str(i) == m["item"]]
+            assert any(t[m["start"]:m["start"] + m["words"]] == v[m["item_start"]:m["item_start"] + m["words"]]
+                       and len(v) >= m["item_start"] + m["words"] for t in texts for v in own)
+            assert m["words"] == max(longest_common(t, v) for v in own for t in texts[:1])
+        assert r["longest"] == max([0, *(m["words"] for m in r["matches"])])
     return sorted(((r["doc_id"], r["n_words"], r["n_hit"], tuple(r["items"])) for r in rows), key=repr)
 
 
