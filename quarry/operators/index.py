@@ -248,7 +248,8 @@ def search(spark: SparkSession, post: DataFrame, terms: list[str] | str,
         there = found.join(F.broadcast(counts), "term").select("term", "block", results, "count")
         asked = small_literal_frame(spark, [(t,) for t in part], "term string")
         empty = F.array().cast(T.ArrayType(T.StringType() if compressed else T.LongType()))
-        absent = asked.join(F.broadcast(counts), "term", "left_anti").select(
+        # the same counts again (a reused broadcast), so the texts are read once
+        absent = asked.join(F.broadcast(counts), "term", "left").where(F.col("count").isNull()).select(
             "term", F.lit(None).cast("long").alias("block"), empty.alias("results"),
             F.lit(0).cast("long").alias("count"))
         both = there.unionByName(absent)
