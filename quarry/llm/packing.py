@@ -121,23 +121,27 @@ def pieces(docs: DataFrame, vocabulary_json: str | None = None, capacity: int =
 
 def best_fit(lengths: np.ndarray, order: np.ndarray, bins: np.ndarray, loads: list[int], capacity: int) -> None:
     """Place the pieces of ``order`` (bins[i] is set) each in the fullest sequence that takes it."""
-    gaps = sorted((capacity - load, k) for k, load in enumerate(loads) if 0 < load < capacity)
+    # a gap and its sequence as one number, ordered by the gap
+    gaps = sorted((capacity - load) << 32 | k for k, load in enumerate(loads) if 0 < load < capacity)
     empty = [k for k, load in enumerate(loads) if load == 0]
-    size = lengths.tolist()
-    for i in order.tolist():
-        n = size[i]
-        at = bisect.bisect_left(gaps, (n, -1))
+    found = []
+    for n in lengths[order].tolist():
+        at = bisect.bisect_left(gaps, n << 32)
         if at < len(gaps):
-            gap, k = gaps.pop(at)
-        elif empty:
-            gap, k = capacity, empty.pop()
+            gap = gaps.pop(at) - (n << 32)
+            k = gap & 0xFFFFFFFF
         else:
-            gap, k = capacity, len(loads)
-            loads.append(0)
-        bins[i] = k
+            if empty:
+                k = empty.pop()
+            else:
+                k = len(loads)
+                loads.append(0)
+            gap = (capacity - n) << 32 | k
+        found.append(k)
         loads[k] += n
-        if gap > n:
-            bisect.insort(gaps, (gap - n, k))
+        if gap >> 32:
+            bisect.insort(gaps, gap)
+    bins[order] = found
 
 
 def compact(bins: np.ndarray) -> np.ndarray:
@@ -212,14 +216,17 @@ _STATE = "shard long, island int, pids array<long>, lengths array<long>, bins ar
 
 def _epoch(states: DataFrame, epoch: int, generations: int, size: int, capacity: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for r in batch.to_pylist():
-                lengths = np.array(r["lengths"], np.int64)
-                seed = zlib.crc32(f"{r['shard']}/{r['island']}/{epoch}".encode())
-                r["bins"] = [b.astype(np.int32) for b in
-                             evolve(lengths, [np.array(b, np.int64) for b in r["bins"] or []], seed,
-                                    generations, size, capacity)]
-                yield pa.RecordBatch.from_pylist([r], batch.schema)
+        for row in (b.slice(i, 1) for b in batches for i in range(b.num_rows)):
+            lengths = row.column("lengths")[0].values.to_numpy()
+            held = row.column("bins")[0]
+            before = [b.values.to_numpy().astype(np.int64) for b in held] if held.is_valid else []
+            seed = zlib.crc32(f"{row.column('shard')[0]}/{row.column('island')[0]}/{epoch}".encode())
+            now = evolve(lengths, before, seed, generations, size, capacity)
+            flat = pa.array(np.concatenate(now).astype(np.int32))
+            each = pa.ListArray.from_arrays(pa.array(np.arange(len(now) + 1) * len(lengths), pa.int32()), flat)
+            bins = pa.ListArray.from_arrays(pa.array([0, len(now)], pa.int32()), each)
+            yield pa.RecordBatch.from_arrays([*[row.column(c) for c in ("shard", "island", "pids", "lengths")], bins],
+                                             ["shard", "island", "pids", "lengths", "bins"])
 
     return states.mapInArrow(run, _STATE)
 
@@ -252,24 +259,24 @@ def pack_shards(spark: SparkSession, items: DataFrame, salt: str, capacity: int
                       .repartition(min(shards * islands, max(spread, 200)), "shard", "island"))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for r in batch.to_pylist():
-                lengths = np.array(r["lengths"], np.int64)
-                options = [np.array(x["bins"][0], np.int64) for x in r["all"] if x["bins"]]
-                bins = max(options, key=lambda b: fitness(lengths, b, capacity))
-                order = np.argsort(bins, kind="stable")
-                ends = np.cumsum(lengths[order])
-                first = np.flatnonzero(np.r_[True, np.diff(bins[order]) != 0])
-                base = np.repeat((ends - lengths[order])[first], np.diff(np.r_[first, len(order)]))
-                offset = np.empty(len(order), np.int64)
-                offset[order] = ends - lengths[order] - base
-                fill = np.bincount(bins, lengths)[bins] / capacity
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(r["pids"], pa.int64()), pa.array(lengths),
-                     pa.array(np.full(len(lengths), r["shard"])), pa.array(bins), pa.array(offset), pa.array(fill)],
-                    ["pid", "length", "shard", "bin", "offset", "fill"])
-
-    return ring.select("shard", "lengths", "pids", "all").mapInArrow(
+        for row in (b.slice(i, 1) for b in batches for i in range(b.num_rows)):
+            lengths = row.column("lengths")[0].values.to_numpy()
+            options = [b.values.to_numpy().astype(np.int64) for b in row.column("elite")[0]]
+            bins = max(options, key=lambda b: fitness(lengths, b, capacity))
+            order = np.argsort(bins, kind="stable")
+            ends = np.cumsum(lengths[order])
+            first = np.flatnonzero(np.r_[True, np.diff(bins[order]) != 0])
+            base = np.repeat((ends - lengths[order])[first], np.diff(np.r_[first, len(order)]))
+            offset = np.empty(len(order), np.int64)
+            offset[order] = ends - lengths[order] - base
+            fill = np.bincount(bins, lengths)[bins] / capacity
+            yield pa.RecordBatch.from_arrays(
+                [row.column("pids")[0].values, pa.array(lengths), pa.array(np.full(len(lengths), row.column("shard")[0].as_py())),
+                 pa.array(bins), pa.array(offset), pa.array(fill)],
+                ["pid", "length", "shard", "bin", "offset", "fill"])
+
+    elite = F.transform("all", lambda x: x["bins"][0]).alias("elite")
+    return ring.select("shard", "lengths", "pids", elite).mapInArrow(
         place, "pid long, length long, shard long, bin long, offset long, fill double")
 
 
