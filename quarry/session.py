@@ -74,8 +74,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediate tables.
 
     Taken from ``spark.checkpoint.dir`` (or the one already set on the context).  Where it is
-    unset, a folder below the warehouse, which is shared too; that one is removed when the
-    application ends.
+    unset, a folder below the warehouse, which is shared too.
     """
     try:
         sc = spark.sparkContext
@@ -87,17 +86,31 @@ def checkpoint_root(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch-{sc.applicationId}"
-        path = sc._jvm.org.apache.hadoop.fs.Path(configured)
-        path.getFileSystem(sc._jsc.hadoopConfiguration()).deleteOnExit(path)
+        _remove_at_end(spark, configured)
     sc.setCheckpointDir(configured)
     return sc._jsc.sc().getCheckpointDir().get()
 
 
+def _remove_at_end(spark: SparkSession, folder: str) -> None:
+    """Make ``folder`` and have it removed when the application ends."""
+    sc = spark.sparkContext
+    where = sc._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = where.getFileSystem(sc._jsc.hadoopConfiguration())
+    fs.mkdirs(where)
+    fs.deleteOnExit(where)      # has no effect on a folder that is not there yet
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared checkpoint folder for a written intermediate table."""
+    """A fresh path below the shared checkpoint folder for a written intermediate table,
+    removed when the application ends."""
     root = checkpoint_root(spark).rstrip("/")
     if not root:
         raise RuntimeError("set spark.checkpoint.dir to a shared folder for written tables")
+    try:
+        root = f"{root}/scratch-{spark.sparkContext.applicationId}"
+        _remove_at_end(spark, root)
+    except Exception:  # remote session: the server owns its files
+        pass
     return f"{root}/{name}-{uuid.uuid4().hex}"
 
 
