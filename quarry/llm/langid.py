@@ -34,6 +34,8 @@ BUCKETS = 1 << 16
 #: Languages that a model holds at most: the most frequent labels (the table has a column for each).
 LANGUAGES = 256
 ORDERS = 3
+#: Bytes of text that a task labels at a time, about (its working set is some 60 times that).
+SLICE = 3 << 19
 #: Price of changing the language between two words, in nats.
 PENALTY = 8.0
 #: A language may use a script that holds this share of its training letters.
@@ -248,7 +250,7 @@ def predict(docs: DataFrame, model: Model, penalty: float = PENALTY) -> DataFram
     added = "lang_pred string, score double, spans array<struct<lang: string, start: long, end: long>>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (s for b in batches for s in slices(b, limit=4 << 20)):
+        for batch in (s for b in batches for s in slices(b, limit=SLICE)):
             lang, score, spans = label_texts(batch.column("text").to_pylist(), shared.value, penalty)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(lang), pa.array(score), spans],
                                              ["doc_id", "lang_pred", "score", "spans"])
@@ -261,7 +263,7 @@ def keep_identified(docs: DataFrame, model: Model, least: float = 0.5, penalty:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (s for b in batches for s in slices(b, limit=4 << 20)):
+        for batch in (s for b in batches for s in slices(b, limit=SLICE)):
             lang, score, _ = label_texts(batch.column("text").to_pylist(), shared.value, penalty)
             yield batch.filter(pa.array([x != UND and s >= least for x, s in zip(lang, score)]))
 
