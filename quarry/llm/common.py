@@ -7,6 +7,7 @@ from typing import Any
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,15 +38,14 @@ def utf8(column: pa.ChunkedArray | pa.Array) -> list[bytes]:
 def slices(batch: pa.RecordBatch, text: str = "text", limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Row slices of a batch with about ``limit`` text bytes each (a longer text stands
     alone), so that a task's working set follows ``limit`` and the longest text only."""
-    lengths = np.asarray(batch.column(text).cast(pa.binary()).fill_null(b"").to_numpy(zero_copy_only=False))
-    total, start = 0, 0
-    for i, x in enumerate(lengths):
-        if i > start and total + len(x) > limit:
-            yield batch.slice(start, i - start)
-            total, start = 0, i
-        total += len(x)
-    if batch.num_rows > start:
-        yield batch.slice(start)
+    size = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(size, dtype=np.int64)
+    start = 0
+    while start < batch.num_rows:
+        before = int(ends[start - 1]) if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + limit, "right")))
+        yield batch.slice(start, stop - start)
+        start = stop
 
 
 def hash_sample(df: DataFrame, id_col: str, rows: int, total: int) -> DataFrame:
