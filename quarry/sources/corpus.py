@@ -20,13 +20,13 @@ def spread(df: DataFrame, key: str | None = None) -> DataFrame:
     parallel; two partitions per core even out documents of very different lengths.  The
     planner's size estimate decides, without running anything; an input with a full split per
     core is returned unchanged (no shuffle)."""
+    spark = df.sparkSession
     try:
-        spark = df.sparkSession
         cores = spark.sparkContext.defaultParallelism
-        split = df._jdf.sparkSession().sessionState().conf().filesMaxPartitionBytes()
-        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except Exception:  # no plan at hand (remote session): leave the input as it is
+    except Exception:  # remote session: no plan at hand, leave the input as it is
         return df
+    split = df._jdf.sparkSession().sessionState().conf().filesMaxPartitionBytes()
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     if size >= cores * split:
         return df
     return df.repartition(2 * cores, key) if key else df.repartition(2 * cores)

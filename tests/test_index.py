@@ -174,6 +174,17 @@ def test_text_corpus_without_ids_gets_positions(spark, tmp_path):
     assert got == {k * 400 + i: f"f{k} line {i}" for k in range(3) for i in range(400)}
 
 
+def test_small_inputs_are_spread_and_large_ones_left(spark, monkeypatch):
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    assert "REPARTITION_BY_NUM" in src.spread(df, "doc_id")._jdf.queryExecution().executedPlan().toString()
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        assert src.spread(df, "doc_id") is df
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
 def test_positions_move_no_text(spark):
     df = src.read_corpus(spark, "/root/testdata/sf0.001/documents.parquet", id_col=None)
     assert "Exchange hashpartitioning" not in df._jdf.queryExecution().executedPlan().toString()
