@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quarry.llm import catalog, quality, toxicity
+from quarry.llm.common import id_remainder
 
 SF = "/root/testdata/sf0.1"
 
@@ -64,3 +65,19 @@ def test_defined_cases(spark, labels):
         assert module.score(docs.limit(0), module.train(sample)).count() == 0
     kept = quality.keep_good(docs, quality.train(sample), 0.0)
     assert kept.columns == docs.columns and kept.count() == len(CASES)
+
+
+def test_quality_of_long_texts(spark):
+    """Held-out documents of one label, joined to texts of several MB, keep that label."""
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    held = id_remainder("doc_id", 4) == 2
+    model = quality.train(toxicity.labelled_texts(docs, labels, "quality", ~held, quality.SAMPLE))
+    rows = (docs.where(held & F.col("text").isNotNull()).join(labels.select("doc_id", "quality"), "doc_id")
+            .orderBy("doc_id").select("text", "quality").collect())
+    sizes = quality.Sizes(model.good, model.bad)
+    for label in (0, 1):
+        whole = " ".join(r["text"] for r in rows if r["quality"] == label).encode()
+        whole *= -(-(4 << 20) // len(whole))
+        for size in (20 << 10, 400 << 10, 4 << 20):
+            s = model.scores(sizes.features([whole[:size]]))[0]
+            assert s >= 0.7 if label else s < 0.5, (label, size, s)
