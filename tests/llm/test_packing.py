@@ -79,6 +79,30 @@ def test_encoder_equals_the_tokenizer(tokenizer):
         assert encode(t).tolist() == tokenizer.encode(t, add_special_tokens=False).ids
 
 
+@pytest.fixture(scope="module")
+def plain_tokenizer():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def test_long_white_space_and_special_strings(spark, plain_tokenizer):
+    texts = [" " * 1_000_000, "\n" * 1_000_000 + "a", "a" + "\u2003" * 200_000, "<|endoftext|>", "a <|endoftext|><|endoftext|>\n b"]
+    encode = packing.Encoder(packing.vocabulary(), special_ids=True)
+    for t in texts:
+        assert encode(t).tolist() == plain_tokenizer.encode(t, add_special_tokens=False).ids
+    assert encode("<|endoftext|>").tolist() == [50256]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    check(packing.pack(docs).collect(), dict(enumerate(texts)), plain_tokenizer)
+
+
+def test_panic_of_the_pattern_engine(plain_tokenizer, monkeypatch):
+    monkeypatch.setattr(packing, "LONG_SPACE", 1 << 40)
+    t = "a" + " " * 1_000_000
+    assert packing.Encoder(packing.vocabulary())(t).tolist() == plain_tokenizer.encode(t, add_special_tokens=False).ids
+
+
 def test_crossover_keeps_every_piece_and_the_capacity():
     rng = np.random.default_rng(2)
     lengths = rng.integers(1, 1023, 400)
