@@ -320,8 +320,9 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
             .unionAll(roots.select("node", F.col("node").alias("root"))))
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, seed: int = 42) -> DataFrame:
-    """``doc_id``, ``fp`` and ``component_id`` (least doc_id reachable over links) per row."""
+def _named(docs: DataFrame, shingle: int, max_bits: int, seed: int) -> tuple[DataFrame, DataFrame]:
+    """Fingerprint per row (written), and ``fp``, ``root`` (a fingerprint that stands for the
+    component) and ``component_id`` per distinct fingerprint."""
     spark = docs.sparkSession
     fps = written(spark, fingerprints(docs, shingle, seed), "simhash-fps")
     nodes = written(spark, fps.select("fp").distinct(), "simhash-nodes")
@@ -331,21 +332,38 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, seed:
     rooted = least.join(comp, F.col("fp") == F.col("node"), "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
     ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(ids, "root").select("fp", "component_id")
-    return fps.join(named, "fp").select("doc_id", "fp", "component_id")
+    return fps, rooted.join(ids, "root").select("fp", "root", "component_id")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, seed: int = 42) -> DataFrame:
+    """``doc_id``, ``fp`` and ``component_id`` (least doc_id reachable over links) per row."""
+    fps, named = _named(docs, shingle, max_bits, seed)
+    return fps.join(named.select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
 
 
 def hex16(fp: str = "fp") -> Column:
     return F.lower(F.lpad(F.hex(F.col(fp)), 16, "0"))
 
 
-def keep_one(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame:
-    """The rows of ``docs`` that stay: of each component the document with the least id, one
-    row of it (of rows that repeat an id, the first by text, then the other columns)."""
-    found = near_duplicates(docs, shingle, max_bits)
-    keep = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("__keep_id")).distinct()
-    kept = docs.join(keep, docs["doc_id"].eqNullSafe(keep["__keep_id"]), "left_semi")
+def keep_one(docs: DataFrame, shingle: int = 4, max_bits: int = 4, seed: int = 42) -> DataFrame:
+    """The rows of ``docs`` that stay: one of each component, that of the least id (of rows that
+    share it, or of a component without ids, the first by text, then the other columns)."""
+    fps, named = _named(docs, shingle, max_bits, seed)
+    # (fingerprint, id) of the rows that hold the least id of their component
+    least = (fps.join(named, "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+             .select(F.col("fp").alias("__keep_fp"), F.col("doc_id").alias("__keep_id"), F.col("root").alias("__root"))
+             .distinct())
+    schema = schema_of(docs, docs.columns, "__fp long")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = np.fromiter((fingerprint(t, shingle, seed) for t in utf8(batch.column("text"))),
+                                 np.uint64, batch.num_rows)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values.view(np.int64))], names)
+
+    names = [*docs.columns, "__fp"]
+    rows = docs.mapInArrow(run, schema)
+    kept = rows.join(least, (rows["__fp"] == least["__keep_fp"]) & rows["doc_id"].eqNullSafe(least["__keep_id"]))
     order = F.struct(*[F.col(c) for c in ("text", "lang", "source", "n_chars") if c in docs.columns])
-    rows = kept.groupBy("doc_id").agg(F.min_by(F.struct(*docs.columns), order).alias("__row"))
-    return rows.select([F.col("__row")[c].alias(c) for c in docs.columns])
+    found = kept.groupBy("__root").agg(F.min_by(F.struct(*docs.columns), order).alias("__row"))
+    return found.select([F.col("__row")[c].alias(c) for c in docs.columns])

@@ -107,3 +107,17 @@ def test_near_duplicates_and_defined_cases(spark):
     ids = sorted(str(x["doc_id"]) for x in kept.collect())
     assert ids == sorted({str(v) for v in least.values()} | {"None"})
     assert simhash.near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_one_row_stays_per_component(spark):
+    """Components without ids, and one id in several components, each keep a row of their own."""
+    r = random.Random(9)
+    x, y, z, u = (" ".join(r.choice("abcdefghij") + str(r.randrange(900)) for _ in range(300)) for _ in range(4))
+    near = y + " more"
+    plain = {t: plain_fingerprint(t) for t in (x, y, near, z, u)}
+    comp = plain_components(list(plain.values()))
+    assert comp[plain[y]] == comp[plain[near]] and len({comp[plain[t]] for t in (x, y, z, u)}) == 4
+    rows = [(5, x), (5, y), (7, near), (None, z), (None, z), (None, u), (5, x), (None, y)]
+    docs = spark.createDataFrame([(i, t, "r") for i, t in rows], "doc_id long, text string, root string")
+    kept = sorted(((str(k["doc_id"]), k["text"]) for k in simhash.keep_one(docs).collect()))
+    assert kept == sorted([("5", x), ("5", y), ("None", z), ("None", u)])
