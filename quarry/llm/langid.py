@@ -10,7 +10,7 @@ The n-gram table is counted in Spark over a sample of labelled texts (``SAMPLE``
 language, by a hash of the id); everything else covers whole texts and all rows.
 
 Defined cases: null text, and a text without a letter, is ``und`` with score 0 and no span; letters
-of a script that no language uses give no evidence; a text of only such letters gets the most
+of a script that no language uses give no evidence but count in the score's denominator; a text of only such letters gets the most
 frequent language with score 0; without any labelled text all rows are ``und``; of more than
 ``LANGUAGES`` labels the most frequent are learned; ties go to the language that sorts first; repeated rows and null ids are predicted like any other; extra
 columns are ignored by :func:`predict` and kept by :func:`keep_identified`.
@@ -177,7 +177,7 @@ def viterbi(scores: np.ndarray, doc: np.ndarray, n_docs: int, penalty: float) ->
 
 
 def label_texts(texts: list[str | None], model: Model, penalty: float) -> tuple[list[str], np.ndarray, pa.Array]:
-    """Predicted language, score (its share of the labelled letters), and spans per text."""
+    """Predicted language, score (its share of all letters of the text), and spans per text."""
     w = split_words([t or "" for t in texts])
     n, k = len(texts), len(model.langs)
     kind = pa.struct([("lang", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
@@ -189,9 +189,10 @@ def label_texts(texts: list[str | None], model: Model, penalty: float) -> tuple[
     labels = viterbi(scores, w.doc, n, penalty)
     evident = model.allowed[w.script].any(axis=1)
     share = np.bincount(w.doc * k + labels, np.where(evident, w.size, 0), n * k).reshape(n, k)
-    total, any_word = share.sum(axis=1), np.bincount(w.doc, minlength=n) > 0
+    total, letters = share.sum(axis=1), np.bincount(w.doc, w.size, n)
+    any_word = letters > 0
     best = np.where(total > 0, share.argmax(axis=1), model.prior)
-    score = np.where(total > 0, share.max(axis=1) / np.maximum(total, 1), 0.0)
+    score = share.max(axis=1) / np.maximum(letters, 1)
     cut = np.flatnonzero(np.r_[True, (labels[1:] != labels[:-1]) | (w.doc[1:] != w.doc[:-1])])
     last = np.r_[cut[1:] - 1, len(labels) - 1]
     doc = w.doc[cut]

@@ -73,3 +73,12 @@ def test_scripts_narrow_the_candidates(spark):
     model = langid.train(docs)
     test = spark.createDataFrame([(1, "нечто"), (2, "άλλο"), (3, "zzz"), (4, "漢")], "doc_id long, text string")
     assert [r["lang_pred"] for r in langid.predict(test, model).orderBy("doc_id").collect()][:3] == ["ru", "el", "en"]
+
+
+def test_score_counts_letters_of_unlearned_scripts(spark, model):
+    rows = [(1, "漢" * 10000 + " the"), (2, "кот " * 3000 + "the and of"), (3, "the and of " * 100 + "漢" * 80)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    score = {r["doc_id"]: r["score"] for r in langid.predict(docs, model).collect()}
+    assert score[1] == pytest.approx(3 / 10003) and score[2] == pytest.approx(8 / 9008)
+    assert score[3] == pytest.approx(800 / 880)
+    assert [r["doc_id"] for r in langid.keep_identified(docs, model, 0.35).collect()] == [3]
