@@ -3,11 +3,14 @@
 Terms of a text are its lower-cased words and their first four, five and six letters, hashed.
 The terms that tell the labels apart (log-likelihood ratio) are kept; over them the model is
 ``b + sum w_i x_i + sum_{i<j} <v_i, v_j> x_i x_j`` with x_i = 1 for a term in the text, so that a
-pair (an insult with a group mention, say) can weigh more or less than its parts.  The score is
-its logistic value.
+pair (an insult with a group mention, say) can weigh more or less than its parts.  Its logistic
+value is taken for every window of ``WINDOW`` words of a text (each begins half a window after the
+one before), and the score is the highest, so that it does not add up with the length.
 
 The model is fitted on a sample of labelled texts (``SAMPLE`` documents per label at most, about,
-by a hash of the id), collected as lists of kept terms only.  Scoring covers whole texts.
+by a hash of the id), collected as lists of kept terms of at most ``FIT_WINDOWS`` windows each: all
+of them are examples of label 0 where the text is, and the highest one of label 1 (by a first fit on
+all).  Scoring covers whole texts.
 
 Defined cases: null text counts as empty and scores by the bias alone; null labels are passed
 over, labels that repeat an id are averaged (1 from a half on); without labels of both kinds
@@ -35,6 +38,9 @@ TERMS = 8192
 LEAST_RATIO = 12.0
 FACTORS = 8
 PREFIXES = (4, 5, 6)
+#: Words that are scored together, and windows of a labelled text that the fit takes at most (evenly spaced).
+WINDOW = 384
+FIT_WINDOWS = 32
 
 
 def sampled_labels(labels: DataFrame, label: str, usable: Column, per_class: int) -> DataFrame:
@@ -64,11 +70,33 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, usable: Colum
                    f"{label}-sample")
 
 
+def windows(doc: np.ndarray, n_docs: int, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First and last window of every word (two at most), and the text of every window.  ``doc``
+    (sorted) says which text a word belongs to; a text without words has one window."""
+    half, count = window // 2, np.bincount(doc, minlength=n_docs)
+    each = np.maximum(1, -(-count // half) - 1)
+    base = np.cumsum(each) - each
+    block = (np.arange(len(doc)) - (np.cumsum(count) - count)[doc]) // half
+    return (base[doc] + np.maximum(block - 1, 0), base[doc] + np.minimum(block, each[doc] - 1),
+            np.repeat(np.arange(n_docs), each))
+
+
 def terms(texts: list[str], index: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(text, bucket) of every distinct term, sorted; with ``index``, (text, kept term)."""
+    return window_terms(texts, index, None)[:2]
+
+
+def window_terms(texts: list[str], index: np.ndarray | None,
+                 window: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(window, bucket) of every distinct term, sorted, and the text of every window; with
+    ``index``, (window, kept term).  Without ``window`` a text is one window."""
     w = split_words(texts)
+    if window is None:
+        lows, highs, text = w.doc, w.doc, np.arange(len(texts))
+    else:
+        lows, highs, text = windows(w.doc, len(texts), window)
     if not len(w.start):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), text
     here = w.letters[w.letters != 0].astype(np.uint64)
     first = np.cumsum(w.size) - w.size
     powers = np.ones(int(w.size.max()) + 1, np.uint64)
@@ -82,13 +110,15 @@ def terms(texts: list[str], index: np.ndarray | None = None) -> tuple[np.ndarray
         h = (sums[at + size] - sums[at]) ^ np.uint64(n * 0xD6E8FEB86659FD93 % 2 ** 64)
         h ^= h >> np.uint64(29)
         h *= np.uint64(0xBF58476D1CE4E5B9)
-        term, doc = (h >> np.uint64(64 - BITS)).astype(np.int64), w.doc[long]
+        term, low, high = (h >> np.uint64(64 - BITS)).astype(np.int64), lows[long], highs[long]
         if index is not None:
-            term = index[term]
-            doc, term = doc[term >= 0], term[term >= 0]
-        found.append((doc.astype(np.int64) << BITS) | term)
+            term = index[term].astype(np.int64)
+            low, high, term = low[term >= 0], high[term >= 0], term[term >= 0]
+        found.append((low.astype(np.int64) << BITS) | term)
+        twice = high > low
+        found.append((high[twice].astype(np.int64) << BITS) | term[twice])
     pairs = np.unique(np.concatenate(found))
-    return pairs >> BITS, pairs & ((1 << BITS) - 1)
+    return pairs >> BITS, pairs & ((1 << BITS) - 1), text
 
 
 @dataclass
@@ -99,13 +129,19 @@ class Model:
     factors: np.ndarray
 
     def scores(self, texts: list[str]) -> np.ndarray:
-        doc, term = terms(texts, self.index)
-        n, total = len(texts), np.full(len(texts), self.bias)
-        total += np.bincount(doc, self.weight[term], n)
+        at, term, text = window_terms(texts, self.index, WINDOW)
+        if not len(texts):
+            return np.zeros(0)
+        first = np.flatnonzero(np.r_[True, text[1:] != text[:-1]])
+        return 1 / (1 + np.exp(-np.clip(np.maximum.reduceat(self.sums(at, term, len(text)), first), -40, 40)))
+
+    def sums(self, at: np.ndarray, term: np.ndarray, n: int) -> np.ndarray:
+        """Value of the machine for each of ``n`` windows with the kept terms ``term`` at ``at``."""
+        total = self.bias + np.bincount(at, self.weight[term], n)
         for v in self.factors.T:
             x = v[term]
-            total += 0.5 * (np.bincount(doc, x, n) ** 2 - np.bincount(doc, x * x, n))
-        return 1 / (1 + np.exp(-np.clip(total, -40, 40)))
+            total += 0.5 * (np.bincount(at, x, n) ** 2 - np.bincount(at, x * x, n))
+        return total
 
 
 def choose_terms(present: np.ndarray, positive: np.ndarray, n: int, n_pos: int) -> np.ndarray:
@@ -186,21 +222,43 @@ def train(sample: DataFrame) -> Model:
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (s for b in batches for s in slices(b)):
-            doc, term = terms(batch.column("text").to_pylist(), shared.value.index)
-            ends = np.r_[0, np.cumsum(np.bincount(doc, minlength=batch.num_rows))].astype(np.int32)
+            at, term, text = window_terms(batch.column("text").to_pylist(), shared.value.index, WINDOW)
+            ends = np.r_[0, np.cumsum(np.bincount(at, minlength=len(text)))].astype(np.int32)
+            each = np.bincount(text, minlength=batch.num_rows)
+            place = np.arange(len(text)) - np.repeat(np.cumsum(each) - each, each)
+            taken = np.minimum(each, FIT_WINDOWS)[text]          # of each[text] windows, evenly spaced
+            some = pa.array(np.flatnonzero(place * taken // each[text] != (place - 1) * taken // each[text]))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("label"),
-                 pa.ListArray.from_arrays(pa.array(ends), pa.array(term.astype(np.int32)))],
-                ["doc_id", "label", "terms"])
+                [batch.column("doc_id").take(pa.array(text)).take(some),
+                 batch.column("label").take(pa.array(text)).take(some), pa.array(place.astype(np.int32)).take(some),
+                 pa.ListArray.from_arrays(pa.array(ends), pa.array(term.astype(np.int32))).take(some)],
+                ["doc_id", "label", "place", "terms"])
 
-    held = sample.mapInArrow(rows, schema_of(sample, ["doc_id"], "label int, terms array<int>")).toArrow()
-    held = held.sort_by([("doc_id", "ascending")])
+    held = sample.mapInArrow(rows, schema_of(sample, ["doc_id"], "label int, place int, terms array<int>")).toArrow()
+    held = held.sort_by([("doc_id", "ascending"), ("place", "ascending")])
     lists = held.column("terms").combine_chunks()
     ends = lists.offsets.to_numpy()
     flat = lists.values.to_numpy()
-    bias, weight, factors = fit([flat[a:b] for a, b in zip(ends, ends[1:])],
-                                held.column("label").to_numpy().astype(np.float64), int(index.max()) + 1)
-    return Model(index, bias, weight, factors)
+    examples = [flat[a:b] for a, b in zip(ends, ends[1:])]
+    doc = held.column("doc_id").combine_chunks().dictionary_encode().indices.to_numpy()
+    return Model(index, *fit_windows(examples, held.column("label").to_numpy().astype(np.float64), doc, int(index.max()) + 1))
+
+
+def fit_windows(examples: list[np.ndarray], y: np.ndarray, doc: np.ndarray,
+                n_terms: int) -> tuple[float, np.ndarray, np.ndarray]:
+    """Fit on windows with the labels ``y`` of their texts ``doc``: of a text of label 1 the window
+    counts that a first fit on all windows finds highest."""
+    most = np.bincount(doc)[doc]
+    if not ((y == 1) & (most > 1)).any():
+        return fit(examples, y, n_terms)
+    first = Model(np.zeros(0, np.int32), *fit(examples, y, n_terms, epochs=10))
+    at = np.repeat(np.arange(len(examples)), [len(x) for x in examples])
+    value = first.sums(at, np.concatenate(examples), len(examples))
+    order = np.lexsort((-value, doc))
+    best = np.zeros(len(y), bool)
+    best[order[np.r_[True, doc[order][1:] != doc[order][:-1]]]] = True
+    keep = np.flatnonzero((y == 0) | best)
+    return fit([examples[i] for i in keep], y[keep], n_terms)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

@@ -81,3 +81,28 @@ def test_quality_of_long_texts(spark):
         for size in (20 << 10, 400 << 10, 4 << 20):
             s = model.scores(sizes.features([whole[:size]]))[0]
             assert s >= 0.7 if label else s < 0.5, (label, size, s)
+
+
+def test_toxicity_of_long_texts(spark):
+    """Held-out clean documents joined to several MB stay clean; a toxic one among them is found."""
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    held = id_remainder("doc_id", 3) == 1
+    model = toxicity.train(toxicity.labelled_texts(docs, labels, "toxic", ~held, toxicity.SAMPLE))
+    rows = (docs.where(held & F.col("text").isNotNull()).join(labels.select("doc_id", "toxic"), "doc_id")
+            .orderBy("doc_id").select("text", "toxic").collect())
+    clean, bad = ([r["text"] for r in rows if r["toxic"] == k] for k in (0, 1))
+    half = len(clean) // 2
+    assert len(" ".join(clean)) > 2 << 20
+    assert model.scores([" ".join(clean), " ".join(clean[::-1] + clean[::3])]).max() < 0.7
+    caught = [t for t, s in zip(bad, model.scores(bad)) if s >= 0.7][:10]
+    assert len(caught) == 10
+    inside = model.scores([" ".join([*clean[:half], t, *clean[half:]]) for t in caught])
+    assert (inside >= 0.7).sum() >= 9
+
+
+def test_windows_cover_every_word_and_neighbour():
+    doc = np.repeat([0, 2, 3], [9, 1, 4])
+    low, high, text = toxicity.windows(doc, 5, 4)
+    assert text.tolist() == [0, 0, 0, 0, 1, 2, 3, 4]
+    assert low.tolist() == [0, 0, 0, 0, 1, 1, 2, 2, 3, 5, 6, 6, 6, 6]
+    assert high.tolist() == [0, 0, 1, 1, 2, 2, 3, 3, 3, 5, 6, 6, 6, 6]
