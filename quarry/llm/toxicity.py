@@ -61,13 +61,14 @@ def sampled_labels(labels: DataFrame, label: str, usable: Column, per_class: int
 
 
 def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, usable: Column, per_class: int) -> DataFrame:
-    """``doc_id``, ``text``, ``label``, ``weight`` of the sampled labelled documents, written once.  The sample's
-    ids are broadcast: their number is bounded by ``per_class``."""
+    """``doc_id``, ``text``, ``label``, ``weight`` of the sampled labelled documents, written once: one row
+    per id (the first by text of rows that repeat it), so that ``per_class`` bounds the rows too.  The
+    sample's ids are broadcast: their number is bounded by ``per_class``."""
     chosen = F.broadcast(sampled_labels(labels, label, usable, per_class))
-    rows = docs.select("doc_id", "text").join(chosen, F.col("doc_id") == F.col("__id"))
-    return written(docs.sparkSession, rows.select("doc_id", F.coalesce("text", F.lit("")).alias("text"),
-                                                  F.col("__label").alias("label"), F.col("__weight").alias("weight")),
-                   f"{label}-sample")
+    rows = (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(chosen, F.col("doc_id") == F.col("__id"))
+            .groupBy("doc_id", F.col("__label").alias("label"), F.col("__weight").alias("weight"))
+            .agg(F.min("text").alias("text")))
+    return written(docs.sparkSession, rows.select("doc_id", "text", "label", "weight"), f"{label}-sample")
 
 
 def windows(doc: np.ndarray, n_docs: int, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -106,3 +106,11 @@ def test_windows_cover_every_word_and_neighbour():
     assert text.tolist() == [0, 0, 0, 0, 1, 2, 3, 4]
     assert low.tolist() == [0, 0, 0, 0, 1, 1, 2, 2, 3, 5, 6, 6, 6, 6]
     assert high.tolist() == [0, 0, 1, 1, 2, 2, 3, 3, 3, 5, 6, 6, 6, 6]
+
+
+def test_sample_has_one_row_per_id(spark):
+    docs = spark.createDataFrame([(1, f"text {i}") for i in range(500)] + [(1, None), (2, "b"), (2, "a"), (3, "c"), (None, "n")],
+                                 "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (1, 1), (2, 0), (4, 0), (None, 1)], "doc_id long, label int")
+    got = toxicity.labelled_texts(docs, labels, "label", F.lit(True), 100).orderBy("doc_id").collect()
+    assert [tuple(r) for r in got] == [(1, "", 1, 1.0), (2, "a", 0, 1.0)]
