@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import chat, decontaminate, htmltext, langid, packing, quality, segments, simhash, tokencount, toxicity
+from quarry.llm import (chat, collocations, decontaminate, exactdedup, htmltext, langid, packing, quality, segments,
+                        simhash, tokencount, toxicity, whitening)
 from quarry.llm.common import id_remainder, table
 
 #: Score from which a document counts as label 1.
@@ -78,6 +79,18 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exactdedup.duplicates(table(spark, sf_dir, "documents"), digests=True)
+
+
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.phrases(table(spark, sf_dir, "documents"))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def _predicted(scored: DataFrame, modulus: int, remainder: int) -> DataFrame:
     return scored.select("doc_id", _held_out(modulus, remainder), "score",
                          (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
@@ -86,7 +99,8 @@ def _predicted(scored: DataFrame, modulus: int, remainder: int) -> DataFrame:
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_topk_segments, op2_language_id, op3_best_fit_packing, op4_html_extraction, op5_decontamination,
-        op6_chat_formatting, op7_toxicity, op8_simhash_near_dedup, op9_quality_classifier, op10_token_counts)}
+        op6_chat_formatting, op7_toxicity, op8_simhash_near_dedup, op9_quality_classifier, op10_token_counts,
+        op11_exact_dedup, op12_phrase_collocations, op13_embedding_whitening)}
 
 
 _OP1 = """
@@ -157,5 +171,54 @@ FROM r GROUP BY conv_id
 """
 
 
+_OP11 = r"""
+WITH t AS (
+  SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
+  FROM documents)
+SELECT doc_id, min(doc_id) OVER (PARTITION BY text_sha256) AS keep_id,
+       count(*) OVER (PARTITION BY text_sha256) AS group_size,
+       row_number() OVER (PARTITION BY text_sha256 ORDER BY doc_id NULLS LAST) = 1 AS kept, text_sha256
+FROM t
+"""
+
+_SPACED = [f"list_aggregate(list_slice(w, {{0}}, {{0}} + {k - 1}), 'string_agg', ' ')" for k in (1, 2, 3, 4)]
+
+_OP12 = f"""
+WITH piece AS (
+  SELECT lang, list_filter(regexp_split_to_array(p, '[\x20\x09]+'), lambda x: x <> '') AS w FROM (
+    SELECT coalesce(lang, 'und') AS lang,
+           unnest(regexp_split_to_array({_LOWER.format("coalesce(text, '')")}, '[.,;:!?\x0A-\x0D]')) AS p
+    FROM documents)),
+start AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM piece),
+gram AS (
+  SELECT lang, k, CASE k WHEN 1 THEN w[i] WHEN 2 THEN {_SPACED[1].format("i")} WHEN 3 THEN {_SPACED[2].format("i")}
+                         ELSE {_SPACED[3].format("i")} END AS phrase
+  FROM start, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE i + k - 1 <= len(w)),
+f AS (SELECT lang, k, phrase, count(*)::HUGEINT AS a FROM gram GROUP BY ALL),
+total AS (SELECT lang, sum(a) AS n FROM f WHERE k = 1 GROUP BY lang),
+cand AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE k >= 2 AND a >= 30),
+inner_part AS (
+  SELECT lang, list_aggregate(list_slice(w, i, i + m - 1), 'string_agg', ' ') AS phrase, max(a) AS longer
+  FROM (SELECT *, unnest(range(1, k - m + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS m FROM cand))
+  GROUP BY ALL),
+alone AS (
+  SELECT cand.* FROM cand LEFT JOIN inner_part USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 80 * a),
+cut AS (
+  SELECT lang, phrase, a, c, list_aggregate(list_slice(w, 1, c), 'string_agg', ' ') AS head,
+         list_aggregate(list_slice(w, c + 1, k), 'string_agg', ' ') AS tail
+  FROM (SELECT *, unnest(range(1, k)) AS c FROM alone)),
+scored AS (
+  SELECT cut.*, h.a AS l, t.a AS r, (2000000 * cut.a) // (h.a + t.a) AS score,
+         row_number() OVER (PARTITION BY cut.lang, cut.phrase ORDER BY (2000000 * cut.a) // (h.a + t.a), c) AS o
+  FROM cut JOIN f h ON h.lang = cut.lang AND h.phrase = head JOIN f t ON t.lang = cut.lang AND t.phrase = tail),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank
+  FROM scored WHERE o = 1)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+"""
+
+
 def all_oracles() -> dict[str, str]:
-    return {"op1_topk_segments": _OP1, "op5_decontamination": _OP5, "op6_chat_formatting": _OP6}
+    return {"op1_topk_segments": _OP1, "op5_decontamination": _OP5, "op6_chat_formatting": _OP6,
+            "op11_exact_dedup": _OP11, "op12_phrase_collocations": _OP12}

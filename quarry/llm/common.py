@@ -67,3 +67,16 @@ def per_worker(key: str, make: Callable[[], Any]) -> Any:
             _HELD.clear()
         _HELD[key] = make()
     return _HELD[key]
+
+
+def join_split(rows: DataFrame, side: DataFrame, keys: list[str], shares: int = 1024) -> DataFrame:
+    """``rows`` left-joined to ``side`` (one row per key; keys not null) with no key too large for a
+    task: keys that hold more than 1/``shares`` of all rows, of which there can be ``shares`` at
+    most, are joined by broadcast and never shuffled; the others by shuffle.  Both are read
+    several times and should be written tables."""
+    spark = rows.sparkSession
+    total = rows.count()
+    hot = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") * shares > total).drop("_n")
+    large = written(spark, F.broadcast(hot).join(side, keys, "left"), "large-keys")
+    return (rows.join(F.broadcast(large), keys)
+            .unionByName(rows.join(F.broadcast(large.select(*keys)), keys, "left_anti").join(side, keys, "left")))
