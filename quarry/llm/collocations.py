@@ -41,7 +41,7 @@ ORDER = 4
 #: Bytes of text for each class of pairs, and the most classes.
 BYTES_PER_CLASS, MAX_CLASSES = 24, 1 << 29
 #: Text bytes whose words are held at once, and windows gathered before they are counted.
-BLOCK_BYTES, HELD_WORDS = 4 << 20, 3_000_000
+BLOCK_BYTES, HELD_WORDS = 2 << 20, 1_000_000
 
 # fixed values: bytes that end a piece, bytes between words
 _ENDS, _BETWEEN = b".,;:!?\x0a\x0b\x0c\x0d", b"\x20\x09"
@@ -77,7 +77,7 @@ def blocks(data: bytes, limit: int = BLOCK_BYTES) -> Iterator[tuple[list[bytes],
 
 def _encoded(batch: pa.RecordBatch) -> Iterator[tuple[str, np.ndarray, list[bytes], np.ndarray]]:
     """Per language and block: language, codes (-1: end of a piece), words by code, own positions."""
-    for part in slices(batch, limit=2 * BLOCK_BYTES):
+    for part in slices(batch, limit=BLOCK_BYTES):
         lang = part.column("lang").dictionary_encode()
         names = lang.dictionary.to_pylist()
         code = lang.indices.to_numpy()
@@ -145,11 +145,11 @@ def _count_windows(batches: Iterator[pa.RecordBatch], classes: int, bitmap: np.n
             first = np.flatnonzero(new)
             n = np.diff(np.append(first, len(order)))
             texts = pa.array(words + [b""], pa.binary())
-            columns = [texts.take(pa.array(np.where(x[first] < 0, len(words), x[first]))).cast(pa.string())
-                       if len(first) else pa.array([], pa.string()) for x in lead]
+            columns = [texts.take(pa.array(np.where(x[first] < 0, len(words), x[first]), pa.int64())) for x in lead]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([name] * len(first), pa.string()), *columns, pa.array(n, pa.int64())],
-                ["lang", *_LEAD, "n"])
+                [pa.array([name] * len(first), pa.string()),
+                 pc.binary_join_element_wise(*columns, pa.scalar(b" ", pa.binary())).cast(pa.string()),
+                 pa.array(n, pa.int64())], ["lang", "window", "n"])
 
 
 _LEAD = [f"w{k}" for k in range(1, ORDER + 1)]
@@ -165,7 +165,8 @@ def _bitmap(rows: list[Row], classes: int) -> np.ndarray:
 
 
 def windows(docs: DataFrame, min_count: int) -> DataFrame:
-    """``lang``, ``w1`` .. ``w4`` (empty: padded), ``n``: counted longest windows, in parts."""
+    """``lang``, ``w1`` .. ``w4`` (empty: padded), ``n``: every distinct longest window, counted.  It
+    travels as one string; a padded word leaves nothing between the spaces."""
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     classes = 32768
@@ -176,21 +177,26 @@ def windows(docs: DataFrame, min_count: int) -> DataFrame:
     bits = often.groupBy((F.col("c") / 32768).cast("int").alias("block")).agg(
         F.bitmap_construct_agg(F.col("c").cast("long") % 32768).alias("bits"))
     bitmap = _bitmap(bits.collect(), classes)      # at most MAX_CLASSES bits
-    wide = ", ".join(f"{w} string" for w in _LEAD)
-    return docs.mapInArrow(lambda it: _count_windows(it, classes, bitmap), f"lang string, {wide}, n long")
+    parts = docs.mapInArrow(lambda it: _count_windows(it, classes, bitmap), "lang string, window string, n long")
+    lead = F.split("window", " ")
+    return parts.groupBy("lang", "window").agg(F.sum("n").alias("n")).select(
+        "lang", *[lead[i].alias(w) for i, w in enumerate(_LEAD)], "n")
 
 
 def phrase_counts(docs: DataFrame, min_count: int) -> DataFrame:
     """``lang``, ``k``, ``phrase``, ``a``: phrases of 1 to 4 words that occur ``min_count`` times or
     more, and with ``k`` 0 the number of words of each language."""
-    counted = windows(docs, min_count).rollup("lang", *_LEAD).agg(
-        F.sum("n").alias("a"), F.grouping_id().alias("_gid"))
-    k = F.lit(ORDER) - F.length(F.replace(F.bin("_gid"), F.lit("0"), F.lit("")))     # words that are not rolled up
-    words = F.array(*_LEAD)
-    whole = F.filter(words, lambda w: w.isNotNull() & (w != ""))
-    return (counted.withColumn("k", k).where("k >= 0")
-            .where((F.col("k") == 0) | ((F.col("a") >= min_count) & (F.size(whole) == F.col("k"))))
-            .select("lang", F.col("k").cast("int").alias("k"), F.array_join(whole, " ").alias("phrase"), "a"))
+    longest = written(docs.sparkSession, windows(docs, min_count), "longest-windows")
+    full = (longest.where((F.col(_LEAD[-1]) != "") & (F.col("n") >= min_count))
+            .select("lang", F.lit(ORDER).alias("k"), F.array_join(F.array(*_LEAD), " ").alias("phrase"), F.col("n").alias("a")))
+    shorter = _LEAD[:-1]
+    summed = longest.rollup("lang", *shorter).agg(F.sum("n").alias("a"), F.grouping_id().alias("_gid"))
+    k = F.lit(ORDER - 1) - F.length(F.replace(F.bin("_gid"), F.lit("0"), F.lit("")))     # words not rolled up
+    words = F.filter(F.array(*shorter), lambda w: w.isNotNull() & (w != ""))
+    return (summed.withColumn("k", k).where("k >= 0")
+            .where((F.col("k") == 0) | ((F.col("a") >= min_count) & (F.size(words) == F.col("k"))))
+            .select("lang", F.col("k").cast("int").alias("k"), F.array_join(words, " ").alias("phrase"), "a")
+            .unionByName(full))
 
 
 #: Exact where the products pass 64 bits.
