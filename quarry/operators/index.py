@@ -55,18 +55,38 @@ def _block_col(doc_id: Column) -> Column:
     return F.shiftright(doc_id.cast("long"), BLOCK.bit_length() - 1)
 
 
-def posting_blocks(post: DataFrame, compressed: bool = False) -> DataFrame:
-    """A1 array view (and A2 when ``compressed``): ``(term, block, ids|codes, n)``.
+def _bounded_parts(pairs: Column, n: Column, entries: int) -> Column:
+    """The ``(doc_id, tf)`` pairs of a block, ``n`` occurrences in all, as consecutive lists of pairs
+    with at most ``entries`` occurrences each: one list where they fit, else even runs of pairs,
+    and where a run is still too large every document alone, its occurrences cut."""
+    run = F.greatest(F.lit(1), F.floor(F.size(pairs) * F.lit(float(entries)) / (n * 2)).cast("int"))
+    runs = F.transform(F.sequence(F.lit(0), F.floor((F.size(pairs) - 1) / run).cast("int")),
+                       lambda i: F.slice(pairs, i * run + 1, run))
+    total = lambda x: F.aggregate(x, F.lit(0).cast("long"), lambda s, y: s + y["tf"])
+    alone = lambda x: F.transform(
+        F.sequence(F.lit(0).cast("long"), F.floor((x["tf"] - 1) / entries)),
+        lambda k: F.array(F.struct(x["doc_id"].alias("doc_id"), F.least(F.lit(entries), x["tf"] - k * entries).alias("tf"))))
+    return F.when(n <= entries, F.array(pairs)).otherwise(F.flatten(F.transform(
+        runs, lambda r: F.when(total(r) <= entries, F.array(r)).otherwise(F.flatten(F.transform(r, alone))))))
+
+
+def posting_blocks(post: DataFrame, compressed: bool = False, entries: int = BLOCK) -> DataFrame:
+    """A1 array view (and A2 when ``compressed``): ``(term, block, part, ids|codes, n)``.
 
     Ids ascend inside a block, each repeated ``tf`` times (the reference keeps one entry
-    per occurrence).  Codes are Elias-delta of the raw id, in the same order.
+    per occurrence).  Codes are Elias-delta of the raw id, in the same order.  A row holds at most
+    ``entries`` occurrences: a block with more is cut into parts, numbered in list order, before
+    anything is repeated.
     """
-    pairs = F.sort_array(F.collect_list(F.struct("doc_id", "tf")))
+    pairs = F.sort_array(F.collect_list(F.struct("doc_id", F.col("tf").cast("long").alias("tf"))))
     value = (lambda x: tx.elias_delta(x["doc_id"])) if compressed else (lambda x: x["doc_id"])
-    expanded = F.flatten(F.transform(pairs, lambda x: F.array_repeat(value(x), x["tf"].cast("int"))))
+    expanded = F.flatten(F.transform(F.col("_p"), lambda x: F.array_repeat(value(x), x["tf"].cast("int"))))
     name = "codes" if compressed else "doc_ids"
     return (post.groupBy("term", _block_col(F.col("doc_id")).alias("block"))
-            .agg(expanded.alias(name), F.sum("tf").alias("n")))
+            .agg(pairs.alias("_pairs"), F.sum("tf").alias("_n"))
+            .select("term", "block", F.posexplode(_bounded_parts(F.col("_pairs"), F.col("_n"), entries)).alias("part", "_p"))
+            .select("term", "block", "part", expanded.alias(name),
+                    F.aggregate("_p", F.lit(0).cast("long"), lambda s, x: s + x["tf"]).alias("n")))
 
 
 # --- A3 / A4: sizes --------------------------------------------------------------------
@@ -230,8 +250,8 @@ def search(spark: SparkSession, post: DataFrame, terms: list[str] | str,
            compressed: bool = True) -> DataFrame:
     """Exact whole-token lookup of each term.
 
-    Returns ``(term, block, results, count)``: ``results`` holds the ids (or their codes)
-    of one block, ``count`` the occurrences of the term over all blocks.  A term that is
+    Returns ``(term, block, part, results, count)``: ``results`` holds the ids (or their codes)
+    of one part of a block, ``count`` the occurrences of the term over all blocks.  A term that is
     absent gets one row with an empty list, NULL block and count 0.
 
     The counts (at most one row per asked term) are aggregated on their own and broadcast to
@@ -245,12 +265,12 @@ def search(spark: SparkSession, post: DataFrame, terms: list[str] | str,
         found = posting_blocks(hits, compressed=compressed)
         counts = hits.groupBy("term").agg(F.sum("tf").cast("long").alias("count"))
         results = F.col("codes" if compressed else "doc_ids").alias("results")
-        there = found.join(F.broadcast(counts), "term").select("term", "block", results, "count")
+        there = found.join(F.broadcast(counts), "term").select("term", "block", "part", results, "count")
         asked = small_literal_frame(spark, [(t,) for t in part], "term string")
         empty = F.array().cast(T.ArrayType(T.StringType() if compressed else T.LongType()))
         # the same counts again (a reused broadcast), so the texts are read once
         absent = asked.join(F.broadcast(counts), "term", "left").where(F.col("count").isNull()).select(
-            "term", F.lit(None).cast("long").alias("block"), empty.alias("results"),
+            "term", F.lit(None).cast("long").alias("block"), F.lit(0).alias("part"), empty.alias("results"),
             F.lit(0).cast("long").alias("count"))
         both = there.unionByName(absent)
         out = both if out is None else out.unionByName(both)

@@ -13,34 +13,52 @@ from quarry.operators import index as ix
 from quarry.operators import mentions as mx
 from quarry.session import written
 from quarry.sources import corpus as src
-from quarry.sources import index_store, report
+from quarry.sources import coded_index, index_store, report
 
 
 # --- W1 / W2 / W3: index --------------------------------------------------------------------
 def build_index(spark: SparkSession, corpus: DataFrame, path: str, replicate: int = 1,
                 partitions: int | None = None) -> dict[str, str]:
-    """Corpus -> ``path/postings`` (term, doc_id, tf; clustered by term and id),
-    ``path/terms`` (per-term statistics and sizes) and ``path/totals`` (one row), so reports
-    never rescan the postings.  ``replicate`` repeats every record that many times (S3)."""
+    """Corpus -> ``path/postings`` (term, doc_id, tf; clustered by term and id), ``path/codes``
+    (the compressed lists: blocks of Elias-delta codes in the same order), ``path/terms`` (per-term
+    statistics and sizes) and ``path/totals`` (one row), so reports never rescan the postings.
+    ``replicate`` repeats every record that many times (S3)."""
     root = path.rstrip("/")
     if replicate > 1:
         corpus = src.replicate_corpus(corpus, replicate)
     p_path = index_store.write_index(spark, ix.postings(corpus), f"{root}/postings", partitions)
+    coded_index.write_codes(spark, index_store.read_index(spark, p_path), f"{root}/codes")
     stats = ix.term_size_stats(index_store.read_index(spark, p_path))
     ix.term_sizes(stats).write.mode("overwrite").parquet(f"{root}/terms")
     ix.size_totals(spark.read.parquet(f"{root}/terms")).write.mode("overwrite").parquet(f"{root}/totals")
-    return {"postings": p_path, "terms": f"{root}/terms", "totals": f"{root}/totals"}
+    return {"postings": p_path, "codes": f"{root}/codes", "terms": f"{root}/terms", "totals": f"{root}/totals"}
 
 
 def search_index(spark: SparkSession, path: str, term: str | list[str],
                  compressed: bool = True) -> tuple[DataFrame, DataFrame]:
     """Lookup on the stored index (``term = q`` pushed to the scan) and one evaluation row
-    per term from the stored statistics (also pushed)."""
+    per term from the stored statistics (also pushed).  Compressed results are the codes as
+    stored, ``(term, first_id, results, count)`` by block; otherwise ids, ``(term, block, part,
+    results, count)``."""
     root = path.rstrip("/")
     terms = [term] if isinstance(term, str) else list(dict.fromkeys(term))
-    found = ix.search(spark, index_store.read_index(spark, f"{root}/postings"), terms, compressed=compressed)
+    sizes = spark.read.parquet(f"{root}/terms")
+    if compressed:
+        found = search_codes(spark, root, terms)
+    else:
+        found = ix.search(spark, index_store.read_index(spark, f"{root}/postings"), terms, compressed=False)
     totals = spark.read.parquet(f"{root}/totals").first()      # the one row of the index
-    return found, ix.evaluate_terms(spark, spark.read.parquet(f"{root}/terms"), totals, terms)
+    return found, ix.evaluate_terms(spark, sizes, totals, terms)
+
+
+def search_codes(spark: SparkSession, path: str, terms: list[str], compressed: bool = True,
+                 between: tuple[int, int] | None = None) -> DataFrame:
+    """Lookup in the stored codes of an index: counts come from its statistics, lists from the
+    bits of its blocks; with ``between`` only blocks whose header meets that range of ids."""
+    root = path.rstrip("/")
+    blocks = coded_index.of_terms(spark, spark.read.parquet(f"{root}/codes"), terms)
+    counts = coded_index.of_terms(spark, spark.read.parquet(f"{root}/terms"), terms)
+    return coded_index.search_blocks(spark, blocks, counts, terms, compressed, between)
 
 
 def index_report(spark: SparkSession, corpus: DataFrame, term: str) -> DataFrame:
