@@ -9,12 +9,11 @@ date TIMESTAMP_NTZ, text STRING, likes, views, reposts, comments BIGINT, post_ur
 from __future__ import annotations
 
 import datetime as dt
-import json
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.functions.text import tokenize
+from quarry.operators.topics import match_topics, topic_array
 from quarry.operators.topk import top_k_per_group
 from quarry.session import small_literal_frame
 
@@ -104,24 +103,15 @@ def api_order() -> list[Column]:
     return [F.col("date").desc(), F.col("post_id").asc(), F.col("owner_id").asc()]
 
 
-def _topic_array(topics: list[str]) -> Column:
-    """The topic list as one constant array of the plan."""
-    return F.from_json(F.lit(json.dumps(topics)), "array<string>")
-
-
-def search_mentions(posts: DataFrame, topics: list[str], cap: int | None = None,
+def search_mentions(posts: DataFrame, topics: list[str] | DataFrame, cap: int | None = None,
                     whole_token: bool = False) -> DataFrame:
     """Posts whose text contains the topic (case-sensitive substring, or a whole
-    whitespace-separated token), labelled with the topic.  Every post names its own topics, so
-    there is no join and no shuffle.  A NULL text matches nothing.
+    whitespace-separated token), labelled with the topic; posts are not shuffled and a long topic
+    list costs about what a short one does (:mod:`quarry.operators.topics`).  A NULL text matches nothing.
 
     With ``cap`` only the first ``cap`` posts of each topic in API order (an explicit top-k)."""
-    found = _topic_array(list(dict.fromkeys(topics)))
-    text = F.col("text")
-    hits = (F.array_intersect(tokenize(text), found) if whole_token
-            else F.filter(found, lambda t: F.contains(text, t)))
+    matched = match_topics(posts, topics, whole_token)
     kept = [c for c in posts.columns if c != "university"]
-    matched = posts.select(F.explode(hits).alias("university"), *kept)
     if cap is None:
         return matched
     tie = F.xxhash64(*[c for c in kept if c != "text"], "text").asc()
@@ -186,7 +176,7 @@ def daily_counts(posts: DataFrame, topics: list[str] | None = None) -> DataFrame
     topic list a NULL topic is a topic like any other; a topic list names the topics kept."""
     dated = posts.where(F.col("date").isNotNull())
     if topics is not None:
-        dated = dated.where(F.array_contains(_topic_array(topics), F.col("university")))
+        dated = dated.where(F.array_contains(topic_array(topics), F.col("university")))
     per = dated.groupBy("university", F.date_format("date", "yyyy-MM-dd").alias("day")).agg(
         F.count(F.lit(1)).alias("n"))
     days = per.select(F.sort_array(F.collect_set("day"))).scalar()

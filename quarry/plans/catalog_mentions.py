@@ -6,15 +6,19 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from quarry.functions.text import tokenize
 from quarry.operators import mentions as mx
 from quarry.plans import adapters
-from quarry.plans.catalog import WSR_SQL, Query
+from quarry.plans.catalog import TOKENS_SQL, WSR_SQL, Query
 from quarry.session import scratch_path
+from quarry.sources import corpus as src
 from quarry.sources import landed
 from quarry.sources import report
 
 # Parameters of the registered queries (user inputs).
 MENTION_TOPICS = ["the", "de", "zzzz-none"]
+# two thousand rare substrings: three letters, the first of them seldom
+RARE_PARTS = [a + b + c for a in "qxz" for b in "abcdefghijklmnopqrstuvwxyz" for c in "abcdefghijklmnopqrstuvwxyz"]
 TOP = 50
 EVENTS_YEAR = 2024
 ORDERS_YEAR = 2001
@@ -62,6 +66,18 @@ def q_mention_tokens(spark, sf):
     return _year_search(spark, sf, True).select("university", "post_id", "date", "author_id", "likes")
 
 
+def q_mention_many_tokens(spark, sf):
+    """A long topic list: every token of the benchmark, searched as a whole token."""
+    topics = src.table(spark, sf, "benchmark").select(F.explode(tokenize("text")).alias("topic"))
+    posts = adapters.searchable_posts(spark, sf).filter(mx.in_period(F.col("date"), _Y_START, _Y_END))
+    return mx.topic_stats(mx.search_mentions(posts, topics, whole_token=True))
+
+
+def q_mention_many_parts(spark, sf):
+    """A long list of substrings, found by one automaton."""
+    return mx.topic_stats(mx.search_mentions(adapters.searchable_posts(spark, sf), RARE_PARTS))
+
+
 def q_mention_top(spark, sf):
     posts = adapters.searchable_posts(spark, sf).filter(mx.in_period(F.col("date"), _Y_START, _Y_END))
     return mx.search_mentions(posts, MENTION_TOPICS, cap=TOP).select("university", "post_id", "date")
@@ -148,6 +164,8 @@ MENTION_QUERIES: dict[str, Query] = {
     "monthly_long": q_monthly_long,
     "publications": q_publications,
     "mention_tokens": q_mention_tokens,
+    "mention_many_tokens": q_mention_many_tokens,
+    "mention_many_parts": q_mention_many_parts,
     "mention_top": q_mention_top,
     "mentions_recent_stats": _recent_job("stats"),
     "mentions_recent_daily": _recent_job("daily"),
@@ -264,6 +282,27 @@ SELECT university, post_id, date, author_id, likes FROM found
     "mention_tokens": f"""
 WITH {_SEARCHABLE}, {_TOKEN_FOUND}
 SELECT university, post_id, date, author_id, likes FROM found
+""",
+    "mention_many_tokens": f"""
+WITH {_SEARCHABLE},
+asked AS (SELECT DISTINCT unnest({TOKENS_SQL}) AS university FROM benchmark),
+said AS (SELECT DISTINCT doc_id, unnest({TOKENS_SQL}) AS university FROM documents),
+found AS (
+  SELECT s.university, p.* FROM said s SEMI JOIN asked USING (university)
+  JOIN (SELECT *, post_id % (SELECT count(*) FROM documents) AS doc_id FROM sposts) p ON p.doc_id = s.doc_id
+  WHERE p.date >= {_ts(_Y_START)} AND p.date <= {_ts(_Y_END)})
+SELECT university, count(*)::BIGINT AS posts_count, {_SET_SIZE} AS authors_count, {_STAT_SUMS}
+FROM found GROUP BY university
+""",
+    "mention_many_parts": f"""
+WITH {_SEARCHABLE},
+asked(university) AS (VALUES {", ".join(f"('{t}')" for t in RARE_PARTS)}),
+said AS (SELECT doc_id, a.university FROM documents, asked a WHERE contains(text, a.university)),
+found AS (
+  SELECT s.university, p.* FROM said s
+  JOIN (SELECT *, post_id % (SELECT count(*) FROM documents) AS doc_id FROM sposts) p ON p.doc_id = s.doc_id)
+SELECT university, count(*)::BIGINT AS posts_count, {_SET_SIZE} AS authors_count, {_STAT_SUMS}
+FROM found GROUP BY university
 """,
     "mention_top": f"""
 WITH {_SEARCHABLE}, {_YEAR_FOUND}
