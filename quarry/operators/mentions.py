@@ -166,6 +166,86 @@ def overall_stats(posts: DataFrame) -> DataFrame:
                      _set_size(F.col("author_id")).alias("unique_authors"))
 
 
+# --- A7 / A8 / A9 / A11 from one mergeable state --------------------------------------------------
+#: Authors of one bitmap (fixed by the bitmap functions).
+_AUTHORS = 32768
+_MONTH, _TOPIC, _ALL = "month", "topic", "all"
+
+
+def mention_state(posts: DataFrame, year: int, now: dt.datetime | None = None) -> DataFrame:
+    """What all statistics of ``posts`` need, from one scan and one shuffle (``GROUPING SETS``):
+    ``(level, university, month, bucket, n, ids, likes, views, reposts, comments, authors)``.
+
+    * level ``month``: rows of a topic by month of ``year`` (0: inside the period, outside the year);
+    * level ``topic``: rows, sums and authors of a topic, by bucket of 32768 author ids;
+    * level ``all``: the same over all topics.
+
+    ``authors`` is a bitmap of the bucket's ids, exact for any BIGINT; rows without an author are
+    in the NULL bucket.  States of parts of the posts add up (:func:`merged_states`), distinct
+    authors included, so a report of many days needs no post read twice.  A bitmap is 4 KB: where
+    author ids are sparse (few to a bucket), :func:`topic_stats` moves less."""
+    s, e = year_bounds(year, now)
+    month = F.when(in_period(F.col("date"), s, e), F.when(F.year("date") == year, F.month("date")).otherwise(0))
+    rows = posts.select("university", month.alias("month"), F.shiftright("author_id", 15).alias("bucket"),
+                        F.col("author_id").bitwiseAND(F.lit(_AUTHORS - 1)).alias("_at"), "post_id", *[c for c, _ in _SUMS])
+    sets = [["university", "month"], ["university", "bucket"], ["bucket"]]
+    grouped = rows.groupingSets([[F.col(c) for c in x] for x in sets], "university", "month", "bucket")
+    level = F.grouping_id()      # of (university, month, bucket): 1 where a column is rolled up
+    return grouped.agg(
+        F.when(level == 0b001, _MONTH).when(level == 0b010, _TOPIC).otherwise(_ALL).alias("level"),
+        F.count(F.lit(1)).alias("n"), F.count("post_id").alias("ids"),
+        *[F.sum(c).cast("long").alias(c) for c, _ in _SUMS],
+        F.bitmap_construct_agg("_at").alias("authors")).withColumn(
+            "authors", F.when(F.col("level") != _MONTH, F.col("authors"))).select(*STATE_COLUMNS)
+
+
+STATE_COLUMNS = ["level", "university", "month", "bucket", "n", "ids", "likes", "views", "reposts", "comments", "authors"]
+
+
+def merged_states(states: DataFrame) -> DataFrame:
+    """States of several parts of the posts (their union) as the state of all."""
+    return states.groupBy("level", "university", "month", "bucket").agg(
+        *[F.sum(c).cast("long").alias(c) for c in ("n", "ids", "likes", "views", "reposts", "comments")],
+        F.bitmap_or_agg("authors").alias("authors")).select(*STATE_COLUMNS)
+
+
+def _authors(with_null: bool) -> Column:
+    """Distinct authors over the buckets of a group; a missing author is one more, if asked."""
+    ids = F.coalesce(F.sum(F.bitmap_count("authors")), F.lit(0))
+    return (ids + F.max(F.when(F.col("bucket").isNull(), 1).otherwise(0)) if with_null else ids).cast("long")
+
+
+def _state_sums() -> list[Column]:
+    return [F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(a) for c, a in _SUMS]
+
+
+def topic_stats_of(state: DataFrame) -> DataFrame:
+    """A7 from a state: as :func:`topic_stats`."""
+    return state.where(F.col("level") == _TOPIC).groupBy("university").agg(
+        F.sum("n").cast("long").alias("posts_count"), _authors(True).alias("authors_count"), *_state_sums())
+
+
+def topic_stats_frame_of(state: DataFrame) -> DataFrame:
+    """A8 from a state: as :func:`topic_stats_frame`."""
+    return (state.where(F.col("level") == _TOPIC).groupBy("university").agg(
+        F.sum("ids").cast("long").alias("posts_count"), _authors(False).alias("authors_count"), *_state_sums())
+        .orderBy("university"))
+
+
+def overall_stats_of(state: DataFrame) -> DataFrame:
+    """A9 from a state: as :func:`overall_stats`."""
+    return state.where(F.col("level") == _ALL).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("total_posts"), _authors(True).alias("unique_authors"))
+
+
+def monthly_matrix_of(state: DataFrame) -> DataFrame:
+    """A11 from a state: as :func:`monthly_matrix`."""
+    months = state.where((F.col("level") == _MONTH) & F.col("month").isNotNull())
+    return months.groupBy("university").agg(*[
+        F.coalesce(F.sum(F.when(F.col("month") == m, F.col("n"))), F.lit(0)).cast("long").alias(name)
+        for m, name in enumerate(MONTH_NAMES, start=1)])
+
+
 # --- A10: daily series, zero-filled on the union of dates ---------------------------------------
 def daily_counts(posts: DataFrame, topics: list[str] | None = None) -> DataFrame:
     """``(university, day 'yyyy-MM-dd', n)``: every topic gets every day on which any topic

@@ -66,6 +66,22 @@ def q_mention_tokens(spark, sf):
     return _year_search(spark, sf, True).select("university", "post_id", "date", "author_id", "likes")
 
 
+def _merged_state(spark, sf):
+    """States of the odd and the even posts, merged: topics and authors are in both."""
+    posts = adapters.posts_from_events(spark, sf)
+    odd = F.pmod(F.col("post_id"), F.lit(2)) == 1
+    parts = [mx.mention_state(posts.where(c), EVENTS_YEAR) for c in (odd, ~odd)]
+    return mx.merged_states(parts[0].unionByName(parts[1]))
+
+
+def q_merged_topic_stats(spark, sf):
+    return mx.topic_stats_of(_merged_state(spark, sf))
+
+
+def q_merged_overall(spark, sf):
+    return mx.overall_stats_of(_merged_state(spark, sf))
+
+
 def q_mention_many_tokens(spark, sf):
     """A long topic list: every token of the benchmark, searched as a whole token."""
     topics = src.table(spark, sf, "benchmark").select(F.explode(tokenize("text")).alias("topic"))
@@ -165,6 +181,8 @@ MENTION_QUERIES: dict[str, Query] = {
     "publications": q_publications,
     "mention_tokens": q_mention_tokens,
     "mention_many_tokens": q_mention_many_tokens,
+    "merged_topic_stats": q_merged_topic_stats,
+    "merged_overall": q_merged_overall,
     "mention_many_parts": q_mention_many_parts,
     "mention_top": q_mention_top,
     "mentions_recent_stats": _recent_job("stats"),
@@ -344,6 +362,15 @@ FROM posts WHERE date >= {_ts(_Y_START)} AND date <= {_ts(_Y_END)} GROUP BY univ
 SELECT 'line' AS kind, '{"query":"' || event_type || '",' || event_id AS raw FROM events WHERE event_id % 97 = 0
 UNION ALL
 SELECT 'post', '{"id":' || event_id || ',"likes":"many"}' FROM events WHERE event_id % 97 <> 0 AND event_id % 13 = 0
+""",
+    "merged_topic_stats": f"""
+WITH {_POSTS}
+SELECT university, count(*)::BIGINT AS posts_count, {_SET_SIZE} AS authors_count, {_STAT_SUMS}
+FROM posts GROUP BY university
+""",
+    "merged_overall": f"""
+WITH {_POSTS}
+SELECT count(*)::BIGINT AS total_posts, {_SET_SIZE} AS unique_authors FROM posts
 """,
     "topic_stats": f"""
 WITH {_POSTS}

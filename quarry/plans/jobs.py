@@ -109,8 +109,9 @@ def mentions_year(spark: SparkSession, posts: DataFrame, topics: list[str], year
     s, e = mx.year_bounds(year, now)
     found = mx.search_mentions(posts.filter(mx.in_period(F.col("date"), s, e)), topics)
     kept = written(spark, found.filter(F.year("date") == year), "mentions")
-    out = {"stats": mx.topic_stats(kept), "overall": mx.overall_stats(kept),
-           "monthly": mx.monthly_matrix(kept, year, now)}
+    state = written(spark, mx.mention_state(kept, year, now), "mention-state")      # one scan for all tables
+    out = {"stats": mx.topic_stats_of(state), "overall": mx.overall_stats_of(state),
+           "monthly": mx.monthly_matrix_of(state)}
     if out_dir:
         out["report"] = report.write_report(kept, out_dir, year)
     return out
