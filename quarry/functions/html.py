@@ -8,6 +8,7 @@ contents are dropped, ``<title>`` is kept, character references are decoded once
 from __future__ import annotations
 
 import json
+import zlib
 from html.entities import html5
 
 from pyspark.sql import Column
@@ -30,9 +31,22 @@ COMMENT_PATTERN = r"(?s)<!--.*?-->"
 TAG_PATTERN = r"""(?s)<[!/?a-zA-Z](?:[^>"']++|"[^"]*+"|'[^']*+')*+>|<[!/?a-zA-Z][^>]*>"""
 
 
-def _names() -> Column:
-    """The standard's named references (from the Python library's table) as a constant map."""
-    return F.from_json(F.lit(json.dumps(html5)), "map<string,string>")
+#: Slots of the table of named references: about two slots a name.
+_SLOTS = 4096
+
+
+def _name_table() -> Column:
+    """The standard's named references (from the Python library's table) as a constant array of
+    small maps, placed by a hash of the name, so a name is compared with one or two others."""
+    slots: list[dict[str, str]] = [{} for _ in range(_SLOTS)]
+    for name, text in html5.items():
+        slots[zlib.crc32(name.encode()) % _SLOTS][name] = text
+    return F.from_json(F.lit(json.dumps(slots)), "array<map<string,string>>")
+
+
+def _named(name: Column) -> Column:
+    """The characters of a named reference, NULL if there is none of that name."""
+    return F.element_at(F.get(_name_table(), (F.crc32(name.cast("binary")) % _SLOTS).cast("int")), name)
 
 
 def _legacy_pattern() -> str:
@@ -63,28 +77,33 @@ def _character(n: Column) -> Column:
             .otherwise(wide))
 
 
-def _decode_part(part: Column) -> Column:
-    """What stands behind one ``&``, with its reference decoded."""
-    number = F.regexp_extract(part, r"^#0*([0-9]{0,8})[0-9]*;?", 1)
-    hexed = F.regexp_extract(part, r"^#[xX]0*([0-9a-fA-F]{0,7})[0-9a-fA-F]*;?", 1)
+def _opened(part: Column) -> Column:
+    """What stands behind one ``&``, with the reference it begins with (each found once)."""
     digits = F.regexp_extract(part, r"^(#[0-9]+;?|#[xX][0-9a-fA-F]+;?)", 1)
-    value = F.when(part.rlike("^#[xX]"), F.conv(F.concat(F.lit("0"), hexed), 16, 10).cast("long")).otherwise(
-        F.concat(F.lit("0"), number).cast("long"))
     name = F.regexp_extract(part, r"^([a-zA-Z][a-zA-Z0-9]*;)", 1)
-    legacy = F.regexp_extract(part, _legacy_pattern(), 1)
+    return F.struct(part.alias("part"), digits.alias("digits"), name.alias("name"))
+
+
+def _decoded(x: Column) -> Column:
+    """The part of :func:`_opened` with its reference decoded."""
+    part, digits, name = x["part"], x["digits"], x["name"]
+    number = F.regexp_extract(digits, r"^#0*([0-9]{0,8})[0-9]*;?", 1)
+    hexed = F.regexp_extract(digits, r"^#[xX]0*([0-9a-fA-F]{0,7})[0-9a-fA-F]*;?", 1)
+    value = F.when(digits.rlike("^#[xX]"), F.conv(F.concat(F.lit("0"), hexed), 16, 10).cast("long")).otherwise(
+        F.concat(F.lit("0"), number).cast("long"))
     rest = lambda found: part.substr(F.length(found) + 1, F.length(part))
-    named = F.element_at(_names(), name)
-    return (F.when(digits != "", F.concat(_character(value), rest(digits)))
-            .when((name != "") & named.isNotNull(), F.concat(named, rest(name)))
-            .when(legacy != "", F.concat(F.element_at(_names(), legacy), rest(legacy)))
-            .otherwise(F.concat(F.lit("&"), part)))
+    legacy = F.regexp_extract(part, _legacy_pattern(), 1)
+    return F.when(digits != "", F.concat(_character(value), rest(digits))).otherwise(F.coalesce(
+        F.when(name != "", F.concat(_named(name), rest(name))),
+        F.when(legacy != "", F.concat(_named(legacy), rest(legacy))),
+        F.concat(F.lit("&"), part)))
 
 
 def decode_references(text: Column) -> Column:
-    """Every character reference decoded, in one pass."""
-    parts = F.split(text, "&", -1)
-    decoded = F.transform(F.slice(parts, 2, F.size(parts)), _decode_part)
-    return F.when(F.contains(text, F.lit("&")), F.concat(F.get(parts, F.lit(0)), F.array_join(decoded, ""))).otherwise(text)
+    """Every character reference decoded, in one pass.  ``text`` stands in the expression once, so
+    what it is made from is evaluated once."""
+    opened = F.transform(F.split(text, "&", -1), _opened)
+    return F.array_join(F.transform(opened, lambda x, i: F.when(i == 0, x["part"]).otherwise(_decoded(x))), "")
 
 
 def html_to_text(html: Column | str) -> Column:

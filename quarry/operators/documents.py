@@ -137,18 +137,34 @@ def unsupported_files(files: DataFrame) -> DataFrame:
 
 def link_presence(processed: DataFrame) -> DataFrame:
     """Number of extracted files with and without at least one link."""
-    ok = processed.filter(F.col("status") == "ok")
-    return ok.groupBy((F.size("links") > 0).alias("has_links")).agg(
-        F.count(F.lit(1)).alias("files"))
+    return link_presence_of(processed.select("status", F.size("links").alias("n_links")))
 
 
 def extraction_coverage(processed: DataFrame) -> DataFrame:
     """Per format, files seen, files with non-empty text, characters extracted."""
+    return extraction_coverage_of(processed.select("status", "ext", F.length("text").alias("n_chars")))
+
+
+def file_measures(processed: DataFrame) -> DataFrame:
+    """``(filename, ext, status, n_chars, n_links, non_ascii_ratio)``: what the quality tables need of
+    each file, without its text."""
+    return processed.select("filename", "ext", "status", F.length("text").alias("n_chars"),
+                            F.size("links").alias("n_links"), tx.non_ascii_ratio("text").alias("non_ascii_ratio"))
+
+
+def link_presence_of(measures: DataFrame) -> DataFrame:
+    """A14 from file measures."""
+    ok = measures.filter(F.col("status") == "ok")
+    return ok.groupBy((F.col("n_links") > 0).alias("has_links")).agg(F.count(F.lit(1)).alias("files"))
+
+
+def extraction_coverage_of(measures: DataFrame) -> DataFrame:
+    """A15 from file measures."""
     ok_text = F.col("status") == "ok"
-    return processed.filter(F.col("status") != "skipped").groupBy("ext").agg(
+    return measures.filter(F.col("status") != "skipped").groupBy("ext").agg(
         F.count(F.lit(1)).alias("files"),
-        F.count_if(ok_text & (F.length("text") > 0)).alias("files_with_text"),
-        F.coalesce(F.sum(F.when(ok_text, F.length("text"))), F.lit(0)).cast("long").alias("total_chars"))
+        F.count_if(ok_text & (F.col("n_chars") > 0)).alias("files_with_text"),
+        F.coalesce(F.sum(F.when(ok_text, F.col("n_chars"))), F.lit(0)).cast("long").alias("total_chars"))
 
 
 # --- A12 / A13: assembling parts --------------------------------------------------------------

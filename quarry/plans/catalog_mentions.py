@@ -12,7 +12,7 @@ from quarry.plans import adapters
 from quarry.plans.catalog import TOKENS_SQL, WSR_SQL, Query
 from quarry.session import scratch_path
 from quarry.sources import corpus as src
-from quarry.sources import landed
+from quarry.sources import landed, posts_store
 from quarry.sources import report
 
 # Parameters of the registered queries (user inputs).
@@ -66,6 +66,18 @@ def q_mention_tokens(spark, sf):
     return _year_search(spark, sf, True).select("university", "post_id", "date", "author_id", "likes")
 
 
+def q_stored_recent(spark, sf):
+    """P5 on posts stored by day."""
+    path = posts_store.write_posts(adapters.posts_from_events(spark, sf), scratch_path(spark, "posts"))
+    return posts_store.posts_recent(spark, path, AS_OF).select("university", "post_id", "date")
+
+
+def q_stored_in_year(spark, sf):
+    """P4 on posts stored by month."""
+    path = posts_store.write_posts(adapters.posts_from_orders(spark, sf), scratch_path(spark, "posts"), "month")
+    return posts_store.posts_in_year(spark, path, ORDERS_YEAR, grain="month").select("university", "post_id", "date")
+
+
 def _merged_state(spark, sf):
     """States of the odd and the even posts, merged: topics and authors are in both."""
     posts = adapters.posts_from_events(spark, sf)
@@ -181,6 +193,8 @@ MENTION_QUERIES: dict[str, Query] = {
     "publications": q_publications,
     "mention_tokens": q_mention_tokens,
     "mention_many_tokens": q_mention_many_tokens,
+    "stored_recent": q_stored_recent,
+    "stored_in_year": q_stored_in_year,
     "merged_topic_stats": q_merged_topic_stats,
     "merged_overall": q_merged_overall,
     "mention_many_parts": q_mention_many_parts,
@@ -362,6 +376,16 @@ FROM posts WHERE date >= {_ts(_Y_START)} AND date <= {_ts(_Y_END)} GROUP BY univ
 SELECT 'line' AS kind, '{"query":"' || event_type || '",' || event_id AS raw FROM events WHERE event_id % 97 = 0
 UNION ALL
 SELECT 'post', '{"id":' || event_id || ',"likes":"many"}' FROM events WHERE event_id % 97 <> 0 AND event_id % 13 = 0
+""",
+    "stored_recent": f"""
+WITH {_POSTS}
+SELECT university, post_id, date FROM posts
+WHERE date >= {_ts(_REC_START)} AND date <= {_ts(_REC_END)}
+""",
+    "stored_in_year": f"""
+WITH {_ORDER_POSTS}
+SELECT university, post_id, date FROM oposts
+WHERE date >= {_ts(_O_START)} AND date <= {_ts(_O_END)} AND year(date) = {ORDERS_YEAR}
 """,
     "merged_topic_stats": f"""
 WITH {_POSTS}

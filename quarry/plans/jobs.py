@@ -119,8 +119,24 @@ def mentions_year(spark: SparkSession, posts: DataFrame, topics: list[str], year
 
 # --- W8: text quality --------------------------------------------------------------------------
 def text_quality(processed: DataFrame, threshold: float = 0.5) -> dict[str, DataFrame]:
-    """Per-file non-ASCII ratio and flag, link presence and extraction coverage."""
-    ok = processed.filter(F.col("status") == "ok")
-    return {"ratio": docs.text_quality(ok, "text", threshold).select("filename", "non_ascii_ratio", "flagged"),
-            "links": docs.link_presence(processed),
-            "coverage": docs.extraction_coverage(processed)}
+    """Per-file non-ASCII ratio and flag, link presence and extraction coverage.  The files are
+    extracted once: a few measures of each are written, and the three tables read these."""
+    measures = written(processed.sparkSession, docs.file_measures(processed), "file-measures")
+    return quality_tables(measures, threshold)
+
+
+def quality_tables(measures: DataFrame, threshold: float = 0.5) -> dict[str, DataFrame]:
+    """The tables of W8 from file measures, also those of earlier runs."""
+    ok = measures.filter(F.col("status") == "ok")
+    return {"ratio": ok.select("filename", "non_ascii_ratio", (F.col("non_ascii_ratio") > threshold).alias("flagged")),
+            "links": docs.link_presence_of(measures),
+            "coverage": docs.extraction_coverage_of(measures)}
+
+
+def process_with_quality(spark: SparkSession, folder: str, path: str,
+                         threshold: float = 0.5) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """W4 and W8 from one extraction: the processed files are written to ``path``, and texts and
+    quality tables are read from there."""
+    process_documents(spark, folder).write.mode("overwrite").parquet(path)
+    processed = spark.read.parquet(path)
+    return processed, quality_tables(docs.file_measures(processed), threshold)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.session import fits_broadcast
+from quarry.session import fits_broadcast, written
 
 # Times every record of a replicated corpus is repeated, unless the caller says otherwise.
 REPLICATION_FACTOR = 6
@@ -38,8 +38,10 @@ def read_corpus(spark: SparkSession, path: str, fmt: str = "parquet",
 
     With ``id_col=None`` the ids are the 0-based positions of the records in corpus order:
     files by path, records by their place inside the file (S2).  Records are counted per file
-    (Parquet) or per file block (other formats) from metadata columns alone; the running
-    offsets are joined back, so no text is shuffled."""
+    (Parquet) from metadata columns alone; the running offsets are joined back, so no text is
+    shuffled.  Other formats have no row index: their records are tagged with file, block and place
+    and written once, and counts and ids come from that table, so the tags agree however the
+    input is split later."""
     df = spark.read.format(fmt).load(path)
     text = F.coalesce(F.col(text_col), F.lit("")).alias("text")
     if id_col is not None:
@@ -49,6 +51,8 @@ def read_corpus(spark: SparkSession, path: str, fmt: str = "parquet",
     # other formats have no row index: the scan's running id counts the records of a block
     place = F.col("_metadata.row_index") if whole_file else F.monotonically_increasing_id()
     rows = df.select(F.col("_metadata.file_path").alias("_file"), part.alias("_part"), place.alias("_row"), text)
+    if not whole_file:
+        rows = written(spark, rows, "corpus-rows")
     # one row per file or block: their order and running offsets are made on the driver
     counts = rows.groupBy("_file", "_part").agg(F.count(F.lit(1)).alias("n"), F.min("_row").alias("first")).collect()
     offsets, running = [], 0

@@ -174,6 +174,23 @@ def test_text_corpus_without_ids_gets_positions(spark, tmp_path):
     assert got == {k * 400 + i: f"f{k} line {i}" for k in range(3) for i in range(400)}
 
 
+def test_positions_hold_when_the_input_is_split_anew(spark, tmp_path):
+    d = tmp_path / "lines"
+    d.mkdir()
+    for k in range(3):
+        (d / f"p{k}.txt").write_text("".join(f"f{k} line {i}\n" for i in range(400)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    try:
+        df = src.read_corpus(spark, str(d), fmt="text", id_col=None, text_col="value")
+        for size in ("300", "5000", "100000"):      # executors come and go: other splits
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            got = {r["doc_id"]: r["text"] for r in df.repartition(3).collect()}
+            assert got == {k * 400 + i: f"f{k} line {i}" for k in range(3) for i in range(400)}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
 def test_small_inputs_are_spread_and_large_ones_left(spark, monkeypatch):
     df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
     assert "REPARTITION_BY_NUM" in src.spread(df, "doc_id")._jdf.queryExecution().executedPlan().toString()

@@ -71,3 +71,23 @@ def test_text_quality_and_extract_text(spark):
         f.write("plain")
     bad = jobs.extract_text(spark, os.path.join(d, "notes.txt")).first()
     assert bad["status"] == "error" and bad["error"] == "unsupported format: .txt"
+
+
+def test_quality_tables_come_from_one_extraction(spark, tmp_path):
+    d = tmp_path / "docs"
+    d.mkdir()
+    (d / "a.html").write_text("<p>see www.example.org</p>")
+    (d / "b.html").write_text("<p>\u0442\u0435\u043a\u0441\u0442</p>", encoding="utf-8")
+    (d / "c.html").write_bytes(b"<p>\xff</p>")
+    (d / "d.docx").write_bytes(docx("<w:p><w:r><w:t>one two</w:t></w:r></w:p>"))
+    processed, tables = jobs.process_with_quality(spark, str(d), str(tmp_path / "out"))
+    assert {r["filename"]: r["flagged"] for r in tables["ratio"].collect()} == {
+        "a.html": False, "b.html": True, "d.docx": False}
+    assert {r["has_links"]: r["files"] for r in tables["links"].collect()} == {True: 1, False: 2}
+    assert {r["ext"]: (r["files"], r["files_with_text"], r["total_chars"]) for r in tables["coverage"].collect()} == {
+        ".html": (3, 2, 24), ".docx": (1, 1, 7)}
+    assert processed.count() == 4
+    # neither these tables nor those of the plain job read the files again
+    for t in (*tables.values(), *jobs.text_quality(jobs.process_documents(spark, str(d))).values()):
+        plan = t._jdf.queryExecution().executedPlan().toString()
+        assert "binaryFile" not in plan and "Python" not in plan and "FileScan parquet" in plan
