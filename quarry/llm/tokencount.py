@@ -7,7 +7,8 @@ one trie step per character, plus links that only ever shorten the pending strin
 is linear in the word's length.
 
 The vocabulary is that of a public SentencePiece model: pieces that begin with its word mark
-(U+2581) start a word, the others continue one.  Words are the runs of characters other than
+(U+2581) start a word, the others continue one; the mark alone is a piece too, and may be all that
+fits at a word's start.  Words are the runs of characters other than
 ASCII white space; a word that the pieces cannot cover is one unknown token.
 
 Defined cases: null text counts as empty; a text without words has no tokens; repeated rows and
@@ -43,7 +44,7 @@ def vocabulary(name: str = "piece_bpe_32k.model") -> list[str]:
 class Automaton:
     """Trie of the pieces with failure links and counts of popped pieces.
 
-    Node 0 starts a word, node 1 continues one.  ``link[u]`` is the node that holds what is left of
+    Node 0 starts a word (it holds the mark), node 1 continues one.  ``link[u]`` is the node that holds what is left of
     u's string after the longest-match pieces that are certain (-1: none fits), and
     ``popped[u]`` their number."""
 
@@ -66,6 +67,8 @@ class Automaton:
                 final[u] = True
         n = len(self.next)
         self.link, self.popped = [-1] * n, [0] * n
+        if MARK in pieces:                         # node 0 holds the mark, which is a piece itself
+            self.link[0], self.popped[0] = 1, 1
         order, at = [0, 1], 0
         while at < len(order):                     # breadth first: links lead to shorter strings
             order.extend(self.next[order[at]].values())
