@@ -4,7 +4,9 @@ Every slice of ``documents`` that a task holds is one shard.  Its words become b
 numbers (0: not a benchmark word), the suffixes that are long enough inside a run of benchmark
 words to hold a window are sorted into a suffix array, and every benchmark suffix is
 binary-searched in it.  The found intervals give the places of all verbatim matches; matches at
-consecutive places are chained to the longest ones.
+consecutive places are chained to the longest ones.  The places of repeated words and of passages
+that many items share are paired a bounded number at a time; where one text and one item
+alone have more pairs, a running comparison finds their longest match in the memory of the item.
 
 Words: A-Z lower-cased, then maximal runs of ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]``.  A window is
 ``width`` consecutive item words; an item of fewer words, but not none, is one window.
@@ -31,7 +33,11 @@ from pyspark.sql import functions as F
 from quarry.llm.common import schema_of, slices, utf8, written
 
 WIDTH = 10
-SHARD_BYTES = 32 << 20
+#: Benchmark text of a shard: its windows take some 40 times as much on the driver, and half of that in
+#: a task.
+SHARD_BYTES = 8 << 20
+#: Pairs of a text place and an item place that are listed at once.
+PAIRS = 250_000
 
 _TABLE = bytes((c + 32 if 65 <= c <= 90 else c) if 48 <= c <= 57 or 65 <= c <= 90 or 97 <= c <= 122 or c >= 128
                else 32 for c in range(256))
@@ -42,31 +48,35 @@ def words(text: bytes) -> list[bytes]:
 
 
 class Benchmark:
-    """Word numbers and distinct windows of some items."""
+    """Word numbers and distinct windows of some items, in arrays."""
 
     def __init__(self, items: list[tuple], width: int) -> None:
         self.width = width
         self.number: dict[bytes, int] = {}
         self.items = [None if item is None else str(item) for item, _ in items]
-        places: dict[tuple, list] = {}           # window -> (row of the item, place in it)
-        for k, (_, text) in enumerate(items):
-            ws = [self.number.setdefault(w, len(self.number) + 1) for w in words((text or "").encode())]
-            n = min(width, len(ws))
-            for i in range(len(ws) - n + 1 if n else 0):
-                places.setdefault(tuple(ws[i:i + n]), []).append((k, i))
-        self.windows = sorted(places)
-        self.length = np.array([len(w) for w in self.windows], np.int64)
-        self.n_places = np.array([len(places[w]) for w in self.windows], np.int64)
-        flat = np.array([x for w in self.windows for x in places[w]], np.int64).reshape(-1, 2)
-        self.item, self.place = flat[:, 0], flat[:, 1]
-        self.low, self.high = self._keys(0), self._keys(0xFFFFFFFF)
-        self.short = sorted({(w[0], len(w)) for w in self.windows if len(w) < width})
-
-    def _keys(self, fill: int) -> np.ndarray:
-        m = np.full((len(self.windows), self.width), fill, ">u4")
-        for i, w in enumerate(self.windows):
-            m[i, : len(w)] = w
-        return _as_keys(m)
+        parts = []
+        for _, text in items:
+            ws = words((text or "").encode())
+            parts.append(np.fromiter((self.number.setdefault(w, len(self.number) + 1) for w in ws), np.uint32, len(ws)))
+        size = np.array([len(x) for x in parts], np.int64)
+        flat = np.concatenate([*parts, np.zeros(width, np.uint32)])
+        length = np.minimum(size, width)                     # words of an item's windows
+        self.item_windows = np.where(size > 0, size - length + 1, 0)
+        item = np.repeat(np.arange(len(items)), self.item_windows)
+        place = np.arange(len(item)) - np.repeat(np.cumsum(self.item_windows) - self.item_windows, self.item_windows)
+        rows = flat[((np.cumsum(size) - size)[item] + place)[:, None] + np.arange(width)].astype(">u4")
+        rows[np.arange(width) >= length[item][:, None]] = 0
+        self.low, first, which = np.unique(_as_keys(rows), return_index=True, return_inverse=True)
+        self.length = length[item][first]                    # of each window; its places by item, place
+        self.n_places = np.bincount(which, minlength=len(first))
+        self.first_place = np.cumsum(self.n_places) - self.n_places
+        order = np.argsort(which, kind="stable")
+        self.item, self.place = item[order], place[order]
+        high = rows[first]
+        high[np.arange(width) >= self.length[:, None]] = 0xFFFFFFFF
+        self.high = _as_keys(high)
+        begins = self.length < width
+        self.short = sorted({(int(w), int(n)) for w, n in zip(rows[first][begins, 0], self.length[begins])})
 
 
 def _as_keys(rows: np.ndarray) -> np.ndarray:
@@ -102,27 +112,107 @@ class SuffixArray:
         return window, self.places[at]
 
 
-def longest_matches(window: np.ndarray, place: np.ndarray, doc: np.ndarray, bench: Benchmark) -> list[np.ndarray]:
-    """Per text and item with a match, the longest verbatim one (the first of equals): text, item
-    row, place in the joined words, place in the item, words.  Occurrences at consecutive places
-    of both the text and the item are one match."""
-    n = bench.n_places[window]
-    at = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat((np.cumsum(bench.n_places) - bench.n_places)[window], n)
-    item, inside = bench.item[at], bench.place[at]
-    p, d, size = np.repeat(place, n), np.repeat(doc, n), np.repeat(bench.length[window], n)
+def _ranges(first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """first[0], first[0]+1, .. (n[0] numbers), first[1], .."""
+    return np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first, n)
+
+
+def _chained(item: np.ndarray, inside: np.ndarray, p: np.ndarray, d: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Occurrences at consecutive places of both the text and the item are one match; of those of
+    a text and an item the longest, the first of equals, stays."""
     order = np.lexsort((p, p - inside, item))
     item, inside, p, d, size = (x[order] for x in (item, inside, p, d, size))
     first = np.flatnonzero(np.r_[True, (item[1:] != item[:-1]) | (inside[1:] != inside[:-1] + 1) | (p[1:] != p[:-1] + 1)])
     words_ = np.diff(np.r_[first, len(p)]) - 1 + size[first]
     found = np.stack([d[first], item[first], p[first], inside[first], words_])
     found = found[:, np.lexsort((found[3], found[2], -found[4], found[1], found[0]))]
-    best = np.r_[True, (found[0, 1:] != found[0, :-1]) | (found[1, 1:] != found[1, :-1])]
-    return list(found[:, best])
+    return found[:, np.r_[True, (found[0, 1:] != found[0, :-1]) | (found[1, 1:] != found[1, :-1])]]
+
+
+def _streamed(places: list[np.ndarray], own: np.ndarray, p: np.ndarray, windows: int) -> tuple[int, int, int]:
+    """Longest match of one text and one item whose windows repeat so often that their pairs are not
+    listed: place in the text, in the item, windows.  ``own`` numbers the window at each text place
+    ``p`` (ascending), ``places`` are that window's places in the item.  Memory follows the item."""
+    run = np.zeros(windows + 1, np.int64)        # by item place: windows matched up to the place before
+    touched, last, best = np.zeros(0, np.int64), -2, (0, 0, 0)
+    for w, at in zip(own.tolist(), p.tolist()):
+        here = places[w]
+        now = run[here] + 1 if at == last + 1 else np.ones(len(here), np.int64)
+        run[touched] = 0
+        touched, last = here + 1, at
+        run[touched] = now
+        k = int(now.argmax())
+        if now[k] > best[2]:
+            best = (at - int(now[k]) + 1, int(here[k] - now[k]) + 1, int(now[k]))
+            if best[2] == windows:                # the whole item
+                break
+    return best
+
+
+def _of_repeats(window: np.ndarray, place: np.ndarray, doc: int, bench: Benchmark, limit: int) -> list[np.ndarray]:
+    """:func:`longest_matches` of one text with more than ``limit`` pairs: item by item."""
+    order = np.argsort(window, kind="stable")
+    kinds, begin, count = np.unique(window[order], return_index=True, return_counts=True)
+    n = bench.n_places[kinds]
+    row, kind = _ranges(bench.first_place[kinds], n), np.repeat(np.arange(len(kinds)), n)
+    by_item = np.argsort(bench.item[row], kind="stable")
+    row, kind = row[by_item], kind[by_item]
+    item = bench.item[row]
+    cuts = np.flatnonzero(np.r_[True, item[1:] != item[:-1]])
+    pairs = np.add.reduceat(count[kind], cuts)
+    ends = np.r_[cuts[1:], len(row)]
+    out, at = [], 0
+    while at < len(cuts):
+        stop = max(at + 1, int(np.searchsorted(np.cumsum(pairs[at:]), limit, "right")) + at)
+        lo, hi = cuts[at], ends[stop - 1]
+        if pairs[at] > limit:
+            of = np.full(len(kinds), -1)
+            own = np.unique(kind[lo:hi])
+            of[own] = np.arange(len(own))
+            lists = [np.sort(bench.place[row[lo:hi][kind[lo:hi] == k]]) for k in own]
+            number = of[np.searchsorted(kinds, window)]
+            some = np.flatnonzero(number >= 0)
+            some = some[np.argsort(place[some], kind="stable")]
+            p, inside, n_windows = _streamed(lists, number[some], place[some], int(bench.item_windows[item[lo]]))
+            size = int(bench.length[kinds[own[0]]])
+            out.append(np.array([[doc], [item[lo]], [p], [inside], [n_windows - 1 + size]], np.int64))
+        else:
+            times = count[kind[lo:hi]]
+            p = place[order][_ranges(begin[kind[lo:hi]], times)]
+            wide = np.repeat(np.arange(lo, hi), times)
+            out.append(_chained(item[wide], bench.place[row[wide]], p, np.full(len(p), doc), bench.length[kinds[kind[wide]]]))
+        at = stop
+    return out
+
+
+def longest_matches(window: np.ndarray, place: np.ndarray, doc: np.ndarray, bench: Benchmark,
+                    limit: int = PAIRS) -> np.ndarray:
+    """Per text and item with a match, the longest verbatim one (the first of equals), as rows: text,
+    item row, place in the joined words, place in the item, words.  Pairs of a text place and an item
+    place are listed for some texts at a time, at most ``limit``; a text with more is taken item
+    by item, and an item with more by a running comparison."""
+    by_doc = np.argsort(doc, kind="stable")
+    window, place, doc = window[by_doc], place[by_doc], doc[by_doc]
+    n = bench.n_places[window]
+    cuts = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]])
+    pairs, ends = np.add.reduceat(n, cuts), np.r_[cuts[1:], len(doc)]
+    out, at = [np.zeros((5, 0), np.int64)], 0
+    while at < len(cuts):
+        stop = max(at + 1, int(np.searchsorted(np.cumsum(pairs[at:]), limit, "right")) + at)
+        part = slice(cuts[at], ends[stop - 1])
+        if pairs[at] > limit:
+            out += _of_repeats(window[part], place[part], int(doc[cuts[at]]), bench, limit)
+        else:
+            row = _ranges(bench.first_place[window[part]], n[part])
+            wide = [np.repeat(x[part], n[part]) for x in (place, doc, bench.length[window])]
+            out.append(_chained(bench.item[row], bench.place[row], *wide))
+        at = stop
+    return np.concatenate(out, axis=1)
 
 
-def _matches(texts: list[bytes], bench: Benchmark) -> tuple[np.ndarray, list[list], list[list]]:
-    """Per text: number of words, hit spans (start, end) in words, longest match per item
-    (item id, start in the text, start in the item, words)."""
+def _matches(texts: list[bytes], bench: Benchmark) -> Iterator[tuple[int, np.ndarray, list[list], list[list]]]:
+    """Some texts at a time: the first of them, and per text the number of words, hit spans (start,
+    end) in words, longest match per item (item id, start in the text, start in the item, words)."""
     number, parts, sizes = bench.number.get, [], []
     for t in texts:
         ws = words(t)
@@ -130,24 +220,32 @@ def _matches(texts: list[bytes], bench: Benchmark) -> tuple[np.ndarray, list[lis
         parts.append(np.fromiter((number(w, 0) for w in ws), np.uint32, len(ws)))
         parts.append(np.zeros(1, np.uint32))
     n_words = np.array(sizes, np.int64)
-    spans: list[list] = [[] for _ in texts]
-    matches: list[list] = [[] for _ in texts]
-    if not bench.windows or not texts:
-        return n_words, spans, matches
-    begin = np.r_[0, np.cumsum(n_words + 1)[:-1]]
-    window, place = SuffixArray(np.concatenate(parts), bench).search(bench)
-    if len(place):
-        doc = np.searchsorted(begin, place, "right") - 1
-        order = np.argsort(place, kind="stable")
-        p, e, d = place[order], (place + bench.length[window])[order], doc[order]
-        reach = np.maximum.accumulate(e)          # documents are disjoint and in order
-        first = np.flatnonzero(np.r_[True, p[1:] > reach[:-1]])
-        for a, b, k in zip(p[first], reach[np.r_[first[1:] - 1, len(p) - 1]], d[first]):
-            spans[k].append((int(a - begin[k]), int(b - begin[k])))
-        for k, i, p, inside, n in zip(*longest_matches(window, place, doc, bench)):
-            if bench.items[i] is not None:
-                matches[k].append((bench.items[i], int(p - begin[k]), int(inside), int(n)))
-    return n_words, spans, matches
+    begin = np.r_[0, np.cumsum(n_words + 1)]
+    if len(bench.low) and texts:
+        window, place = SuffixArray(np.concatenate(parts), bench).search(bench)
+    else:
+        window = place = np.zeros(0, np.int64)
+    order = np.argsort(place, kind="stable")
+    window, place = window[order], place[order]
+    doc = np.searchsorted(begin, place, "right") - 1
+    pairs = np.bincount(doc, weights=bench.n_places[window], minlength=len(texts)) if len(doc) else np.zeros(len(texts))
+    at = 0
+    while at < len(texts):       # what is listed for the output at once is bounded like the pairs
+        stop = max(at + 1, int(np.searchsorted(np.cumsum(pairs[at:]), PAIRS, "right")) + at)
+        some = slice(*np.searchsorted(place, (begin[at], begin[stop])))
+        spans: list[list] = [[] for _ in range(at, stop)]
+        matches: list[list] = [[] for _ in range(at, stop)]
+        p, d = place[some], doc[some]
+        if len(p):
+            reach = np.maximum.accumulate(p + bench.length[window[some]])          # texts are disjoint and in order
+            first = np.flatnonzero(np.r_[True, p[1:] > reach[:-1]])
+            for a, b, k in zip(p[first], reach[np.r_[first[1:] - 1, len(p) - 1]], d[first]):
+                spans[k - at].append((int(a - begin[k]), int(b - begin[k])))
+            for k, i, q, inside, n in longest_matches(window[some], p, d, bench).T.tolist():
+                if bench.items[i] is not None:
+                    matches[k - at].append((bench.items[i], int(q - begin[k]), inside, n))
+        yield at, n_words[at:stop], spans, matches
+        at = stop
 
 
 def _best_per_item(found: list[tuple]) -> list[tuple]:
@@ -198,20 +296,21 @@ def matched(docs: DataFrame, benchmark: DataFrame, keep: list[str], width: int =
         bench = spark.sparkContext.broadcast(Benchmark(items, width))
 
         def run(batches: Iterator[pa.RecordBatch], bench=bench, later=bool(k)) -> Iterator[pa.RecordBatch]:
-            for batch in (s for b in batches for s in slices(b)):
-                n_words, spans, matches = _matches(utf8(batch.column("text")), bench.value)
-                if later:
-                    spans = [_merge(a + [tuple(x.values()) for x in b])
-                             for a, b in zip(spans, batch.column("__spans").to_pylist())]
-                    matches = [a + [tuple(x.values()) for x in b]
-                               for a, b in zip(matches, batch.column("__matches").to_pylist())]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(c) for c in carried]
-                    + [pa.array(n_words),
-                       pa.array([[{"start": a, "end": b} for a, b in x] for x in spans], pa.list_(_SPAN)),
-                       pa.array([[dict(zip(("item", "start", "item_start", "words"), m)) for m in _best_per_item(x)]
-                                 for x in matches], pa.list_(_MATCH))],
-                    [*carried, "__words", "__spans", "__matches"])
+            for whole in (s for b in batches for s in slices(b)):
+                for at, n_words, spans, matches in _matches(utf8(whole.column("text")), bench.value):
+                    batch = whole.slice(at, len(n_words))
+                    if later:
+                        spans = [_merge(a + [tuple(x.values()) for x in b])
+                                 for a, b in zip(spans, batch.column("__spans").to_pylist())]
+                        matches = [a + [tuple(x.values()) for x in b]
+                                   for a, b in zip(matches, batch.column("__matches").to_pylist())]
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(c) for c in carried]
+                        + [pa.array(n_words),
+                           pa.array([[{"start": a, "end": b} for a, b in x] for x in spans], pa.list_(_SPAN)),
+                           pa.array([[dict(zip(("item", "start", "item_start", "words"), m)) for m in _best_per_item(x)]
+                                     for x in matches], pa.list_(_MATCH))],
+                        [*carried, "__words", "__spans", "__matches"])
 
         now = now.mapInArrow(run, schema_of(now, carried, found))
     return now.drop("text") if "text" not in keep else now

@@ -103,3 +103,48 @@ def test_remove_keeps_columns_and_clean_rows(spark):
 
 def test_digest():
     assert decontaminate.items_digest(["10", "2"]) == hashlib.sha256(b"10,2").hexdigest()
+
+
+def test_pairs_in_any_number_at_a_time(spark, monkeypatch):
+    """Listed at once, text by text, item by item, or by a running comparison: the same matches."""
+    import numpy as np
+
+    for seed in range(6):
+        r = random.Random(seed)
+        voc = ["a", "b"] if seed % 2 else ["a", "b", "c", "d"]
+        items = [(k, " ".join(r.choice(voc) for _ in range(r.choice([2, 4, 7, 15])))) for k in range(8)]
+        texts = [" ".join(r.choice(voc) for _ in range(r.randint(0, 40))).encode() for _ in range(9)]
+        bench = decontaminate.Benchmark(items, 3)
+        got = {}
+        for limit in (1, 5, 40, 10 ** 9):
+            monkeypatch.setattr(decontaminate, "PAIRS", limit)
+            monkeypatch.setattr(decontaminate.longest_matches, "__defaults__", (limit,))
+            got[limit] = [(list(n), s, [sorted(m) for m in x]) for _, n, s, x in decontaminate._matches(texts, bench)]
+            got[limit] = [row for n, s, x in got[limit] for row in zip(n, s, x)]
+        assert got[1] == got[5] == got[40] == got[10 ** 9]
+        for text, (_, _, matches) in zip(texts, got[1]):
+            for item, start, inside, size in matches:
+                own = items[int(item)][1].split()
+                assert text.decode().split()[start:start + size] == own[inside:inside + size]
+                assert size == longest_common(text.decode().split(), own)
+
+
+def test_repeated_words_and_shared_passages_in_bounded_memory(spark):
+    import resource
+
+    shared = " ".join(f"s{i}" for i in range(12))
+    items = [(0, "same " * 5000)] + [(k, f"own{k} {shared} tail{k}") for k in range(1, 401)]
+    bench = decontaminate.Benchmark(items, 10)
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    texts = [b"same " * 200_000] + [shared.encode()] * 10_000
+    rows, n = 0, 0
+    for at, n_words, spans, matches in decontaminate._matches(texts, bench):
+        assert at == rows
+        rows += len(n_words)
+        n += sum(map(len, matches))
+        if at == 0:
+            assert matches[0] == [("0", 0, 0, 5000)] and spans[0] == [(0, 200_000)]
+        else:
+            assert {m[3] for m in matches[0]} == {12}
+    assert rows == 10_001 and n == 1 + 400 * 10_000
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 400_000      # KB
