@@ -62,7 +62,8 @@ def marked(rows: DataFrame, table: DataFrame, keys: list[str], bits: int, name:
             .drop("_c", "_bucket", "_bitmap"))
 
 
-def _table_bits(rows: int) -> int:
+def table_bits(rows: int) -> int:
+    """Bits of a table for so many rows."""
     bits = _BITMAP
     while bits < BITS_PER_ROW * rows and bits < MAX_BITS:
         bits *= 2
@@ -80,7 +81,7 @@ def duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     keys = [F.octet_length("_text").alias("_len"), F.xxhash64(F.substring("_text", 1, PREFIX)).alias("_prefix")]
 
     cells = written(spark, texts.select(*keys), "dedup-prefixes")
-    bits = _table_bits(cells.count())
+    bits = table_bits(cells.count())
     lengths = shared(cells, ["_len"], bits)
     left = marked(cells, lengths, ["_len"], bits, "_left").where("_left")
     prefixes = written(spark, shared(left, ["_len", "_prefix"], bits), "dedup-bits")

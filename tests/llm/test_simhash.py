@@ -121,3 +121,77 @@ def test_one_row_stays_per_component(spark):
     docs = spark.createDataFrame([(i, t, "r") for i, t in rows], "doc_id long, text string, root string")
     kept = sorted(((str(k["doc_id"]), k["text"]) for k in simhash.keep_one(docs).collect()))
     assert kept == sorted([("5", x), ("5", y), ("None", z), ("None", u)])
+
+
+def routed(values, block_rows):
+    """Routed rows of distinct fingerprints, and the most rows at home in one block."""
+    values = np.array(values, np.uint64)
+    counts = [np.unique(simhash._section(values, s, 16), return_counts=True) for s in range(4)]
+    routes = simhash.Routes(counts, 4, block_rows)
+    keys, n = np.unique(routes.parts(values), return_counts=True)
+    routes.cut({int(k): int(c) for k, c in zip(keys, n) if c > block_rows})
+    sent, homes = 0, {}
+    for key, block, query, row in routes.send(values):
+        sent += len(row)
+        if not query:
+            for place in zip(key.tolist(), block.tolist()):
+                homes[place] = homes.get(place, 0) + 1
+    return sent / len(values), max(homes.values()), routes
+
+
+def test_copies_of_a_fingerprint_stay_bounded():
+    """A block of 16 rows stands for the real one of 65,536: the largest input is 2**28 in proportion."""
+    rng = np.random.default_rng(3)
+    copies = []
+    for power in (10, 12, 14, 16):
+        each, largest, _ = routed(rng.integers(0, 2 ** 63, 1 << power, np.uint64) * np.uint64(2), 16)
+        assert largest <= 16
+        copies.append(each)
+    # a ball of one bit has 17 values: half of them are asked for, in four ranges
+    assert max(copies) <= 4 * (1 + 17 / 2), copies
+
+
+def test_crowded_range_is_divided_by_the_others():
+    """Fingerprints that share a range are no single shard, and are not sent to all of its blocks."""
+    rng = np.random.default_rng(4)
+    low = rng.integers(0, 2 ** 48, 1 << 12, np.uint64) << np.uint64(16)      # range 0 is zero everywhere
+    each, largest, routes = routed(np.unique(low), 64)
+    assert routes.divided and largest <= 2 * 64
+    assert each < 150, each
+
+
+def test_links_of_crowded_ranges_equal_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "BLOCK_ROWS", 16)
+    r = random.Random(6)
+    values = set()
+    for _ in range(250):
+        v = r.getrandbits(48) << 16
+        values.add(v)
+        for _ in range(r.choice([0, 1, 3])):
+            w = v
+            for _ in range(r.randint(1, 6)):
+                w ^= 1 << r.randrange(64)
+            values.add(w)
+    values = sorted(values)
+    nodes = spark.createDataFrame([(int(np.uint64(v).view(np.int64)),) for v in values], "fp long")
+    got = simhash.components(spark, simhash.link_fingerprints(spark, nodes)).collect()
+    want = plain_components(values)
+    groups = {}
+    for x in got:
+        groups.setdefault(x["root"], set()).add(x["node"] % 2 ** 64)
+    linked = {}
+    for v, top in want.items():
+        linked.setdefault(top, set()).add(v)
+    assert sorted(map(sorted, groups.values())) == sorted(sorted(g) for g in linked.values() if len(g) > 1)
+
+
+def test_ties_are_told_apart_by_any_column(spark):
+    """Rows alike in id and text, but not in another column: always the same one stays; equal rows leave one."""
+    rows = [(1, "same text here for all", k) for k in (3, 1, 2)] + [(4, "other words stand here", 9)] * 3
+    for order in (rows, rows[::-1]):
+        kept = simhash.keep_one(spark.createDataFrame(order, "doc_id long, text string, row int").repartition(3))
+        got = sorted(map(tuple, kept.collect()))
+        assert len(got) == 2 and got[1] == (4, "other words stand here", 9)
+        first = got[0] if order is rows else first
+        assert got[0] == first
+    assert simhash.keep_one(spark.createDataFrame([], "doc_id long, text string")).count() == 0
