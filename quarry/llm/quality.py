@@ -7,8 +7,8 @@ and the better compression rate are calibrated to a probability of label 1 by a
 labelled documents that the dictionaries have not seen.
 
 Dictionaries and calibration are fitted on a sample of labelled documents (``SAMPLE`` per label at
-most, about, by a hash of the id), of which at most ``DICTIONARY_SOURCE`` bytes per label go into a
-dictionary.  Scoring covers whole texts.
+most, about, by a hash of the id), of which about ``DICTIONARY_SOURCE`` bytes per label, blocks chosen by
+a hash, go into a dictionary.  Scoring covers whole texts.
 
 Defined cases: null text counts as empty and scores by the calibration at 0 bytes; null labels are
 passed over, labels that repeat an id are averaged; without labels of both kinds every score is
@@ -102,6 +102,30 @@ def calibrate(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1
     return center, w[:-1] / scale, float(w[-1])
 
 
+def dictionary_blocks(rows: DataFrame) -> list[bytes]:
+    """Blocks of ``BLOCK`` bytes of the texts of ``rows``, about ``DICTIONARY_SOURCE`` bytes of them
+    (all, if fewer), chosen by a hash of id and place: the same ones for any partitioning, from
+    any part of a text."""
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    share = max(1, min(1 << 20, int(DICTIONARY_SOURCE / max(size, 1) * (1 << 20))))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (s for b in batches for s in slices(b)):
+            for i, t in enumerate(utf8(batch.column("text"))):
+                parts = [t[a:a + BLOCK] for a in range(0, len(t), BLOCK)]
+                for a in range(0, len(parts), 512):
+                    some = parts[a:a + 512]
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column("doc_id").take(pa.array(np.full(len(some), i))),
+                         pa.array(np.arange(a, a + len(some))), pa.array(some, pa.binary())], ["doc_id", "place", "part"])
+
+    parts = rows.mapInArrow(cut, schema_of(rows, ["doc_id"], "place long, part binary"))
+    order = F.xxhash64(F.lit("dictionary"), "doc_id", "place")
+    chosen = parts.select("*", order.alias("at")).where(F.pmod("at", F.lit(1 << 20)) < share).collect()
+    # texts in the order of a hash: a trained dictionary takes its parts evenly from the whole list
+    return [bytes(r["part"]) for r in sorted(chosen, key=lambda r: (r["at"], r["doc_id"], r["place"]))]
+
+
 def train(sample: DataFrame) -> Model:
     """Fit on ``sample`` (``doc_id``, ``text``, ``label``; bounded, from
     :func:`quarry.llm.toxicity.labelled_texts`).  A half by hash makes the dictionaries."""
@@ -110,19 +134,7 @@ def train(sample: DataFrame) -> Model:
         bias = 0.0 if not count else 40.0 if 1 in count else -40.0
         return Model(b"\n" * 8, b"\n" * 8, np.zeros(3), np.zeros(3), bias)
     part = F.pmod(F.xxhash64(F.lit("half"), "doc_id"), F.lit(2))
-    texts: dict[int, list[bytes]] = {0: [], 1: []}
-    for label in (0, 1):
-        held = 0
-        rows = sample.where((part == 0) & (F.col("label") == label))
-        size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-        share = max(1, min(1 << 20, int(DICTIONARY_SOURCE / max(size, 1) * (1 << 20))))
-        rows = rows.where(F.pmod(F.xxhash64(F.lit("dictionary"), "doc_id"), F.lit(1 << 20)) < share)
-        for r in rows.select("doc_id", F.col("text").cast("binary").alias("t")).toLocalIterator():
-            texts[label].append(bytes(r["t"]))
-            held += len(r["t"])
-            if held >= 2 * DICTIONARY_SOURCE:     # a few very long texts
-                break
-        texts[label].sort()
+    texts = {label: dictionary_blocks(sample.where((part == 0) & (F.col("label") == label))) for label in (0, 1)}
     spark = sample.sparkSession
     model = Model(build_dictionary(texts[1]), build_dictionary(texts[0]), np.zeros(3), np.zeros(3), 0.0)
     shared, key = spark.sparkContext.broadcast(model), f"sizes-{uuid.uuid4().hex}"

@@ -8,9 +8,11 @@ value is taken for every window of ``WINDOW`` words of a text (each begins half
 one before), and the score is the highest, so that it does not add up with the length.
 
 The model is fitted on a sample of labelled texts (``SAMPLE`` documents per label at most, about,
-by a hash of the id), collected as lists of kept terms of at most ``FIT_WINDOWS`` windows each: all
-of them are examples of label 0 where the text is, and the highest one of label 1 (by a first fit on
-all).  Scoring covers whole texts.
+by a hash of the id) in two steps.  A first fit takes ``FIT_WINDOWS`` evenly spaced windows of each
+text.  With it every window of every sampled text is scored where the texts are, and the final fit
+takes the highest window of a text of label 1, wherever it lies, and the ``FIT_WINDOWS`` highest of
+one of label 0.  So the driver holds at most ``2 * SAMPLE * FIT_WINDOWS`` lists of kept terms, whatever
+the lengths.  Scoring covers whole texts.
 
 Defined cases: null text counts as empty and scores by the bias alone; null labels are passed
 over, labels that repeat an id are averaged (1 from a half on); without labels of both kinds
@@ -38,9 +40,9 @@ TERMS = 8192
 LEAST_RATIO = 12.0
 FACTORS = 8
 PREFIXES = (4, 5, 6)
-#: Words that are scored together, and windows of a labelled text that the fit takes at most (evenly spaced).
+#: Words that are scored together, and windows of a labelled text that the driver holds for a fit.
 WINDOW = 384
-FIT_WINDOWS = 32
+FIT_WINDOWS = 4
 
 
 def sampled_labels(labels: DataFrame, label: str, usable: Column, per_class: int) -> DataFrame:
@@ -221,45 +223,54 @@ def train(sample: DataFrame) -> Model:
     index = choose_terms(neg + pos, pos, n, n_pos)
     shared = spark.sparkContext.broadcast(Model(index, 0.0, np.zeros(0), nothing))
 
+    n_terms = int(index.max()) + 1
+    examples, y, more = _examples(sample, Model(index, 0.0, np.zeros(n_terms), np.zeros((n_terms, FACTORS))), False)
+    if not more:                       # every text is one window
+        return Model(index, *fit(examples, y, n_terms))
+    examples, y, _ = _examples(sample, Model(index, *fit(examples, y, n_terms, epochs=10)), True)
+    return Model(index, *fit(examples, y, n_terms))
+
+
+def fit_windows(text: np.ndarray, label: np.ndarray, value: np.ndarray | None) -> np.ndarray:
+    """Places of the windows that the fit takes, of windows of the texts ``text`` (sorted) with labels
+    ``label`` by text.  Without values: evenly spaced ones; else the highest one of a text of label
+    1, the highest of others (the first of equal ones)."""
+    each = np.bincount(text, minlength=len(label))
+    place = np.arange(len(text)) - np.repeat(np.cumsum(each) - each, each)
+    if value is None:
+        taken = np.minimum(each, FIT_WINDOWS)[text]
+        return np.flatnonzero(place * taken // each[text] != (place - 1) * taken // each[text])
+    order = np.lexsort((place, -value, text))           # by text, highest first: ``place`` is the rank there
+    return np.sort(order[place < np.where(label == 1, 1, FIT_WINDOWS)[text]])
+
+
+def _examples(sample: DataFrame, model: Model, by_value: bool) -> tuple[list[np.ndarray], np.ndarray, bool]:
+    """Kept terms and label of the windows that :func:`fit_windows` takes of each text, and whether
+    any text has more than one window."""
+    shared = sample.sparkSession.sparkContext.broadcast(model)
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (s for b in batches for s in slices(b)):
             at, term, text = window_terms(batch.column("text").to_pylist(), shared.value.index, WINDOW)
             ends = np.r_[0, np.cumsum(np.bincount(at, minlength=len(text)))].astype(np.int32)
+            label = batch.column("label").to_numpy()
+            value = shared.value.sums(at, term, len(text)) if by_value else None
+            some = fit_windows(text, label, value)
             each = np.bincount(text, minlength=batch.num_rows)
-            place = np.arange(len(text)) - np.repeat(np.cumsum(each) - each, each)
-            taken = np.minimum(each, FIT_WINDOWS)[text]          # of each[text] windows, evenly spaced
-            some = pa.array(np.flatnonzero(place * taken // each[text] != (place - 1) * taken // each[text]))
+            place = some - (np.cumsum(each) - each)[text[some]]
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(term.astype(np.int32)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").take(pa.array(text)).take(some),
-                 batch.column("label").take(pa.array(text)).take(some), pa.array(place.astype(np.int32)).take(some),
-                 pa.ListArray.from_arrays(pa.array(ends), pa.array(term.astype(np.int32))).take(some)],
-                ["doc_id", "label", "place", "terms"])
+                [batch.column("doc_id").take(pa.array(text[some])), pa.array(label[text[some]].astype(np.int32)),
+                 pa.array(place.astype(np.int32)), lists.take(pa.array(some)), pa.array(each[text[some]] > 1)],
+                ["doc_id", "label", "place", "terms", "more"])
 
-    held = sample.mapInArrow(rows, schema_of(sample, ["doc_id"], "label int, place int, terms array<int>")).toArrow()
+    held = sample.mapInArrow(rows, schema_of(
+        sample, ["doc_id"], "label int, place int, terms array<int>, more boolean")).toArrow()
     held = held.sort_by([("doc_id", "ascending"), ("place", "ascending")])
     lists = held.column("terms").combine_chunks()
-    ends = lists.offsets.to_numpy()
-    flat = lists.values.to_numpy()
-    examples = [flat[a:b] for a, b in zip(ends, ends[1:])]
-    doc = held.column("doc_id").combine_chunks().dictionary_encode().indices.to_numpy()
-    return Model(index, *fit_windows(examples, held.column("label").to_numpy().astype(np.float64), doc, int(index.max()) + 1))
-
-
-def fit_windows(examples: list[np.ndarray], y: np.ndarray, doc: np.ndarray,
-                n_terms: int) -> tuple[float, np.ndarray, np.ndarray]:
-    """Fit on windows with the labels ``y`` of their texts ``doc``: of a text of label 1 the window
-    counts that a first fit on all windows finds highest."""
-    most = np.bincount(doc)[doc]
-    if not ((y == 1) & (most > 1)).any():
-        return fit(examples, y, n_terms)
-    first = Model(np.zeros(0, np.int32), *fit(examples, y, n_terms, epochs=10))
-    at = np.repeat(np.arange(len(examples)), [len(x) for x in examples])
-    value = first.sums(at, np.concatenate(examples), len(examples))
-    order = np.lexsort((-value, doc))
-    best = np.zeros(len(y), bool)
-    best[order[np.r_[True, doc[order][1:] != doc[order][:-1]]]] = True
-    keep = np.flatnonzero((y == 0) | best)
-    return fit([examples[i] for i in keep], y[keep], n_terms)
+    ends, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
+    return ([flat[a:b] for a, b in zip(ends, ends[1:])], held.column("label").to_numpy().astype(np.float64),
+            bool(held.column("more").to_numpy().any()))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

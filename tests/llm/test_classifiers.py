@@ -114,3 +114,77 @@ def test_sample_has_one_row_per_id(spark):
     labels = spark.createDataFrame([(1, 1), (1, 1), (2, 0), (4, 0), (None, 1)], "doc_id long, label int")
     got = toxicity.labelled_texts(docs, labels, "label", F.lit(True), 100).orderBy("doc_id").collect()
     assert [tuple(r) for r in got] == [(1, "", 1, 1.0), (2, "a", 0, 1.0)]
+
+
+def test_machine_equals_a_double_loop_over_pairs():
+    rng = np.random.default_rng(8)
+    model = toxicity.Model(np.zeros(0, np.int32), 0.3, rng.normal(size=40), rng.normal(size=(40, toxicity.FACTORS)))
+    sets = [sorted(rng.choice(40, n, replace=False).tolist()) for n in (0, 1, 2, 7, 25, 0)]
+    at = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    got = model.sums(at, np.array([t for s in sets for t in s], np.int64), len(sets))
+    for s, value in zip(sets, got):
+        plain = model.bias + sum(model.weight[i] for i in s)
+        for n, i in enumerate(s):
+            for j in s[n + 1:]:
+                plain += sum(a * b for a, b in zip(model.factors[i], model.factors[j]))
+        assert abs(plain - value) < 1e-9
+
+
+def test_windows_of_the_fit():
+    """The highest window of a text of label 1 wherever it lies, the highest few of label 0; evenly spaced ones first."""
+    each = [1, 50, 3, 40]
+    text, label = np.repeat(np.arange(4), each), np.array([0, 1, 1, 0])
+    rng = np.random.default_rng(2)
+    value = rng.permutation(len(text)).astype(float)
+    value[1 + 49] = 1000.0                              # the last window of text 1
+    some = toxicity.fit_windows(text, label, value)
+    for k in range(4):
+        mine = np.flatnonzero(text == k)
+        n = 1 if label[k] else toxicity.FIT_WINDOWS
+        assert sorted(some[text[some] == k]) == sorted(mine[np.argsort(-value[mine])[:n]])
+    assert 50 in some
+    spaced = toxicity.fit_windows(text, label, None)
+    assert [int((text[spaced] == k).sum()) for k in range(4)] == [min(n, toxicity.FIT_WINDOWS) for n in each]
+
+
+def test_compressed_sizes_and_calibration_equal_plain_ones():
+    import zstandard
+
+    rng = np.random.default_rng(1)
+    words = [f"word{i}" for i in range(300)]
+    good, bad = (" ".join(rng.choice(words[a:b], 4000)).encode() for a, b in ((0, 200), (100, 300)))
+    sizes = quality.Sizes(good, bad)
+    texts = [b"", b"short", (" ".join(rng.choice(words, 9000))).encode()]
+
+    def plain(raw, text):
+        c = zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(raw), level=quality.LEVEL)
+        return sum(len(c.compress(text[a:a + quality.BLOCK])) for a in range(0, max(len(text), 1), quality.BLOCK))
+
+    for t, row in zip(texts, sizes.features(texts)):
+        g, b, n = plain(good, t), plain(bad, t), len(t) + quality.SMOOTH
+        assert np.allclose(row, [(b - g) / (b + g), (b - g) / n, min(g, b) / n], rtol=0.01, atol=0.002)
+    x = rng.normal(size=(400, 3))
+    y = (x @ [1.0, -2.0, 0.5] + rng.normal(size=400) > 0.3).astype(float)
+    weight = rng.uniform(0.5, 2, 400)
+    center, w, bias = quality.calibrate(x, y, weight)
+
+    def keep(w, b):
+        margin = np.where(y == 1, 1, -1) * ((x - center) @ w + b)
+        ridge = 1e-3 * ((w * x.std(axis=0)) ** 2).sum() + 1e-4 * b * b
+        return (weight * np.logaddexp(0, -margin)).sum() / weight.sum() + ridge / 2
+
+    least = keep(w, bias)
+    for k in range(3):
+        for step in (-0.05, 0.05):
+            assert keep(w + step * np.eye(3)[k], bias) > least and keep(w, bias + step) > least
+
+
+def test_dictionary_blocks_do_not_depend_on_the_partitioning(spark, monkeypatch):
+    monkeypatch.setattr(quality, "BLOCK", 100)
+    monkeypatch.setattr(quality, "DICTIONARY_SOURCE", 20000)
+    rows = [(i, f"{i} " * (60 if i else 20000)) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    a, b = (quality.dictionary_blocks(df.repartition(n)) for n in (1, 7))
+    assert a == b and 15000 < sum(map(len, a)) < 25000
+    whole = {t[i:i + 100].encode() for _, t in rows for i in range(0, len(t), 100)}
+    assert set(a) <= whole and len(quality.dictionary_blocks(df.where("doc_id > 0").limit(30))) > 30
