@@ -36,7 +36,7 @@ SCALE = 1024
 BLOCK_ROWS = 8192
 SEED_ROWS = 1024
 #: Rows of a cell that are aimed at, and the most cells (boxes that the driver holds).
-CELL_ROWS, MAX_CELLS = 2048, 4096
+CELL_ROWS, MAX_CELLS = 8192, 4096
 #: Pairs of query and block that are written out at once.
 ROUTED = 1 << 18
 #: Segment lengths from coarse to fine; 0 is the whole vector.
