@@ -114,8 +114,11 @@ def search_mentions(posts: DataFrame, topics: list[str] | DataFrame, cap: int |
     kept = [c for c in posts.columns if c != "university"]
     if cap is None:
         return matched
-    tie = F.xxhash64(*[c for c in kept if c != "text"], "text").asc()
-    return top_k_per_group(matched, ["university"], [*api_order(), tie], cap, rank_col="_rank").drop("_rank")
+    # the tie is a column of its own, made once: the ranking sorts and moves it in place of the text
+    # where the caller does not ask for the text
+    tied = matched.withColumn("_tie", F.xxhash64(*[c for c in kept if c != "text"], "text"))
+    top = top_k_per_group(tied, ["university"], [*api_order(), F.col("_tie").asc()], cap, rank_col="_rank")
+    return top.drop("_rank", "_tie")
 
 
 def preview(posts: DataFrame, n: int = 10) -> DataFrame:

@@ -139,3 +139,20 @@ def test_daily_counts_of_awkward_topics(spark):
     assert listed == [("none", days[0], 0), ("the", days[0], 1)]
     many = mx.daily_counts(posts, [f"t{i}" for i in range(12000)] + ["the"])
     assert many.count() == 12001
+
+
+def test_capped_search_ranks_without_the_text(spark):
+    when = dt.datetime(2024, 1, 1)
+    posts = spark.createDataFrame(
+        [(i % 3, i % 2, when, f"the {i}") for i in range(12)] + [(9, None, when, None)],
+        "post_id long, owner_id long, date timestamp_ntz, text string")
+    kept = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "100")        # both ranking levels
+    try:
+        top = mx.search_mentions(posts, ["the"], cap=5)
+        assert top.columns == ["university", "post_id", "owner_id", "date", "text"]
+        plan = top.select("university", "post_id")._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Window [") == 2 and plan.count("xxhash64(") == 1     # hashed below, not at each level
+        assert [(r.post_id, r.owner_id) for r in top.collect()] == [(0, 0), (0, 0), (0, 1), (0, 1), (1, 0)]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", kept)
