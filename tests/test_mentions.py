@@ -156,3 +156,18 @@ def test_capped_search_ranks_without_the_text(spark):
         assert [(r.post_id, r.owner_id) for r in top.collect()] == [(0, 0), (0, 0), (0, 1), (0, 1), (1, 0)]
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", kept)
+
+
+def test_topic_stats_moves_blocks_of_authors(spark):
+    edge = [0, 1, 63, 64, 511, 512, 513, -1, -64, -513, 2**63 - 1, -2**63, 7, 7, None, None]
+    when = dt.datetime(2024, 1, 1)
+    rows = [(t, i, 1, a, when, "x", i, None, 1, 0, "u") for t in ("a", None) for i, a in enumerate(edge)]
+    rows += [("b", 1, 1, a, when, "x", 1, 1, 1, 1, "u") for a in range(512)]
+    stats = mx.topic_stats(spark.createDataFrame(rows, POST_COLS))
+    got = {r["university"]: tuple(r)[1:] for r in stats.collect()}
+    mixed = (len(edge), len({*edge}), sum(range(len(edge))), 0, len(edge), 0)
+    assert got == {"a": mixed, None: mixed, "b": (512, 512, 512, 512, 512, 512)}
+    # a row per topic and block crosses the first exchange: its keys do not hold the author
+    plan = stats._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(university" in plan and not any(
+        "author_id" in line for line in plan.splitlines() if "hashpartitioning(" in line)
