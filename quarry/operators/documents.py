@@ -2,7 +2,7 @@
 
 A "files" frame has the ``binaryFile`` schema ``(path, content)`` (plus optional
 ``modificationTime``/``length``).  HTML is decoded and extracted natively; DOCX goes
-through one Arrow-batched column (zip + XML in the standard library); PDF and
+through one Python column function (zip + XML in the standard library); PDF and
 DJVU decoders are not available here and yield ``status = 'error'`` rows.  A failing file
 never stops the job: it becomes an ``error`` row (P9).
 """
@@ -13,7 +13,6 @@ import io
 import zipfile
 import xml.etree.ElementTree as ET
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -55,19 +54,18 @@ def docx_to_text_py(content: bytes) -> str:
     return " ".join(text.split())
 
 
-@F.pandas_udf(_DOCX_RESULT)
-def _docx_column(content: pd.Series) -> pd.DataFrame:
-    texts, errors = [], []
-    for b in content:
-        text = error = None
-        if b is not None:
-            try:
-                text = docx_to_text_py(bytes(b))
-            except Exception as e:  # a corrupt file is reported, the rest continue
-                error = f"docx: {type(e).__name__}: {e}"
-        texts.append(text)
-        errors.append(error)
-    return pd.DataFrame({"text": texts, "error": errors})
+def _docx_result(content: bytearray | None) -> tuple[str | None, str | None]:
+    if content is None:
+        return None, None
+    try:
+        return docx_to_text_py(bytes(content)), None
+    except Exception as e:  # a corrupt file is reported, the rest continue
+        return None, f"docx: {type(e).__name__}: {e}"
+
+
+# a plain column function: a worker holds a hundred files at once, where an Arrow batch would hold ten
+# thousand, however large they are
+_docx_column = F.udf(_docx_result, _DOCX_RESULT, useArrow=False)
 
 
 def extract_docx(files: DataFrame) -> DataFrame:

@@ -171,3 +171,17 @@ def test_docx_files_written_from_tables(spark):
     files = {r["d"]: bytes(r["content"]) for r in adapters.write_docx_documents(parts, "d", "p", "t").collect()}
     assert docs.docx_to_text_py(files[1]) == "az b & <c>"
     assert docs.docx_to_text_py(files[2]) == ""
+
+
+def test_docx_bytes_go_to_python_in_small_batches(spark):
+    good = bytearray(docx("<w:p><w:r><w:t>some text</w:t></w:r></w:p>"))
+    rows = [(f"x/{i}.docx", good if i % 3 else bytearray(b"no zip")) for i in range(240)] + [("x/n.docx", None)]
+    files = spark.createDataFrame(rows, "path string, content binary")
+    read = docs.process_files(files)
+    parts = spark.createDataFrame([(1, 1, "t")], "d long, p long, t string")
+    for df in (read, docs.extract_docx(files), adapters.write_docx_documents(parts, "d", "p", "t")):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "BatchEvalPython" in plan and "ArrowEvalPython" not in plan      # an Arrow batch is 10,000 files
+    got = {r["filename"]: (r["status"], r["text"], r["error"]) for r in read.collect()}
+    assert len(got) == 241 and got["1.docx"] == ("ok", "some text", None) and got["n.docx"] == ("ok", None, None)
+    assert got["0.docx"] == ("error", None, "docx: BadZipFile: File is not a zip file")
