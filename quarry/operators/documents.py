@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from quarry.functions import html as hx
 from quarry.functions import text as tx
 from quarry.session import ship_package
+from quarry.sources import folder as folders
 
 # --- DOCX (W9) ------------------------------------------------------------------------------
 _W = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
@@ -114,18 +115,9 @@ def ci_glob(*extensions: str) -> str:
 
 
 def process_folder(spark, folder: str) -> DataFrame:
-    """W4 over a folder, reading file bytes only where they are needed: HTML and DOCX come
-    from one scan restricted by a case-insensitive glob, every other file only from the
-    listing (its content is never read)."""
-    ship_package(spark)
-    read = process_files(scan_folder(spark, folder, glob=ci_glob(".html", ".docx")))
-    listed = _classify(scan_folder(spark, folder, content=False))
-    ext = F.col("ext")
-    unread = listed.where(~ext.isin(".html", ".docx")).select(
-        "filename", "ext", F.when(F.col("_supported"), "error").otherwise("skipped").alias("status"),
-        F.lit(None).cast("string").alias("text"), F.lit(None).cast("array<string>").alias("links"),
-        F.when(F.col("_supported"), F.concat(F.expr("substr(ext, 2)"), F.lit(": no decoder available"))).alias("error"))
-    return read.unionByName(unread)
+    """W4 over a folder, reading file bytes only where they are needed: those of HTML and DOCX; every other
+    file is known from the listing (its content is never read)."""
+    return process_files(scan_folder(spark, folder, content=(".html", ".docx")))
 
 
 def unsupported_files(files: DataFrame) -> DataFrame:
@@ -184,13 +176,22 @@ def text_quality(docs: DataFrame, text_col: str = "text", threshold: float = 0.5
 
 
 # --- S6: folder scan --------------------------------------------------------------------------
-def scan_folder(spark, folder: str, glob: str | None = None, content: bool = True) -> DataFrame:
+def scan_folder(spark, folder: str, glob: str | None = None, content: bool | tuple[str, ...] = True) -> DataFrame:
     """Non-recursive listing of ``folder`` as ``(path, modificationTime, length, content)``;
-    ``glob`` restricts file names, and with ``content=False`` no file is read.
+    ``glob`` restricts file names; with ``content=False`` no file is read, with extensions only the
+    files that have one of these.
 
-    Spark's file sources never list names that start with ``.`` or ``_``; such files are
-    not seen.
-    """
+    A folder of a mounted file system is listed and read by the tasks
+    (:mod:`quarry.sources.folder`), so the driver holds no file of it; any other path, and a glob, goes to
+    Spark's file source, whose listing is the driver's.  Neither lists names that start with ``.`` or ``_``."""
+    ship_package(spark)
+    local = folders.local_folder(spark, folder)
+    if local is not None:
+        return folders.listed(spark, local, glob, content)
+    if isinstance(content, tuple):
+        rest = scan_folder(spark, folder, glob, content=False)
+        read = scan_folder(spark, folder, ci_glob(*content))
+        return read.unionByName(rest.where(~tx.extension("path").isin(*content)))
     reader = spark.read.format("binaryFile")
     if glob:
         reader = reader.option("pathGlobFilter", glob)

@@ -8,7 +8,7 @@ from __future__ import annotations
 import io
 import zipfile
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -100,14 +100,14 @@ def _file_writer(root: str):
         from pyarrow import fs as pafs
 
         filesystem, base = pafs.FileSystem.from_uri(root)
-        for pdf in batches:
+        for batch in batches:
             sizes = []
-            for path, content in zip(pdf["path"], pdf["content"]):
-                name = path.rsplit("/", 1)[-1]
+            for path, content in zip(batch.column("path"), batch.column("content")):    # one file at a time in Python
+                name, data = path.as_py().rsplit("/", 1)[-1], content.as_buffer()
                 with filesystem.open_output_stream(f"{base}/{name}") as out:   # idempotent on retry
-                    out.write(bytes(content))
-                sizes.append(len(content))
-            yield pd.DataFrame({"path": pdf["path"], "length": sizes})
+                    out.write(data)
+                sizes.append(data.size)
+            yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(sizes, pa.int64())], ["path", "length"])
     return run
 
 
@@ -124,7 +124,7 @@ def folder_on_disk(spark: SparkSession, sf: str) -> str:
     else:
         uri = root
     ship_package(spark)
-    written = folder_files(spark, sf).mapInPandas(_file_writer(uri), "path string, length long")
+    written = folder_files(spark, sf).mapInArrow(_file_writer(uri), "path string, length long")
     written.write.format("noop").mode("overwrite").save()
     return root
 

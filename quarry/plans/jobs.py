@@ -75,7 +75,9 @@ def process_documents(spark: SparkSession, folder: str) -> DataFrame:
 def extract_text(spark: SparkSession, file_path: str | list[str]) -> DataFrame:
     """One file (or several) -> one row each with its text (or the error).  Unlike the folder job, which
     skips a name without a handled suffix, asking for such a file is an error."""
-    files = spark.read.format("binaryFile").load(file_path)
+    # a folder is read by its tasks; the caller's own list of files is Spark's to read
+    files = (docs.scan_folder(spark, file_path) if isinstance(file_path, str)
+             else spark.read.format("binaryFile").load(file_path))
     out = docs.process_files(files)
     unsupported = F.col("status") == "skipped"
     return out.select(

@@ -185,3 +185,32 @@ def test_docx_bytes_go_to_python_in_small_batches(spark):
     got = {r["filename"]: (r["status"], r["text"], r["error"]) for r in read.collect()}
     assert len(got) == 241 and got["1.docx"] == ("ok", "some text", None) and got["n.docx"] == ("ok", None, None)
     assert got["0.docx"] == ("error", None, "docx: BadZipFile: File is not a zip file")
+
+
+def test_folder_is_listed_by_tasks_as_the_file_source_lists_it(spark, tmp_path):
+    from quarry.plans import jobs
+    from quarry.sources import folder as folders
+    d = tmp_path / "a b%20c"
+    d.mkdir()
+    (d / "sub").mkdir()
+    for name in ("x.HTML", "y.docx", "empty.html", "ü ,.txt", ".hid.html", "_hid.html", "_k=v.html", "z._COPYING_", "q[1].pdf"):
+        (d / name).write_bytes(b"" if name.startswith("empty") else b"<p>" + name.encode())
+    (d / "sub" / "in.html").write_bytes(b"x")
+    for i in range(300):
+        (d / f"n{i}.txt").write_bytes(b"t")
+    os.symlink(d / "x.HTML", d / "link.html")
+    for glob in (None, "*.[hH][tT][mM][lL]", docs.ci_glob(".html", ".docx"), "[^n]*", "q\\[1\\].{pdf,txt}", "?.*"):
+        source = spark.read.format("binaryFile")
+        source = (source.option("pathGlobFilter", glob) if glob else source).load(str(d))
+        want = sorted((r.path, r.modificationTime, r.length, bytes(r.content)) for r in source.collect())
+        got = sorted((r.path, r.modificationTime, r.length, bytes(r.content)) for r in docs.scan_folder(spark, str(d), glob).collect())
+        assert got == want and want, glob
+    scans = (docs.process_folder(spark, str(d)), jobs.extract_text(spark, str(d)), docs.scan_folder(spark, str(d), content=False))
+    for df in scans:       # no file is known to the driver, no task for each few files
+        assert "binaryFile" not in df._jdf.queryExecution().executedPlan().toString()
+        assert df.count() == 306 and df.rdd.getNumPartitions() == 2 * spark.sparkContext.defaultParallelism
+    assert folders.local_folder(spark, str(d / "*")) is None and folders.local_folder(spark, str(d / "x.HTML")) is None
+    read = {r.path.rsplit("/")[-1]: r.content for r in docs.scan_folder(spark, str(d), content=(".html",)).collect()}
+    assert bytes(read["x.HTML"]) == b"<p>x.HTML" and read["y.docx"] is None and "empty.html" not in read
+    by_source = docs.scan_folder(spark, str(d) + "*", content=(".html",))      # a glob: the file source
+    assert {r.path.rsplit("/")[-1]: r.content for r in by_source.collect()} == read
