@@ -42,6 +42,10 @@ def _expanded(batch: pa.RecordBatch, held: int) -> Iterator[tuple[np.ndarray, np
         raise ValueError("negative ids have no code")
     ends = np.cumsum(tf)
     total = int(ends[-1]) if len(ends) else 0
+    if 0 < total <= held:
+        rows = np.repeat(np.arange(len(ids)), tf)
+        yield rows, ids[rows]
+        return
     for at in range(0, total, held):
         rows = np.searchsorted(ends, np.arange(at, min(at + held, total)), "right")
         yield rows, ids[rows]
