@@ -151,3 +151,67 @@ def test_spans_equal_a_plain_search():
         assert [x for a, b in got for x in range(a, b) if w[x]] == some
         assert all(w[a] and w[b - 1] for a, b in got)
         assert not want or (got[0][0], got[-1][1]) == (want[0][0], want[-1][1])
+
+
+LINKS = "".join(f"<li><a href='/{k}'>Section {k}</a></li>" for k in range(6))
+LINK_TEXT = " ".join(f"Section {k}" for k in range(6))
+SITE = f"<div>Example site</div><ul>{LINKS}</ul>%s<ul>{LINKS}</ul><div>(c) 2024 Example</div>"
+
+
+def test_surges_and_dives_decide():
+    """Short lines beyond link lists that no element name or class gives away are no text."""
+    assert htmltext.main_text(SITE % f"<div id=story>{STORY}{STORY}</div>") == f"{STORY_TEXT} {STORY_TEXT}"
+    flat = f"<p>Example site</p><ul>{LINKS}</ul>{STORY}<ul>{LINKS}</ul><p>(c) 2024 Example</p>"
+    for page in (flat, f"<html><body>{flat}</body></html>", f"<html><body><div id=page>{flat}</div></body></html>"):
+        assert htmltext.main_text(page) == STORY_TEXT
+    assert "Example site" in htmltext.main_text(flat, window=6)      # six links are no dive for a window of six
+    both = htmltext.main_text(SITE % f"<div>{STORY}</div><ul>{LINKS}</ul><div><p>Two.</p>{STORY}</div>")
+    assert both == f"{STORY_TEXT} {LINK_TEXT} Two. {STORY_TEXT}"     # two surges, all between them
+    assert htmltext.main_text(SITE % "<p>A short note.</p>").startswith("Example site")     # no window is far above
+
+
+def test_the_own_short_lines_of_a_text_stay():
+    own = f"<h1>Short</h1><ul>{LINKS}</ul>{STORY}<ul>{LINKS}</ul><p>The end is short.</p>"
+    want = f"Short {LINK_TEXT} {STORY_TEXT} {LINK_TEXT} The end is short."
+    assert htmltext.main_text(SITE % f"<div id=story>{own}</div>") == want
+    assert htmltext.main_text(SITE % f"<div id=story><div>{own}</div></div>") == want
+    assert htmltext.main_text(PAGE % f"<div>{own}</div>") == want
+    assert htmltext.main_text(PAGE % f"<article>{own}</article>") == want
+
+
+def test_surges_and_dives_decide_between_articles():
+    loose, links = "<p>Loose words.</p>" * 5, "<p><a href='/a'>See this page</a></p>" * 6
+    own = f"<h1><a href='/s'>Headline</a></h1>{links}{STORY}{links}<p>The end is short.</p>{links}"
+    link_text = " ".join(["See this page"] * 6)
+    want = f"Headline {link_text} {STORY_TEXT} {link_text} The end is short. {link_text}"
+    for name in ("article", "main"):
+        page = f"<{name}>{own}</{name}>"
+        assert htmltext.main_text(page) == want
+        for teaser in (f"<article>{links}</article>", f"{loose}<article><p>Next: a story.</p></article>"):
+            assert htmltext.main_text(page + teaser) == want
+            assert htmltext.main_text(teaser + loose + page) == want
+        assert htmltext.main_text(f"<main>{page}<article>{links}</article></main>") == f"{want} {link_text}"
+        assert htmltext.main_text(f"{page}{loose}<article>{STORY}</article>") == f"{want} {STORY_TEXT}"
+    assert htmltext.main_text(f"<article>{links}</article>") == link_text
+
+
+def test_surges_equal_a_plain_search():
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    one = several = 0
+    for _ in range(400):
+        w = rng.choice([0, 0, 0, 0, 0, 3, 20, 90, 400], rng.integers(1, 40))
+        window, n = int(rng.integers(1, 5)), len(w)
+        block = [sum(int(x) for x in w[i:i + window]) for i in range(n)]
+        want, least = [], min(htmltext.SURGE, max(block) / htmltext.SHARE)
+        for i in (i for i in range(n) if w[i]):
+            j = want[-1][-1] + 1 if want else 0
+            if want and not any(block[k] == block[k + 1] == 0 for k in range(j, i - 1)):
+                want[-1].append(i)
+            else:
+                want.append([i])
+        got = htmltext.surges(w, window)
+        assert got == [(s[0], s[-1] + 1, max(block[s[0]:s[-1] + 1]) >= least) for s in want], (w, window)
+        one, several = one + any(not x for *_, x in got), several + (len(got) > 1)
+    assert one > 20 and several > 100
